@@ -1,3 +1,3 @@
 """Importing this package registers every query in ``catalog.REGISTRY``."""
 
-from . import core, serving  # noqa: F401
+from . import core, serving, vault  # noqa: F401

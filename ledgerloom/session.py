@@ -14,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Parquet files written by other engines carry plain timestamps.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",

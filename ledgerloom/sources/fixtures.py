@@ -59,7 +59,8 @@ def txt(c: Column) -> Column:
     return c.cast("string")
 
 
-NULL = F.lit(None).cast("string")
+def null() -> Column:
+    return F.lit(None).cast("string")
 
 
 def client_id_number(custkey: Column) -> Column:
@@ -85,10 +86,10 @@ def commissions(tables: TableSource) -> DataFrame:
         tenant(c).alias("company"),
         F.when(k % 2 == 0, "ins_commissions").otherwise("inv_commissions").alias("dataset"),
         F.concat(F.lit("COM"), pad(k, 9)).alias("commission_id"),
-        F.when(k % 7 == 3, NULL)
+        F.when(k % 7 == 3, null())
          .when(k % 2 == 0, F.concat(F.lit("RB"), pad(c, 8)))
          .otherwise(F.concat(F.lit("INV"), pad(c * 2 + 1, 8))).alias("policy_number"),
-        F.when(k % 11 == 0, NULL).otherwise(F.concat(F.lit("ADV"), pad(c % 40, 4))).alias("advisor_identifier"),
+        F.when(k % 11 == 0, null()).otherwise(F.concat(F.lit("ADV"), pad(c % 40, 4))).alias("advisor_identifier"),
         F.substring(F.col("o_orderpriority"), 3, 100).alias("business_line"),
         F.when(status == "F", "INITIAL").when(status == "O", "RECURRING")
          .otherwise("CLAWBACK").alias("commission_type"),
@@ -96,15 +97,15 @@ def commissions(tables: TableSource) -> DataFrame:
         txt(gross).alias("gross_amount"),
         txt((gross - net).cast("decimal(18,2)")).alias("vat_amount"),
         txt(net).alias("net_amount"),
-        F.when(k % 5 == 0, NULL).otherwise(F.concat(F.lit("PC"), txt(c % 4))).alias("product_code"),
+        F.when(k % 5 == 0, null()).otherwise(F.concat(F.lit("PC"), txt(c % 4))).alias("product_code"),
         F.lit("0.0500").alias("commission_rate"),
         F.when(status == "P", "LAPSE").alias("clawback_reason"),
         F.concat(F.lit("PAY"), pad(k, 9)).alias("payment_reference"),
-        F.when(status == "O", NULL).otherwise(tx_date).alias("payment_date"),
+        F.when(status == "O", null()).otherwise(tx_date).alias("payment_date"),
         F.lit("1.0000").alias("brokerage_split"),
         F.when(status == "F", "PAID").otherwise("PENDING").alias("status"),
-        NULL.alias("client_title"), NULL.alias("client_first_name"),
-        NULL.alias("client_surname"), NULL.alias("client_initials"),
+        null().alias("client_title"), null().alias("client_first_name"),
+        null().alias("client_surname"), null().alias("client_initials"),
         ts_ntz(LOAD_TS).alias("_loaded_at"),
     )
 
@@ -122,9 +123,9 @@ def _line_orders_parts(tables: TableSource) -> DataFrame:
 def _client_columns(c: Column) -> list[Column]:
     return [
         F.when(c % 4 == 0, "Mr").when(c % 4 == 1, "Ms").when(c % 4 == 2, "Dr").alias("client_title"),
-        F.when(c % 10 == 9, NULL).otherwise(F.concat(F.lit("Client"), txt(c % 97))).alias("client_first_name"),
+        F.when(c % 10 == 9, null()).otherwise(F.concat(F.lit("Client"), txt(c % 97))).alias("client_first_name"),
         F.concat(F.lit("Surname"), pad(c, 7)).alias("client_surname"),
-        F.when(c % 10 == 9, NULL).otherwise(F.lit("C")).alias("client_initials"),
+        F.when(c % 10 == 9, null()).otherwise(F.lit("C")).alias("client_initials"),
     ]
 
 
@@ -138,17 +139,17 @@ def valuations(tables: TableSource) -> DataFrame:
     return j.select(
         tenant(c).alias("company"),
         F.lit("valuations").alias("dataset"),
-        F.when(F.col("l_suppkey") % 7 == 0, NULL)
+        F.when(F.col("l_suppkey") % 7 == 0, null())
          .otherwise(F.concat(F.lit("ADV"), pad(F.col("l_suppkey"), 4))).alias("advisor_identifier"),
         cl[0], cl[1], cl[2], cl[3],
         client_id_number(c).alias("client_id_number"),
-        F.when(F.col("l_orderkey") % 13 == 0, NULL).otherwise(investment_policy(c, ok)).alias("policy_number"),
-        F.when(pk % 5 == 3, NULL).otherwise(F.concat(F.lit("Product "), txt(psize % 4))).alias("product_name"),
-        F.when(pk % 6 == 1, NULL).otherwise(F.concat(F.lit("PC"), txt(psize % 4))).alias("product_code"),
-        F.when(pk % 7 == 1, NULL).otherwise(ptype).alias("fund_name"),
-        F.when(pk % 9 == 0, NULL).otherwise(F.concat(F.lit("FC"), txt(psize % 12))).alias("fund_code"),
+        F.when(F.col("l_orderkey") % 13 == 0, null()).otherwise(investment_policy(c, ok)).alias("policy_number"),
+        F.when(pk % 5 == 3, null()).otherwise(F.concat(F.lit("Product "), txt(psize % 4))).alias("product_name"),
+        F.when(pk % 6 == 1, null()).otherwise(F.concat(F.lit("PC"), txt(psize % 4))).alias("product_code"),
+        F.when(pk % 7 == 1, null()).otherwise(ptype).alias("fund_name"),
+        F.when(pk % 9 == 0, null()).otherwise(F.concat(F.lit("FC"), txt(psize % 12))).alias("fund_code"),
         F.when((ptype < "M") & (pk % 5 != 0), F.concat(F.lit("J"), F.substring(ptype, 1, 3))).alias("jse_code"),
-        F.when(pk % 13 == 0, NULL).otherwise(txt(shift20(F.col("l_shipdate")))).alias("valuation_date"),
+        F.when(pk % 13 == 0, null()).otherwise(txt(shift20(F.col("l_shipdate")))).alias("valuation_date"),
         F.lit("ZAR").alias("currency"),
         txt(mv).alias("market_value_amount"),
         txt(F.col("l_quantity").cast("decimal(18,4)")).alias("units"),
@@ -168,11 +169,11 @@ def investment_transactions(tables: TableSource) -> DataFrame:
     return j.select(
         company.alias("company"),
         F.when(company == TENANTS[0], "valuation_transactions").otherwise("transactions").alias("dataset"),
-        F.when(lk % 12 == 0, NULL)
+        F.when(lk % 12 == 0, null())
          .otherwise(F.concat(F.lit("IT"), pad(lk, 9), F.lit("-"), txt(F.col("l_linenumber")))).alias("transaction_id"),
         investment_policy(c, ok).alias("policy_number"),
         client_id_number(c).alias("client_id_number"),
-        F.when(pk % 9 == 0, NULL).otherwise(F.concat(F.lit("FC"), txt(F.col("p_size") % 12))).alias("fund_code"),
+        F.when(pk % 9 == 0, null()).otherwise(F.concat(F.lit("FC"), txt(F.col("p_size") % 12))).alias("fund_code"),
         F.col("l_returnflag").alias("transaction_type"),
         txt(shift20(F.col("l_shipdate"))).alias("transaction_date"),
         txt(money(F.col("l_extendedprice"))).alias("amount"),
@@ -180,7 +181,7 @@ def investment_transactions(tables: TableSource) -> DataFrame:
         txt(F.col("p_retailprice").cast("decimal(18,4)")).alias("price_per_unit"),
         F.when(F.col("l_linestatus") == "F", "SETTLED").otherwise("PENDING").alias("status"),
         F.concat(F.lit("REF"), pad(lk, 9)).alias("reference_number"),
-        NULL.alias("source_fund"),
+        null().alias("source_fund"),
         F.col("p_name").alias("narrative"),
         cl[0], cl[1], cl[2], cl[3],
         ts_ntz(LOAD_TS).alias("_loaded_at"),
@@ -198,8 +199,8 @@ def risk_transactions(tables: TableSource, variant: int = 0) -> DataFrame:
     return e.select(
         company.alias("company"),
         F.when(company == TENANTS[0], "risk_benefits_transactions").otherwise("ins_transactions").alias("dataset"),
-        F.when(eid % 12 == 0, NULL).otherwise(F.concat(F.lit("RT"), pad(eid, 9))).alias("transaction_id"),
-        F.when(eid % 13 == 0, NULL).otherwise(F.concat(F.lit("RB"), pad(uid, 8))).alias("policy_number"),
+        F.when(eid % 12 == 0, null()).otherwise(F.concat(F.lit("RT"), pad(eid, 9))).alias("transaction_id"),
+        F.when(eid % 13 == 0, null()).otherwise(F.concat(F.lit("RB"), pad(uid, 8))).alias("policy_number"),
         F.concat(F.lit("MEM"), pad(uid, 7)).alias("member_id"),
         et.alias("transaction_type"),
         txt(F.to_date(F.col("ts"))).alias("transaction_date"),
@@ -210,8 +211,8 @@ def risk_transactions(tables: TableSource, variant: int = 0) -> DataFrame:
         F.when(purchase, "DEATH").alias("claim_type"),
         F.when(purchase, "NATURAL").alias("claim_reason"),
         F.when(purchase, "LIFE").alias("benefit_affected"),
-        NULL.alias("client_title"), NULL.alias("client_first_name"),
-        NULL.alias("client_surname"), NULL.alias("client_initials"),
+        null().alias("client_title"), null().alias("client_first_name"),
+        null().alias("client_surname"), null().alias("client_initials"),
         ts_ntz(LOAD_TS).alias("_loaded_at"),
     )
 
@@ -222,22 +223,22 @@ def _risk_policy_load(cust: DataFrame, age_offset: int, loaded_at: str, variant:
     acct = money(F.col("c_acctbal"))
     m6 = c % 6
     status = (F.when(m6 == 0, "Active").when(m6 == 1, "Lapsed").when(m6 == 2, "Cancelled")
-               .when(m6 == 3, "Pending").when(m6 == 4, NULL).otherwise("Active"))
+               .when(m6 == 3, "Pending").when(m6 == 4, null()).otherwise("Active"))
     if variant:
         status = F.when(c % 50 == 0, F.lit("Lapsed")).otherwise(status)
     return cust.select(
         company.alias("company"),
         F.when(company == TENANTS[0], "risk_benefits")
          .when(company == TENANTS[1], "insurance").otherwise("assurance").alias("dataset"),
-        F.when(c % 29 == 0, NULL).otherwise(F.concat(F.lit("RB"), pad(c, 8))).alias("policynumber"),
-        F.when(c % 12 == 5, NULL)
+        F.when(c % 29 == 0, null()).otherwise(F.concat(F.lit("RB"), pad(c, 8))).alias("policynumber"),
+        F.when(c % 12 == 5, null())
          .otherwise(txt(F.date_add(F.lit("2015-01-01").cast("date"), (c % 2000).cast("int")))).alias("inceptiondate"),
         status.alias("policystatus"),
         F.concat(F.lit("MEM"), pad(c, 7)).alias("memberid"),
         txt(age_offset + 20 + c % 50).alias("agenext"),
-        F.when(c % 5 == 0, "Smoker").when(c % 5 == 1, NULL).otherwise("Non-Smoker").alias("smokerstatus"),
-        F.when(c % 10 == 3, NULL).otherwise(F.col("c_mktsegment")).alias("incomebrackets"),
-        F.when(company == TENANTS[0], NULL).when(c % 8 == 7, NULL)
+        F.when(c % 5 == 0, "Smoker").when(c % 5 == 1, null()).otherwise("Non-Smoker").alias("smokerstatus"),
+        F.when(c % 10 == 3, null()).otherwise(F.col("c_mktsegment")).alias("incomebrackets"),
+        F.when(company == TENANTS[0], null()).when(c % 8 == 7, null())
          .otherwise(F.concat(F.lit("Cover "), txt(F.col("c_nationkey") % 4))).alias("productname"),
         txt(scaled(acct, "100")).alias("life_sumassured"),
         txt(scaled(acct, "0.0100")).alias("life_premium"),
@@ -246,14 +247,14 @@ def _risk_policy_load(cust: DataFrame, age_offset: int, loaded_at: str, variant:
         txt(scaled(acct, "0.0050")).alias("disability_premium"),
         F.when(c % 3 == 0, "LEVEL1").when(c % 3 == 1, "LEVEL2").alias("chronic_level"),
         F.lit("3 months").alias("chronic_waitingperiod"),
-        F.when(c % 3 == 2, NULL).otherwise(txt(scaled(acct, "0.0020"))).alias("chronic_premium"),
+        F.when(c % 3 == 2, null()).otherwise(txt(scaled(acct, "0.0020"))).alias("chronic_premium"),
         txt(scaled(acct, "10")).alias("accident_benefit"),
         txt(scaled(acct, "0.0010")).alias("accident_premium"),
         txt(scaled(acct, "0.0180")).alias("total_monthlypremium"),
         F.lit("0.0300").alias("commission_rate"),
-        F.when(c % 9 == 0, NULL).otherwise(F.concat(F.lit("ADV"), pad(c % 40, 4))).alias("advisor_identifier"),
-        NULL.alias("client_title"), NULL.alias("client_first_name"),
-        F.col("c_name").alias("client_surname"), NULL.alias("client_initials"),
+        F.when(c % 9 == 0, null()).otherwise(F.concat(F.lit("ADV"), pad(c % 40, 4))).alias("advisor_identifier"),
+        null().alias("client_title"), null().alias("client_first_name"),
+        F.col("c_name").alias("client_surname"), null().alias("client_initials"),
         ts_ntz(loaded_at).alias("_loaded_at"),
     )
 
