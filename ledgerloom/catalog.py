@@ -15,7 +15,13 @@ from .oracle.cte import with_ctes
 class Query:
     name: str
     fn: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
+    body: str | None
+
+    @property
+    def sql(self) -> str | None:
+        """Oracle statement; CTE prefixes are resolved after every module
+        has registered its fragments."""
+        return with_ctes(self.body) if self.body else None
 
 
 REGISTRY: dict[str, Query] = {}
@@ -25,7 +31,7 @@ def register(name: str, sql: str | None = None):
     """Decorator: register ``fn`` under ``name``; ``sql`` is the oracle body
     (CTE prefixes are added automatically)."""
     def deco(fn):
-        REGISTRY[name] = Query(name, fn, with_ctes(sql) if sql else None)
+        REGISTRY[name] = Query(name, fn, sql)
         return fn
     return deco
 

@@ -245,3 +245,14 @@ SELECT company, policynumber AS policy_number, CAST(inceptiondate AS DATE) AS in
 FROM {src}"""
 cte("stg_risk_policies", _RISK_POLICY_TYPED.format(src="fx_risk_policies"))
 cte("stg_risk_policies_v1", _RISK_POLICY_TYPED.format(src="fx_risk_policies_v1"))
+
+cte("fx_pipe_errors", f"""
+SELECT 'PIPE_' || {tenant('user_id')} || '_RISK_TRANSACTIONS' AS pipe_name,
+  'Numeric value ''' || props || ''' is not recognized' AS error,
+  CASE WHEN event_id % 7 = 0 THEN NULL ELSE 'fsp-risk-' || strftime(ts, '%Y%m%d') || '.csv' END AS file_name,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 1000 + 2 END AS line,
+  CAST(1 AS BIGINT) AS character_pos, CAST(NULL AS BIGINT) AS byte_offset, 'conversion' AS category,
+  '100038' AS code, '22018' AS sql_state, '"AMOUNT"' AS column_name, event_id % 1000 + 1 AS row_number,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 1000 + 2 END AS row_start_line,
+  props AS rejected_record, ts AS error_ts
+FROM events WHERE event_type = 'error'""")

@@ -266,3 +266,28 @@ def risk_policies(tables: TableSource, variant: int = 0) -> DataFrame:
     first = _risk_policy_load(cust, 0, RISK_LOAD_TS, variant)
     reload = _risk_policy_load(cust.where(F.col("c_custkey") % 10 == 0), 1, RISK_RELOAD_TS, variant)
     return first.unionByName(reload)
+
+
+def pipe_errors(tables: TableSource) -> DataFrame:
+    """Load errors of the risk-transaction pipes, derived from the ``error``
+    events: one rejected row per error event, with NULL file names and lines
+    mixed in so the null-safe MERGE key is exercised.  ``error_ts`` is when
+    the load failed."""
+    e = tables("events").where(F.col("event_type") == "error")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    line = F.when(eid % 11 == 0, F.lit(None).cast("bigint")).otherwise(eid % 1000 + 2)
+    return e.select(
+        F.concat(F.lit("PIPE_"), tenant(uid), F.lit("_RISK_TRANSACTIONS")).alias("pipe_name"),
+        F.concat(F.lit("Numeric value '"), F.col("props"), F.lit("' is not recognized")).alias("error"),
+        F.when(eid % 7 == 0, null())
+         .otherwise(F.concat(F.lit("fsp-risk-"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv"))).alias("file_name"),
+        line.alias("line"),
+        F.lit(1).cast("bigint").alias("character_pos"),
+        F.lit(None).cast("bigint").alias("byte_offset"),
+        F.lit("conversion").alias("category"), F.lit("100038").alias("code"), F.lit("22018").alias("sql_state"),
+        F.lit('"AMOUNT"').alias("column_name"),
+        (eid % 1000 + 1).alias("row_number"),
+        line.alias("row_start_line"),
+        F.col("props").alias("rejected_record"),
+        F.col("ts").cast("timestamp_ntz").alias("error_ts"),
+    )
