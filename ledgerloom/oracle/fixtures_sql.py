@@ -152,6 +152,7 @@ def _risk_policy_load(age_offset: int, loaded_at: str, where: str, variant: int)
         status = f"CASE WHEN c_custkey % 50 = 0 THEN 'Lapsed' ELSE {status} END"
     return f"""
 SELECT {tenant('c_custkey')} AS company,
+  CASE c_custkey % 3 WHEN 0 THEN 'risk_benefits' WHEN 1 THEN 'insurance' ELSE 'assurance' END AS dataset,
   CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE 'RB' || {pad('c_custkey', 8)} END AS policynumber,
   CASE WHEN c_custkey % 12 = 5 THEN NULL
        ELSE CAST(CAST(DATE '2015-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS DATE) AS VARCHAR) END AS inceptiondate,

@@ -52,10 +52,11 @@ class Warehouse:
 
     @classmethod
     def from_landing(cls, spark: SparkSession, landing_root: str, **kw) -> "Warehouse":
-        """Landing layout ``<root>/<shape>/company=<tenant>/dataset=<name>/``
-        (parquet, all-string columns + ``_loaded_at``)."""
-        root = landing_root.rstrip("/")
-        landing = {shape: (lambda s=shape: spark.read.parquet(f"{root}/{s}"))
+        """Landing layout ``<root>/<shape>/load_id=<id>/company=<tenant>/dataset=<name>/``
+        (parquet, all-string columns + ``_loaded_at``), as written by the
+        batch and streaming ingest jobs."""
+        from ..sources.landing import read_landing
+        landing = {shape: (lambda s=shape: read_landing(spark, landing_root, s))
                    for shape in ["commissions", "valuations", "investment_transactions",
                                  "risk_transactions", "risk_policies"]}
         return cls(spark, landing, **kw)

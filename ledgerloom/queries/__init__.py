@@ -1,3 +1,3 @@
 """Importing this package registers every query in ``catalog.REGISTRY``."""
 
-from . import core, quality, serving, vault  # noqa: F401
+from . import core, ingest, quality, serving, vault  # noqa: F401
