@@ -161,8 +161,8 @@ def latest_risk_policies(risk_policies: DataFrame) -> DataFrame:
     last``, ties broken by every attribute so reruns are stable.
 
     ``max_by`` over a struct whose first field is the load stamp is a plain
-    aggregate: partial aggregation on the map side, no sort and no window,
-    and a hot policy key is pre-combined before the shuffle.  A NULL stamp
+    aggregate: partial aggregation on the map side, no window, and a hot
+    policy key is pre-combined before the shuffle.  A NULL stamp
     loses to any real one (max ignores NULL only at the top level, so NULL is
     mapped to a sentinel that sorts first)."""
     payload = F.struct(*[F.col(c) for c in RISK_POLICY_ATTRIBUTES + ["_loaded_at"]])

@@ -139,8 +139,8 @@ def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: Data
 
     All four roll-ups are aggregations keyed by ``policy_sk`` and the policy
     dimension is joined on the same key, so the shuffles share one hash
-    partitioning.  The latest market value is a ``max_by`` aggregate (no
-    window, partial aggregation).  The snapshot date is a literal column,
+    partitioning.  The latest market value is a ``max_by`` aggregate folded
+    into the valuation roll-up (no window, partial aggregation).  The snapshot date is a literal column,
     not a cross join.  ``advisor_sk`` is always NULL as in the reference
     (trap 1); ``fix_advisor=True`` resolves it from the latest risk-master
     row (``risk_advisors``: company, policy_number, advisor_identifier)."""
@@ -153,10 +153,11 @@ def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: Data
                F.max("transaction_date").alias("last_commission_date"))
           .select(key, "commission_count", "commission_gross_total", "commission_net_total",
                   "last_commission_date"))
+    # After (date, load stamp) the value itself breaks ties: equal ranks
+    # then give the same latest_market_value whichever row wins.
     latest_rank = F.struct(F.col("valuation_date").isNotNull(), F.col("valuation_date"),
                            F.col("_loaded_at").isNotNull(), F.col("_loaded_at"),
-                           F.col("market_value_amount"), F.col("_row_in_grain"),
-                           F.col("fund_name"))
+                           F.col("market_value_amount"))
     vr = (valuations.where(F.col("policy_number").isNotNull())
           .groupBy("company", "policy_number")
           .agg(F.count(F.lit(1)).alias("valuation_count"),

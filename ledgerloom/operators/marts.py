@@ -26,12 +26,15 @@ def finance_advisor_commissions_monthly(fct_commissions: DataFrame, dim_date: Da
     (company, advisor_sk, category), so they share one exchange of the
     (small) aggregated rows."""
     c = fct_commissions.where(F.col("advisor_sk").isNotNull()).join(_calendar(dim_date), "date_sk")
-    agg = c.groupBy("company", "advisor_sk", "year_month", "year", "month", "commission_category").agg(
+    # advisor_identifier is functionally determined by (company, advisor_sk):
+    # grouping on it keeps the aggregate a HashAggregate (a string max()
+    # would force a sort-based aggregate).
+    agg = c.groupBy("company", "advisor_sk", "advisor_identifier", "year_month", "year", "month",
+                    "commission_category").agg(
         F.count(F.lit(1)).alias("commission_count"),
         F.sum("gross_amount").cast("decimal(38,2)").alias("commission_gross_total"),
         F.sum("net_amount").cast("decimal(38,2)").alias("commission_net_total"),
-        F.round(F.avg("net_amount").cast("double"), 6).alias("avg_commission_amount"),
-        F.max("advisor_identifier").alias("advisor_identifier"))
+        F.round(F.avg("net_amount").cast("double"), 6).alias("avg_commission_amount"))
     keys = ["company", "advisor_sk", "commission_category"]
     running = Window.partitionBy(*keys).orderBy("year_month").rowsBetween(Window.unboundedPreceding, 0)
     prior = Window.partitionBy(*keys, "month").orderBy("year")
@@ -64,8 +67,10 @@ def portfolio_aum_monthly(fct_valuations: DataFrame, dim_date: DataFrame, dim_fu
     """M2: fund x month AUM from the latest valuation per
     (company, policy, fund, month).
 
-    The latest-per-month pick is a ``max_by`` aggregate (partial aggregation,
-    no sort); the tie-break after ``valuation_date desc`` is total (trap 8).
+    The latest-per-month pick is a ``max_by`` aggregate: partial aggregation
+    pre-combines each key before the shuffle (a hot policy-fund-month is
+    reduced map-side); the tie-break after ``valuation_date desc`` is total
+    (trap 8).
     Distinct policy and client counts are exact.  The fund dimension join is
     left to AQE (it broadcasts at runtime when the fund list is small)."""
     v = (fct_valuations.where(F.col("fund_sk").isNotNull() & F.col("market_value_amount").isNotNull())

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -42,11 +43,37 @@ def _expr(e) -> Column:
     return F.col(e) if isinstance(e, str) else e
 
 
+def _filler(dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
+def _split_key(df: DataFrame, o: Order, i: int) -> tuple[list[Column], list[str]]:
+    """Non-null stand-ins for one split column: a NULL flag and the value
+    with NULL replaced by a typed filler, so equality joins and hash
+    partitioning on them line up (a null-safe join would re-key and
+    re-shuffle the big side).  The flag keeps NULL apart from the filler."""
+    e = _expr(o.expr)
+    dtype = df.select(e).schema[0].dataType
+    flag, val = f"_sn{i}", f"_sv{i}"
+    return [e.isNull().alias(flag), F.coalesce(e, _filler(dtype)).alias(val)], [flag, val]
+
+
 def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str = "_row_in_grain",
                  split: int = 1, plain: bool = False) -> DataFrame:
     """Append ``out`` = row number of each row inside its grain ``partition``
     under ``order``.  ``split`` leading order items are used to spread a hot
-    group; ``plain=True`` gives the single-window form (for comparison)."""
+    group; ``plain=True`` gives the single-window form (for comparison).
+
+    Plan: the rows are hash-partitioned once on (grain, split key); the
+    inner row_number, the per-(grain, split key) count and the join with the
+    offsets all reuse that partitioning, so only the small count table is
+    shuffled again (to compute the running offsets per grain)."""
     gcols = [f"_g{i}" for i in range(len(partition))]
     base = df.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
     if plain or split <= 0:
@@ -54,17 +81,21 @@ def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str =
         return base.withColumn(out, F.row_number().over(w)).drop(*gcols)
 
     split = min(split, len(order))
-    scols = [f"_s{i}" for i in range(split)]
-    base = base.select("*", *[_expr(o.expr).alias(s) for o, s in zip(order[:split], scols)])
-    counts = base.groupBy(*gcols, *scols).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*gcols).orderBy(
-        *[o.column(F.col(s)) for o, s in zip(order[:split], scols)]
-    ).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*gcols, *scols,
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    offsets = offsets.select(*[F.col(c).alias(c + "_k") for c in gcols + scols], "_off")
-    cond = [F.col(c).eqNullSafe(F.col(c + "_k")) for c in gcols + scols]
-    joined = base.join(offsets, cond, "inner").drop(*[c + "_k" for c in gcols + scols])
-    inner = Window.partitionBy(*gcols, *scols).orderBy(*[o.column() for o in order[split:]] or [F.lit(1)])
-    return (joined.withColumn(out, (F.col("_off") + F.row_number().over(inner)).cast("int"))
-                  .drop("_off", *gcols, *scols))
+    exprs, scols, sorder = [], [], []
+    for i, o in enumerate(order[:split]):
+        e, names = _split_key(base, o, i)
+        exprs += e
+        scols += names
+        # NULLs last  <=> flag ascending; NULLs first <=> flag descending
+        sorder.append(F.col(names[0]).asc() if o.nulls_last else F.col(names[0]).desc())
+        sorder.append(o.column(F.col(names[1])))
+    keys = gcols + scols
+    base = base.select("*", *exprs)
+    inner = Window.partitionBy(*keys).orderBy(*[o.column() for o in order[split:]] or [F.lit(1)])
+    numbered = base.withColumn("_rn", F.row_number().over(inner))
+    counts = numbered.groupBy(*keys).agg(F.max("_rn").alias("_n"))
+    before = Window.partitionBy(*gcols).orderBy(*sorder).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    joined = numbered.join(offsets, keys, "inner")
+    return (joined.withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
+                  .drop("_off", "_rn", *keys))

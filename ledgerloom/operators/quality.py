@@ -10,6 +10,7 @@ a ``left_anti`` join on the key.  ``warn`` failures do not fail a build.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -76,7 +77,25 @@ def _batched_column_checks(tables: dict[str, DataFrame], tests: list[DataTest])
     return out
 
 
-def run_tests(tables: dict[str, DataFrame], tests: list[DataTest]) -> DataFrame:
+def run_tests(tables: dict[str, DataFrame], tests: list[DataTest], materialise: bool = True) -> DataFrame:
+    """Evaluate a suite.  With ``materialise`` every table read by two or
+    more tests is checkpointed once to the shared folder first, so it is
+    computed once instead of once per test."""
+    if materialise:
+        uses: dict[str, int] = {}
+        needed: dict[str, set] = {}
+        for t in tests:
+            uses[t.table] = uses.get(t.table, 0) + 1
+            cols = needed.setdefault(t.table, set())
+            cols.update(t.columns)
+            if t.where:
+                cols.update(c for c in tables[t.table].columns if re.search(rf"\b{c}\b", t.where))
+            if t.to:
+                uses[t.to] = uses.get(t.to, 0) + 1
+                needed.setdefault(t.to, set()).add(t.field)
+        tables = {n: (df.select(*sorted(needed[n])).checkpoint(eager=True) if uses[n] > 1
+                      else df.select(*sorted(needed[n])))
+                  for n, df in tables.items() if n in uses}
     column_tests = [t for t in tests if t.kind in ("not_null", "accepted_values")]
     other = [t for t in tests if t.kind not in ("not_null", "accepted_values")]
     parts = _batched_column_checks(tables, column_tests)

@@ -37,15 +37,17 @@ class Warehouse:
 
     # ------------------------------------------------------------ builders
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str, variant: int = 0, **kw) -> "Warehouse":
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, variant: int = 0,
+                      materialise: bool = True, **kw) -> "Warehouse":
+        """Landing feeds derived from the driver's tables.  With
+        ``materialise`` (default) each feed is written once per session to
+        the shared folder and scanned from there by every later query."""
         t = TableSource(spark, sf_dir)
-        landing = {
-            "commissions": lambda: fixtures.commissions(t),
-            "valuations": lambda: fixtures.valuations(t),
-            "investment_transactions": lambda: fixtures.investment_transactions(t),
-            "risk_transactions": lambda: fixtures.risk_transactions(t, variant),
-            "risk_policies": lambda: fixtures.risk_policies(t, variant),
-        }
+        if materialise:
+            landing = {s: (lambda s=s: fixtures.materialised_landing(t, s, variant))
+                       for s in fixtures.SHAPE_BUILDERS}
+        else:
+            landing = {s: (lambda s=s: fixtures.SHAPE_BUILDERS[s](t, variant)) for s in fixtures.SHAPE_BUILDERS}
         wh = cls(spark, landing, **kw)
         wh.tables = t
         return wh
@@ -130,8 +132,13 @@ class Warehouse:
 
     @cached_property
     def fct_policies(self) -> DataFrame:
-        return facts.fct_policies(self.dim_policy, self.fct_commissions, self.fct_valuations,
-                                  self.fct_transactions, self.as_of, self.run_ts)
+        # The valuation and transaction facts are 1:1 projections of their
+        # staging rows and the roll-ups read none of the keys the facts add,
+        # so the roll-ups read the staging frames and skip the numbering.
+        return facts.fct_policies(
+            self.dim_policy, self.fct_commissions, self.stg_valuations,
+            facts.transactions_union(self.stg_risk_transactions, self.stg_investment_transactions),
+            self.as_of, self.run_ts)
 
     # ------------------------------------------------------------ marts
     @cached_property

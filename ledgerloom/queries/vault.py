@@ -16,6 +16,12 @@ RUN1 = "2024-06-30 00:00:00"
 RUN2 = "2024-07-31 00:00:00"
 
 
+def stored(df):
+    """Run-1 output as a written table: checkpointed to the shared folder,
+    which cuts the lineage so run 2 reads it instead of recomputing it."""
+    return df.checkpoint(eager=True)
+
+
 def _wh(spark, sf, run: int) -> Warehouse:
     return (Warehouse.from_fixtures(spark, sf, run_ts=RUN1) if run == 1
             else Warehouse.from_fixtures(spark, sf, variant=1, run_ts=RUN2))
@@ -29,7 +35,7 @@ def _hub(name):
         return V.insert_only_delta(V.hub_candidates(w.fct_transactions, h, w.run_ts), None, h.hk)
 
     def run2(spark, sf):
-        first = run1(spark, sf)
+        first = stored(run1(spark, sf))
         w2 = _wh(spark, sf, 2)
         delta = V.insert_only_delta(V.hub_candidates(w2.fct_transactions, h, w2.run_ts), first, h.hk)
         return first.unionByName(delta)
@@ -66,7 +72,7 @@ def _sat(cols, collapse=False):
         return V.satellite_delta(V.satellite_source(w.fct_transactions, cols, w.run_ts, collapse), None)
 
     def run2(spark, sf):
-        first = run1(spark, sf)
+        first = stored(run1(spark, sf))
         w2 = _wh(spark, sf, 2)
         src2 = V.satellite_source(w2.fct_transactions, cols, w2.run_ts, collapse)
         return first.unionByName(V.satellite_delta(src2, first))
@@ -89,7 +95,7 @@ def snapshot_after_run1(spark, sf):
 
 
 def snapshot_after_run2(spark, sf):
-    first = snapshot_after_run1(spark, sf)
+    first = stored(snapshot_after_run1(spark, sf))
     w2 = _wh(spark, sf, 2)
     return scd.snapshot_run(first, w2.dim_policy, w2.run_ts)
 

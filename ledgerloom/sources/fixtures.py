@@ -291,3 +291,39 @@ def pipe_errors(tables: TableSource) -> DataFrame:
         F.col("props").alias("rejected_record"),
         F.col("ts").cast("timestamp_ntz").alias("error_ts"),
     )
+
+
+# ------------------------------------------------------------------ materialised landing
+_MATERIALISED: dict[tuple, dict[str, str]] = {}
+
+SHAPE_BUILDERS = {
+    "commissions": lambda t, v: commissions(t),
+    "valuations": lambda t, v: valuations(t),
+    "investment_transactions": lambda t, v: investment_transactions(t),
+    "risk_transactions": lambda t, v: risk_transactions(t, v),
+    "risk_policies": lambda t, v: risk_policies(t, v),
+}
+VARIANT_SHAPES = ("risk_transactions", "risk_policies")
+LANDING_ROWS_PER_FILE = 64_000
+
+
+def materialised_landing(tables: TableSource, shape: str, variant: int = 0) -> DataFrame:
+    """The landing feed written once per session as parquet under the shared
+    checkpoint folder (as the landing layer is stored tables in production)
+    and read back; later queries scan it with pruning and push-down instead
+    of re-deriving it.  Shapes that do not change between variants share
+    one copy."""
+    from ..session import shared_path
+    import uuid
+
+    spark = tables.spark
+    v = variant if shape in VARIANT_SHAPES else 0
+    key = (id(spark.sparkContext), spark.sparkContext.applicationId, tables.root, shape, v)
+    path = _MATERIALISED.get(key, {}).get("path")
+    if path is None:
+        path = shared_path(spark, "landing-cache", f"{shape}-v{v}-{uuid.uuid4().hex}")
+        # bounded files so later scans split into many tasks without a shuffle
+        (SHAPE_BUILDERS[shape](tables, v).write.mode("overwrite")
+         .option("maxRecordsPerFile", LANDING_ROWS_PER_FILE).parquet(path))
+        _MATERIALISED[key] = {"path": path}
+    return spark.read.parquet(path)
