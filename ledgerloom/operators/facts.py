@@ -48,19 +48,8 @@ VALUATION_ORDER_TAIL = [
 ]
 
 
-def fct_valuations(stg: DataFrame, plain_numbering: bool = False) -> DataFrame:
-    """K5 numbering inside (company, policy, fund, date), ordered by
-    amount, units, load stamp (ASC, NULLs last) and then every remaining
-    column so the order is total and reruns give the same keys."""
-    grain = [F.col("company"),
-             F.coalesce(F.col("policy_number"), F.lit("_NULL_")),
-             F.coalesce(F.col("fund_name"), F.lit("_NULL_")),
-             F.coalesce(F.col("valuation_date"), F.lit("1900-01-01").cast("date"))]
-    order = [Order(c) for c in ["market_value_amount", "units", "_loaded_at"] + VALUATION_ORDER_TAIL]
-    numbered = row_in_grain(stg, grain, order, split=1, plain=plain_numbering)
-    return numbered.select(
-        surrogate_key("company", "policy_number", "fund_name", "valuation_date", "_row_in_grain")
-        .alias("valuation_sk"),
+def _valuation_keys() -> list:
+    return [
         guarded_key("advisor_identifier", "company", "advisor_identifier").alias("advisor_sk"),
         F.when(F.coalesce("product_code", "product_name").isNotNull(),
                surrogate_key("company", F.lit("INVESTMENT"), F.coalesce("product_code", "product_name")))
@@ -74,7 +63,31 @@ def fct_valuations(stg: DataFrame, plain_numbering: bool = False) -> DataFrame:
         (F.col("policy_number").isNotNull() & F.col("valuation_date").isNotNull()).alias("has_complete_grain"),
         "market_value_amount", "units", "monthly_income_amount", "monthly_income_pct", "_loaded_at",
         # kept for the fund/product lookups of downstream jobs
-        "fund_name", "_row_in_grain")
+        "fund_name",
+    ]
+
+
+def valuations_keyed(stg: DataFrame) -> DataFrame:
+    """F2 rows with every foreign key but without the grain disambiguator:
+    a 1:1 projection of staging for consumers that never read
+    ``valuation_sk`` (marts, BI measures), so they skip the numbering."""
+    return stg.select(*_valuation_keys())
+
+
+def fct_valuations(stg: DataFrame, plain_numbering: bool = False) -> DataFrame:
+    """K5 numbering inside (company, policy, fund, date), ordered by
+    amount, units, load stamp (ASC, NULLs last) and then every remaining
+    column so the order is total and reruns give the same keys."""
+    grain = [F.col("company"),
+             F.coalesce(F.col("policy_number"), F.lit("_NULL_")),
+             F.coalesce(F.col("fund_name"), F.lit("_NULL_")),
+             F.coalesce(F.col("valuation_date"), F.lit("1900-01-01").cast("date"))]
+    order = [Order(c) for c in ["market_value_amount", "units", "_loaded_at"] + VALUATION_ORDER_TAIL]
+    numbered = row_in_grain(stg, grain, order, split=1, plain=plain_numbering)
+    return numbered.select(
+        surrogate_key("company", "policy_number", "fund_name", "valuation_date", "_row_in_grain")
+        .alias("valuation_sk"),
+        *_valuation_keys(), "_row_in_grain")
 
 
 TXN_COLUMNS = [
@@ -108,18 +121,9 @@ TXN_ORDER = [Order("transaction_date"), Order("amount"), Order("_loaded_at")] +
                        "claim_reason", "benefit_affected"]]
 
 
-def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame,
-                     plain_numbering: bool = False) -> DataFrame:
-    """both universes, K5 numbering over (company, transaction_id) with
-    the skew-safe split on transaction_date (all NULL ids of a tenant form
-    one grain), fund name resolved through the (company, fund_code) lookup."""
-    union = transactions_union(risk_txns, investment_txns)
-    grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
-    numbered = row_in_grain(union, grain, TXN_ORDER, split=1, plain=plain_numbering)
-    lk = fund_lookup(dim_fund)
-    joined = numbered.join(lk, ["company", "fund_code"], "left")
+def _transaction_columns(lk: DataFrame, rows: DataFrame) -> DataFrame:
+    joined = rows.join(lk, ["company", "fund_code"], "left")
     return joined.select(
-        surrogate_key("company", "transaction_id", "_row_in_grain").alias("transaction_sk"),
         guarded_key("policy_number", "company", "policy_number").alias("policy_sk"),
         guarded_key("client_id_number", "company", "client_id_number").alias("client_sk"),
         guarded_key("lookup_fund_name", "company", "lookup_fund_name").alias("fund_sk"),
@@ -129,7 +133,29 @@ def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund:
         "reference_number", "source_fund", "narrative", "claim_type", "claim_reason",
         "benefit_affected",
         F.col("transaction_id").isNotNull().alias("has_complete_grain"),
-        "amount", "units", "price_per_unit", "_loaded_at", "_row_in_grain")
+        "amount", "units", "price_per_unit", "_loaded_at",
+        *(["_row_in_grain"] if "_row_in_grain" in rows.columns else []))
+
+
+def transactions_keyed(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame) -> DataFrame:
+    """F3 rows with every foreign key but without ``transaction_sk``: the
+    vault and the roll-ups key on (company, transaction_id) and skip the
+    numbering."""
+    return _transaction_columns(fund_lookup(dim_fund), transactions_union(risk_txns, investment_txns))
+
+
+def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame,
+                     plain_numbering: bool = False) -> DataFrame:
+    """both universes, K5 numbering over (company, transaction_id) with
+    the skew-safe split on transaction_date (all NULL ids of a tenant form
+    one grain), fund name resolved through the (company, fund_code) lookup
+    (one row per code, so the join never multiplies rows)."""
+    union = transactions_union(risk_txns, investment_txns)
+    grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
+    numbered = row_in_grain(union, grain, TXN_ORDER, split=1, plain=plain_numbering)
+    keyed = _transaction_columns(fund_lookup(dim_fund), numbered)
+    return keyed.select(surrogate_key("company", "transaction_id", "_row_in_grain").alias("transaction_sk"),
+                        *[c for c in keyed.columns])
 
 
 def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: DataFrame,

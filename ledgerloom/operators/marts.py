@@ -75,8 +75,9 @@ def portfolio_aum_monthly(fct_valuations: DataFrame, dim_date: DataFrame, dim_fu
     left to AQE (it broadcasts at runtime when the fund list is small)."""
     v = (fct_valuations.where(F.col("fund_sk").isNotNull() & F.col("market_value_amount").isNotNull())
          .join(_calendar(dim_date), "date_sk"))
+    # the rank ends with the whole payload: equal ranks carry equal payloads
     rank = F.struct(F.col("valuation_date"), F.col("market_value_amount"), F.col("units"),
-                    F.col("client_sk"), F.col("_row_in_grain"))
+                    F.col("client_sk"))
     latest = (v.groupBy("company", "policy_sk", "fund_sk", "year", "month", "year_month")
               .agg(F.max_by(F.struct("market_value_amount", "units", "client_sk"), rank).alias("l"))
               .select("company", "policy_sk", "fund_sk", "year", "month", "year_month", "l.*"))

@@ -125,6 +125,15 @@ class Warehouse:
     def fct_valuations(self) -> DataFrame:
         return facts.fct_valuations(self.stg_valuations, self.plain_numbering)
 
+    @cached_property
+    def valuations_keyed(self) -> DataFrame:
+        return facts.valuations_keyed(self.stg_valuations)
+
+    @cached_property
+    def transactions_keyed(self) -> DataFrame:
+        return facts.transactions_keyed(self.stg_risk_transactions, self.stg_investment_transactions,
+                                        self.dim_fund)
+
     @cached_property
     def fct_transactions(self) -> DataFrame:
         return facts.fct_transactions(self.stg_risk_transactions, self.stg_investment_transactions,
@@ -147,7 +156,7 @@ class Warehouse:
 
     @cached_property
     def portfolio_aum_monthly(self) -> DataFrame:
-        return marts.portfolio_aum_monthly(self.fct_valuations, self.dim_date, self.dim_fund, self.run_ts)
+        return marts.portfolio_aum_monthly(self.valuations_keyed, self.dim_date, self.dim_fund, self.run_ts)
 
     @cached_property
     def risk_policy_inforce(self) -> DataFrame:

@@ -49,7 +49,7 @@ def core_tables(w):
         "fct_commissions": w.fct_commissions, "dim_advisor": w.dim_advisor, "dim_date": w.dim_date,
         "dim_policy": w.dim_policy, "fct_transactions": w.fct_transactions,
         "fct_valuations": w.fct_valuations, "dim_fund": w.dim_fund, "dim_client": w.dim_client,
-        "sat_details_run1": V.satellite_source(w.fct_transactions, V.SAT_DETAILS_COLUMNS, w.run_ts),
+        "sat_details_run1": V.satellite_source(w.transactions_keyed, V.SAT_DETAILS_COLUMNS, w.run_ts),
     }
 
 

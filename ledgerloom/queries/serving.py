@@ -195,7 +195,7 @@ def b13_fixed(spark, sf):
     (summing the mart's per-month distinct counts double-counts, trap 17)."""
     w = wh(spark, sf)
     cal = F.broadcast(w.dim_date.select("date_sk"))
-    v = w.fct_valuations.where(F.col("market_value_amount").isNotNull()).join(cal, "date_sk")
+    v = w.valuations_keyed.where(F.col("market_value_amount").isNotNull()).join(cal, "date_sk")
     return (v.join(w.dim_fund.select("fund_sk", "fund_type"), "fund_sk")
             .groupBy("company", "fund_type").agg(F.countDistinct("client_sk").alias("unique_clients")))
 
@@ -239,7 +239,7 @@ FROM (SELECT v.company, d.month_start AS year_month, CAST(sum(v.market_value_amo
       FROM fct_valuations v JOIN dim_date d ON v.date_sk = d.date_sk GROUP BY 1, 2)""")
 def b17(spark, sf):
     w = wh(spark, sf)
-    return B.aum_client_measures(w.fct_valuations, w.dim_date)
+    return B.aum_client_measures(w.valuations_keyed, w.dim_date)
 
 
 @register("b18_inforce_measures", """

@@ -32,12 +32,12 @@ def _hub(name):
 
     def run1(spark, sf):
         w = _wh(spark, sf, 1)
-        return V.insert_only_delta(V.hub_candidates(w.fct_transactions, h, w.run_ts), None, h.hk)
+        return V.insert_only_delta(V.hub_candidates(w.transactions_keyed, h, w.run_ts), None, h.hk)
 
     def run2(spark, sf):
         first = stored(run1(spark, sf))
         w2 = _wh(spark, sf, 2)
-        delta = V.insert_only_delta(V.hub_candidates(w2.fct_transactions, h, w2.run_ts), first, h.hk)
+        delta = V.insert_only_delta(V.hub_candidates(w2.transactions_keyed, h, w2.run_ts), first, h.hk)
         return first.unionByName(delta)
     return h, run1, run2
 
@@ -56,7 +56,7 @@ def _link(name):
 
     def run1(spark, sf):
         w = _wh(spark, sf, 1)
-        return V.insert_only_delta(V.link_candidates(w.fct_transactions, lk, w.run_ts), None, lk.hk)
+        return V.insert_only_delta(V.link_candidates(w.transactions_keyed, lk, w.run_ts), None, lk.hk)
     return lk, run1
 
 
@@ -66,15 +66,21 @@ for _i, _name in zip((5, 6, 7), ["lnk_transaction_policy", "lnk_transaction_clie
                                            "fct_transactions", VS.RUN1))(_r1)
 
 
+def _fact(w, collapse):
+    # the collapsed form picks the last row of a key's grain order, so it
+    # needs the numbered fact; the row-grain form only needs keyed rows
+    return w.fct_transactions if collapse else w.transactions_keyed
+
+
 def _sat(cols, collapse=False):
     def run1(spark, sf):
         w = _wh(spark, sf, 1)
-        return V.satellite_delta(V.satellite_source(w.fct_transactions, cols, w.run_ts, collapse), None)
+        return V.satellite_delta(V.satellite_source(_fact(w, collapse), cols, w.run_ts, collapse), None)
 
     def run2(spark, sf):
         first = stored(run1(spark, sf))
         w2 = _wh(spark, sf, 2)
-        src2 = V.satellite_source(w2.fct_transactions, cols, w2.run_ts, collapse)
+        src2 = V.satellite_source(_fact(w2, collapse), cols, w2.run_ts, collapse)
         return first.unionByName(V.satellite_delta(src2, first))
     return run1, run2
 
