@@ -70,15 +70,20 @@ def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str =
     under ``order``.  ``split`` leading order items are used to spread a hot
     group; ``plain=True`` gives the single-window form (for comparison).
 
-    Plan: the rows are hash-partitioned once on (grain, split key); the
-    inner row_number, the per-(grain, split key) count and the join with the
-    offsets all reuse that partitioning, so only the small count table is
-    shuffled again (to compute the running offsets per grain)."""
+    Plan: the rows are hash-partitioned once on (grain, split key) for the
+    inner row_number; the per-(grain, split key) counts are a separate
+    partial aggregation of the input (small output), their running offsets
+    a window over that small table, joined back on the same keys so the big
+    side keeps its partitioning.  Every partition spec starts with a 64-bit
+    hash of its keys: equal keys stay together, and Spark's prefix sort
+    resolves almost every comparison on that first long instead of on
+    low-cardinality strings such as the tenant."""
     gcols = [f"_g{i}" for i in range(len(partition))]
     base = df.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
     if plain or split <= 0:
-        w = Window.partitionBy(*gcols).orderBy(*[o.column() for o in order])
-        return base.withColumn(out, F.row_number().over(w)).drop(*gcols)
+        base = base.withColumn("_h", F.xxhash64(*gcols))
+        w = Window.partitionBy("_h", *gcols).orderBy(*[o.column() for o in order])
+        return base.withColumn(out, F.row_number().over(w)).drop("_h", *gcols)
 
     split = min(split, len(order))
     exprs, scols, sorder = [], [], []
@@ -89,12 +94,14 @@ def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str =
         # NULLs last  <=> flag ascending; NULLs first <=> flag descending
         sorder.append(F.col(names[0]).asc() if o.nulls_last else F.col(names[0]).desc())
         sorder.append(o.column(F.col(names[1])))
-    keys = gcols + scols
     base = base.select("*", *exprs)
+    base = base.withColumn("_h", F.xxhash64(*gcols, *scols))
+    keys = ["_h"] + gcols + scols
     inner = Window.partitionBy(*keys).orderBy(*[o.column() for o in order[split:]] or [F.lit(1)])
     numbered = base.withColumn("_rn", F.row_number().over(inner))
-    counts = numbered.groupBy(*keys).agg(F.max("_rn").alias("_n"))
-    before = Window.partitionBy(*gcols).orderBy(*sorder).rowsBetween(Window.unboundedPreceding, -1)
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy(F.xxhash64(*gcols).alias("_hg"), *gcols).orderBy(*sorder)
+              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     joined = numbered.join(offsets, keys, "inner")
     return (joined.withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))

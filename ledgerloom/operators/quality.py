@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.tables import stage
+
 KINDS = ("not_null", "unique", "accepted_values", "relationships", "unique_combination_of_columns")
 
 
@@ -80,7 +82,8 @@ def _batched_column_checks(tables: dict[str, DataFrame], tests: list[DataTest])
 def run_tests(tables: dict[str, DataFrame], tests: list[DataTest], materialise: bool = True) -> DataFrame:
     """Evaluate a suite.  With ``materialise`` every table read by two or
     more tests is checkpointed once to the shared folder first, so it is
-    computed once instead of once per test."""
+    computed once instead of once per test (a written table, see
+    ``plans.tables.stage``)."""
     if materialise:
         uses: dict[str, int] = {}
         needed: dict[str, set] = {}
@@ -93,7 +96,7 @@ def run_tests(tables: dict[str, DataFrame], tests: list[DataTest], materialise:
             if t.to:
                 uses[t.to] = uses.get(t.to, 0) + 1
                 needed.setdefault(t.to, set()).add(t.field)
-        tables = {n: (df.select(*sorted(needed[n])).checkpoint(eager=True) if uses[n] > 1
+        tables = {n: (stage(df.select(*sorted(needed[n])), f"test-{n}") if uses[n] > 1
                       else df.select(*sorted(needed[n])))
                   for n, df in tables.items() if n in uses}
     column_tests = [t for t in tests if t.kind in ("not_null", "accepted_values")]

@@ -10,6 +10,7 @@ from ..catalog import register
 from ..oracle import vault_sql as VS
 from ..operators import scd
 from ..operators import vault as V
+from ..plans.tables import stage
 from ..plans.warehouse import Warehouse
 
 RUN1 = "2024-06-30 00:00:00"
@@ -17,9 +18,9 @@ RUN2 = "2024-07-31 00:00:00"
 
 
 def stored(df):
-    """Run-1 output as a written table: checkpointed to the shared folder,
-    which cuts the lineage so run 2 reads it instead of recomputing it."""
-    return df.checkpoint(eager=True)
+    """Run-1 output as a written table in the shared folder: run 2 reads it
+    instead of recomputing it, as it would read the real target table."""
+    return stage(df, "run1")
 
 
 def _wh(spark, sf, run: int) -> Warehouse:
