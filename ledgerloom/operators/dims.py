@@ -165,14 +165,28 @@ def latest_risk_policies(risk_policies: DataFrame) -> DataFrame:
     policy key is pre-combined before the shuffle.  A NULL stamp
     loses to any real one (max ignores NULL only at the top level, so NULL is
     mapped to a sentinel that sorts first)."""
-    payload = F.struct(*[F.col(c) for c in RISK_POLICY_ATTRIBUTES + ["_loaded_at"]])
-    rank = F.struct(F.col("_loaded_at").isNotNull().alias("has_ts"),
+    payload = F.struct(*[F.col(c) for c in RISK_POLICY_ATTRIBUTES + ["_loaded_at", "advisor_identifier"]])
+    return (risk_policies.where(F.col("policy_number").isNotNull())
+            .groupBy("company", "policy_number")
+            .agg(F.max_by(payload, latest_load_rank()).alias("p"))
+            .select("company", "policy_number", "p.*")
+            .drop("advisor_identifier"))
+
+
+def latest_load_rank() -> F.Column:
+    """Rank of a risk-master row: non-NULL load stamp first, latest stamp,
+    then every attribute (and the advisor) so the pick is total."""
+    return F.struct(F.col("_loaded_at").isNotNull().alias("has_ts"),
                     F.col("_loaded_at").alias("ts"),
-                    *[F.col(c).alias(c) for c in RISK_POLICY_ATTRIBUTES])
+                    *[F.col(c).alias(c) for c in RISK_POLICY_ATTRIBUTES + ["advisor_identifier"]])
+
+
+def latest_risk_advisors(risk_policies: DataFrame) -> DataFrame:
+    """(company, policy_number, advisor_identifier) of the latest load: the
+    advisor the risk master carries, for the corrected policy fact."""
     return (risk_policies.where(F.col("policy_number").isNotNull())
             .groupBy("company", "policy_number")
-            .agg(F.max_by(payload, rank).alias("p"))
-            .select("company", "policy_number", "p.*"))
+            .agg(F.max_by("advisor_identifier", latest_load_rank()).alias("advisor_identifier")))
 
 
 def dim_policy(risk_policies: DataFrame, valuations: DataFrame, investment_txns: DataFrame,

@@ -101,6 +101,23 @@ def portfolio_aum_monthly(fct_valuations: DataFrame, dim_date: DataFrame, dim_fu
         F.lit(run_ts).alias("_loaded_at"))
 
 
+def calendar_aum_windows(m2: DataFrame) -> DataFrame:
+    """M2 corrected (trap 4): the prior month is exactly one calendar month
+    earlier (equi-join on the shifted month, NULL when that month has no
+    row), and the trailing average covers the last 12 *calendar* months
+    (a range frame over a month index; months without a row are absent, not
+    zero)."""
+    prev = m2.select("company", "fund_sk", F.add_months("year_month", 1).alias("year_month"),
+                     F.col("aum_amount").alias("aum_prior_month"))
+    base = m2.drop("aum_prior_month", "aum_mom_change", "aum_mom_pct_change", "aum_12m_avg")
+    idx = (F.col("year") * 12 + F.col("month")).cast("int")
+    w = Window.partitionBy("company", "fund_sk").orderBy(idx).rangeBetween(-11, 0)
+    return (base.join(prev, ["company", "fund_sk", "year_month"], "left")
+            .withColumn("aum_mom_change", (F.col("aum_amount") - F.col("aum_prior_month")).cast("decimal(38,2)"))
+            .withColumn("aum_mom_pct_change", F.round(pct_change("aum_amount", "aum_prior_month"), 6))
+            .withColumn("aum_12m_avg", F.round(F.avg("aum_amount").over(w).cast("double"), 6)))
+
+
 def risk_policy_inforce(dim_policy: DataFrame, run_ts) -> DataFrame:
     """M3: RISK policies by company x status x smoker x bracket (NULL ->
     'UNKNOWN'); conditional counts are ``count_if``, rates are guarded."""

@@ -124,6 +124,25 @@ def f4(spark, sf):
     return wh(spark, sf).fct_policies
 
 
+@register("f4_fct_policies_fixed", """
+SELECT f.* REPLACE (CASE WHEN a.advisor_identifier IS NOT NULL
+                         THEN md5(concat_ws('-', coalesce(CAST(a.company AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+                                            coalesce(CAST(a.advisor_identifier AS VARCHAR), '_dbt_utils_surrogate_key_null_')))
+                    END AS advisor_sk)
+FROM fct_policies f
+LEFT JOIN risk_latest_advisor a
+  ON f.policy_sk = md5(concat_ws('-', coalesce(CAST(a.company AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+                                  coalesce(CAST(a.policy_number AS VARCHAR), '_dbt_utils_surrogate_key_null_')))""")
+def f4_fixed(spark, sf):
+    """Trap 1: the policy fact's advisor key resolved from the risk master."""
+    from ..operators import dims as D
+    w = wh(spark, sf)
+    return facts.fct_policies(
+        w.dim_policy, w.fct_commissions, w.stg_valuations,
+        facts.transactions_union(w.stg_risk_transactions, w.stg_investment_transactions),
+        w.as_of, w.run_ts, fix_advisor=True, risk_advisors=D.latest_risk_advisors(w.stg_risk_policies))
+
+
 # ------------------------------------------------------------------ marts
 @register("m1_finance_advisor_commissions_monthly", "SELECT * FROM mart_finance")
 def m1(spark, sf):
@@ -146,6 +165,20 @@ def m2(spark, sf):
     return wh(spark, sf).portfolio_aum_monthly
 
 
+@register("m2_portfolio_aum_monthly_fixed", """
+SELECT m.* REPLACE (p.aum_amount AS aum_prior_month,
+    CAST(m.aum_amount - p.aum_amount AS DECIMAL(38,2)) AS aum_mom_change,
+    round(CASE WHEN p.aum_amount IS NOT NULL AND p.aum_amount <> 0
+               THEN (m.aum_amount - p.aum_amount) / p.aum_amount END, 6) AS aum_mom_pct_change,
+    round(avg(m.aum_amount) OVER (PARTITION BY m.company, m.fund_sk ORDER BY m.year * 12 + m.month
+                                  RANGE BETWEEN 11 PRECEDING AND CURRENT ROW), 6) AS aum_12m_avg)
+FROM mart_aum m
+LEFT JOIN mart_aum p ON m.company = p.company AND m.fund_sk = p.fund_sk
+ AND m.year_month = CAST(p.year_month + INTERVAL 1 MONTH AS DATE)""")
+def m2_fixed(spark, sf):
+    return marts.calendar_aum_windows(wh(spark, sf).portfolio_aum_monthly)
+
+
 @register("m3_risk_policy_inforce", "SELECT * FROM mart_risk")
 def m3(spark, sf):
     return wh(spark, sf).risk_policy_inforce

@@ -137,3 +137,16 @@ def s8_policies(spark, sf):
 @register("s8_ops_generated_claims")
 def s8_claims(spark, sf):
     return ops.generated_ops(TableSource(spark, sf))[1]
+
+
+@register("s9_table_store_roundtrip", "SELECT * FROM mart_finance")
+def s9(spark, sf):
+    """Sink: the mart written as a run of the versioned table store, twice
+    (a retried run), and read back as the latest run."""
+    from ..plans.build import TableStore
+    from ..plans.warehouse import Warehouse
+    store = TableStore(spark, _fresh(spark, "store"))
+    m1 = Warehouse.from_fixtures(spark, sf).finance_advisor_commissions_monthly
+    for _ in range(2):
+        store.write_run("finance_advisor_commissions_monthly", m1, "20240630T000000")
+    return store.latest("finance_advisor_commissions_monthly")
