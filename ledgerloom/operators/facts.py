@@ -145,14 +145,14 @@ def transactions_keyed(risk_txns: DataFrame, investment_txns: DataFrame, dim_fun
 
 
 def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame,
-                     plain_numbering: bool = False) -> DataFrame:
+                     plain_numbering: bool = False, hot_rows: int | None = None) -> DataFrame:
     """both universes, K5 numbering over (company, transaction_id) with
     the skew-safe split on transaction_date (all NULL ids of a tenant form
     one grain), fund name resolved through the (company, fund_code) lookup
     (one row per code, so the join never multiplies rows)."""
     union = transactions_union(risk_txns, investment_txns)
     grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
-    numbered = row_in_grain(union, grain, TXN_ORDER, split=1, plain=plain_numbering)
+    numbered = row_in_grain(union, grain, TXN_ORDER, split=1, plain=plain_numbering, hot_rows=hot_rows)
     keyed = _transaction_columns(fund_lookup(dim_fund), numbered)
     return keyed.select(surrogate_key("company", "transaction_id", "_row_in_grain").alias("transaction_sk"),
                         *[c for c in keyed.columns])

@@ -64,45 +64,75 @@ def _split_key(df: DataFrame, o: Order, i: int) -> tuple[list[Column], list[str]
     return [e.isNull().alias(flag), F.coalesce(e, _filler(dtype)).alias(val)], [flag, val]
 
 
+# Grains with more rows than this take the split path.  At this size a
+# single window task is still comfortable; above it the grain is spread over
+# its split-key values.
+HOT_GRAIN_ROWS = 1_000_000
+# The hot set is broadcast only when its proven bound fits under this size:
+# at most rows / (HOT_GRAIN_ROWS + 1) grains of (8-byte hash + flag).
+HOT_SET_BROADCAST_BYTES = 64 << 20
+HOT_SET_ROW_BYTES = 32
+
+
 def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str = "_row_in_grain",
-                 split: int = 1, plain: bool = False) -> DataFrame:
+                 split: int = 1, plain: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Append ``out`` = row number of each row inside its grain ``partition``
     under ``order``.  ``split`` leading order items are used to spread a hot
     group; ``plain=True`` gives the single-window form (for comparison).
 
-    Plan: the rows are hash-partitioned once on (grain, split key) for the
-    inner row_number; the per-(grain, split key) counts are a separate
-    partial aggregation of the input (small output), their running offsets
-    a window over that small table, joined back on the same keys so the big
-    side keeps its partitioning.  Every partition spec starts with a 64-bit
-    hash of its keys: equal keys stay together, and Spark's prefix sort
-    resolves almost every comparison on that first long instead of on
-    low-cardinality strings such as the tenant."""
+    Plan:
+      1. rows per grain, counted on a 64-bit hash of the grain (16-byte
+         rows, partial aggregation before the shuffle); grains above
+         ``hot_rows`` form the hot set (hash collisions only make a grain
+         take the exact split path too);
+      2. the hot set is joined back to the rows (AQE broadcasts it when it
+         is small, a runtime size check; otherwise a shuffle join);
+      3. ordinary grains: one window partitioned by the grain;
+      4. hot grains: ``offset(grain, split key) + row_number() within
+         (grain, split key)``, the offsets being a running sum over the
+         per-(grain, split key) counts.
+    Every window partition spec starts with a 64-bit hash of its keys, so
+    Spark's prefix sort resolves comparisons on one long."""
+    hot_rows = HOT_GRAIN_ROWS if hot_rows is None else hot_rows
     gcols = [f"_g{i}" for i in range(len(partition))]
     base = df.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
+    base = base.withColumn("_gh", F.xxhash64(*gcols))
     if plain or split <= 0:
-        base = base.withColumn("_h", F.xxhash64(*gcols))
-        w = Window.partitionBy("_h", *gcols).orderBy(*[o.column() for o in order])
-        return base.withColumn(out, F.row_number().over(w)).drop("_h", *gcols)
-
+        w = Window.partitionBy("_gh", *gcols).orderBy(*[o.column() for o in order])
+        return base.withColumn(out, F.row_number().over(w)).drop("_gh", *gcols)
+
+    hot = (base.groupBy("_gh").agg(F.count(F.lit(1)).alias("_size"))
+           .where(F.col("_size") > hot_rows).select("_gh", F.lit(True).alias("_hot")))
+    # size check: a hot grain has more than hot_rows rows, so there are at
+    # most rows // (hot_rows + 1) of them; broadcast only under the bound,
+    # otherwise a shuffle join (one scalar row count, no data to the driver)
+    bound = df.count() // (hot_rows + 1) * HOT_SET_ROW_BYTES
+    flagged = base.join(F.broadcast(hot) if bound <= HOT_SET_BROADCAST_BYTES else hot, "_gh", "left")
+    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
+    w = Window.partitionBy("_gh", *gcols).orderBy(*[o.column() for o in order])
+    cold = cold.withColumn(out, F.row_number().over(w).cast("int"))
+
+    hot_rows_df = flagged.where(F.col("_hot")).drop("_hot")
     split = min(split, len(order))
     exprs, scols, sorder = [], [], []
     for i, o in enumerate(order[:split]):
-        e, names = _split_key(base, o, i)
+        e, names = _split_key(hot_rows_df, o, i)
         exprs += e
         scols += names
         # NULLs last  <=> flag ascending; NULLs first <=> flag descending
         sorder.append(F.col(names[0]).asc() if o.nulls_last else F.col(names[0]).desc())
         sorder.append(o.column(F.col(names[1])))
-    base = base.select("*", *exprs)
-    base = base.withColumn("_h", F.xxhash64(*gcols, *scols))
+    hb = hot_rows_df.select("*", *exprs)
+    hb = hb.withColumn("_h", F.xxhash64(*gcols, *scols))
     keys = ["_h"] + gcols + scols
     inner = Window.partitionBy(*keys).orderBy(*[o.column() for o in order[split:]] or [F.lit(1)])
-    numbered = base.withColumn("_rn", F.row_number().over(inner))
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy(F.xxhash64(*gcols).alias("_hg"), *gcols).orderBy(*sorder)
+    numbered = hb.withColumn("_rn", F.row_number().over(inner))
+    counts = hb.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy("_gh", *gcols).orderBy(*sorder)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    joined = numbered.join(offsets, keys, "inner")
-    return (joined.withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
-                  .drop("_off", "_rn", *keys))
+    offsets = (counts.withColumn("_gh", F.xxhash64(*gcols))
+               .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    hot_numbered = (numbered.join(offsets, keys, "inner")
+                    .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
+                    .drop("_off", "_rn", "_h", *scols))
+    return cold.unionByName(hot_numbered).drop("_gh", *gcols)

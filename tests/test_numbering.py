@@ -18,7 +18,7 @@ def test_skew_safe_equals_plain_on_hot_group(spark):
         F.col("id"))
     for nulls_last in (True, False):
         order = [Order("d", True, nulls_last), Order("a", False, True), Order("id")]
-        safe = row_in_grain(df, ["k"], order, split=1)
+        safe = row_in_grain(df, ["k"], order, split=1, hot_rows=100)   # HOT takes the split path
         plain = row_in_grain(df, ["k"], order, plain=True)
         assert _rows(safe) == _rows(plain)
 
@@ -27,4 +27,6 @@ def test_two_split_columns(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("k"), (F.col("id") % 3).alias("d"),
                                  (F.col("id") % 5).alias("a"), F.col("id"))
     order = [Order("d"), Order("a"), Order("id")]
-    assert _rows(row_in_grain(df, ["k"], order, split=2)) == _rows(row_in_grain(df, ["k"], order, plain=True))
+    for hot_rows in (0, 1000):       # every grain hot / no grain hot
+        got = row_in_grain(df, ["k"], order, split=2, hot_rows=hot_rows)
+        assert _rows(got) == _rows(row_in_grain(df, ["k"], order, plain=True))
