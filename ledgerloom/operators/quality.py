@@ -96,9 +96,15 @@ def run_tests(tables: dict[str, DataFrame], tests: list[DataTest], materialise:
             if t.to:
                 uses[t.to] = uses.get(t.to, 0) + 1
                 needed.setdefault(t.to, set()).add(t.field)
-        tables = {n: (stage(df.select(*sorted(needed[n])), f"test-{n}") if uses[n] > 1
-                      else df.select(*sorted(needed[n])))
-                  for n, df in tables.items() if n in uses}
+        from ..plans.build import run_wave
+        pruned = {n: df.select(*sorted(needed[n])) for n, df in tables.items() if n in uses}
+        shared = [n for n in pruned if uses[n] > 1]
+        staged: dict[str, DataFrame] = {}
+
+        def stage_one(n):
+            staged[n] = stage(pruned[n], f"test-{n}")
+        run_wave([lambda n=n: stage_one(n) for n in shared])
+        tables = {n: staged.get(n, df) for n, df in pruned.items()}
     column_tests = [t for t in tests if t.kind in ("not_null", "accepted_values")]
     other = [t for t in tests if t.kind not in ("not_null", "accepted_values")]
     parts = _batched_column_checks(tables, column_tests)

@@ -23,6 +23,7 @@ older runs' files.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -80,67 +81,89 @@ class TableStore:
         return None if df is None else df.drop("run")
 
 
+BUILD_THREADS = 4
+
+
+def run_wave(tasks: list, threads: int = BUILD_THREADS) -> None:
+    """Submit independent writes as concurrent Spark jobs (the way a
+    model runner uses several client threads); waits for all, re-raises the
+    first failure."""
+    if threads <= 1 or len(tasks) <= 1:
+        for task in tasks:
+            task()
+        return
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for f in [pool.submit(task) for task in tasks]:
+            f.result()
+
+
 FULL_REBUILD = ["dim_date", "dim_advisor", "dim_client", "dim_fund", "dim_product", "dim_policy",
                 "fct_commissions", "fct_valuations", "fct_transactions", "fct_policies"]
 
 
-def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str) -> DataFrame:
+def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int = BUILD_THREADS) -> DataFrame:
     """Build everything for one run; returns the data-test results (a small
-    DataFrame, also written to the store as ``test_results``)."""
-    spark, rid = store.spark, run_id_of(run_ts)
+    DataFrame, also written to the store as ``test_results``).  Layers run
+    as waves of independent writes: dims; facts; then vault, snapshot,
+    policy fact and marts (all of which read only stored dims and facts)."""
+    rid = run_id_of(run_ts)
     ts = F.lit(run_ts).cast("timestamp_ntz")
 
-    # ---- dimensions (full rebuild)
-    built = {
-        "dim_date": wh.dim_date, "dim_advisor": wh.dim_advisor, "dim_client": wh.dim_client,
-        "dim_fund": wh.dim_fund, "dim_product": wh.dim_product, "dim_policy": wh.dim_policy,
+    def write(name, make):
+        return lambda: store.write_run(name, make(), rid)
+
+    # ---- wave 1: dimensions (full rebuild)
+    dims_built = {
+        "dim_date": lambda: wh.dim_date, "dim_advisor": lambda: wh.dim_advisor,
+        "dim_client": lambda: wh.dim_client, "dim_fund": lambda: wh.dim_fund,
+        "dim_product": lambda: wh.dim_product, "dim_policy": lambda: wh.dim_policy,
     }
-    for name, df in built.items():
-        store.write_run(name, df, rid)
-    t = {n: store.latest(n) for n in built}
-
-    # ---- facts (from staging + stored dims)
-    store.write_run("fct_commissions", facts.fct_commissions(wh.stg_commissions), rid)
-    store.write_run("fct_valuations", facts.fct_valuations(wh.stg_valuations), rid)
-    store.write_run("fct_transactions", facts.fct_transactions(
-        wh.stg_risk_transactions, wh.stg_investment_transactions, t["dim_fund"]), rid)
+    run_wave([write(n, m) for n, m in dims_built.items()], threads)
+    t = {n: store.latest(n) for n in dims_built}
+
+    # ---- wave 2: facts (from staging + stored dims)
+    run_wave([
+        write("fct_commissions", lambda: facts.fct_commissions(wh.stg_commissions)),
+        write("fct_valuations", lambda: facts.fct_valuations(wh.stg_valuations)),
+        write("fct_transactions", lambda: facts.fct_transactions(
+            wh.stg_risk_transactions, wh.stg_investment_transactions, t["dim_fund"])),
+    ], threads)
     for n in ("fct_commissions", "fct_valuations", "fct_transactions"):
         t[n] = store.latest(n)
-    store.write_run("fct_policies", facts.fct_policies(
-        t["dim_policy"], t["fct_commissions"], t["fct_valuations"], t["fct_transactions"],
-        wh.as_of, ts), rid)
-    t["fct_policies"] = store.latest("fct_policies")
-
-    # ---- vault (insert-only / guarded append); each delta read against the stored table
     txns = t["fct_transactions"]
+
+    # ---- wave 3: vault (each delta against runs before this one), snapshot, policy fact, marts
+    tasks = [write("fct_policies", lambda: facts.fct_policies(
+        t["dim_policy"], t["fct_commissions"], t["fct_valuations"], txns, wh.as_of, ts))]
     for hub in V.HUBS.values():
-        delta = V.insert_only_delta(V.hub_candidates(txns, hub, ts), store.every_run(hub.name, rid), hub.hk)
-        store.write_run(hub.name, delta, rid)
+        tasks.append(write(hub.name, lambda hub=hub: V.insert_only_delta(
+            V.hub_candidates(txns, hub, ts), store.every_run(hub.name, rid), hub.hk)))
     for link in V.LINKS.values():
-        delta = V.insert_only_delta(V.link_candidates(txns, link, ts), store.every_run(link.name, rid), link.hk)
-        store.write_run(link.name, delta, rid)
+        tasks.append(write(link.name, lambda link=link: V.insert_only_delta(
+            V.link_candidates(txns, link, ts), store.every_run(link.name, rid), link.hk)))
     for name, cols in V.SATELLITES.items():
-        target = store.every_run(name, rid)
-        delta = V.satellite_delta(V.satellite_source(txns, cols, ts), target)
-        store.write_run(name, delta, rid)
+        tasks.append(write(name, lambda name=name, cols=cols: V.satellite_delta(
+            V.satellite_source(txns, cols, ts), store.every_run(name, rid))))
 
-    # ---- SCD-2 snapshot: append closed versions, rewrite the open set
     closed_before = store.every_run("snp_dim_policy/closed", rid)
     open_before = store.latest("snp_dim_policy/open", rid)
     if open_before is None:
-        store.write_run("snp_dim_policy/open", scd.first_snapshot(t["dim_policy"], ts), rid)
+        tasks.append(write("snp_dim_policy/open", lambda: scd.first_snapshot(t["dim_policy"], ts)))
     else:
         snapshot = open_before if closed_before is None else open_before.unionByName(closed_before)
         closed_now, open_after = scd.snapshot_step(snapshot, t["dim_policy"], ts)
-        store.write_run("snp_dim_policy/closed", closed_now, rid)
-        store.write_run("snp_dim_policy/open", open_after, rid)
-
-    # ---- marts
-    store.write_run("finance_advisor_commissions_monthly", marts.finance_advisor_commissions_monthly(
-        t["fct_commissions"], t["dim_date"], ts), rid)
-    store.write_run("portfolio_aum_monthly", marts.portfolio_aum_monthly(
-        t["fct_valuations"], t["dim_date"], t["dim_fund"], ts), rid)
-    store.write_run("risk_policy_inforce", marts.risk_policy_inforce(t["dim_policy"], ts), rid)
+        tasks.append(write("snp_dim_policy/closed", lambda: closed_now))
+        tasks.append(write("snp_dim_policy/open", lambda: open_after))
+
+    tasks += [
+        write("finance_advisor_commissions_monthly", lambda: marts.finance_advisor_commissions_monthly(
+            t["fct_commissions"], t["dim_date"], ts)),
+        write("portfolio_aum_monthly", lambda: marts.portfolio_aum_monthly(
+            t["fct_valuations"], t["dim_date"], t["dim_fund"], ts)),
+        write("risk_policy_inforce", lambda: marts.risk_policy_inforce(t["dim_policy"], ts)),
+    ]
+    run_wave(tasks, threads)
+    t["fct_policies"] = store.latest("fct_policies")
 
     # ---- data tests over the stored tables
     tables = dict(t)
