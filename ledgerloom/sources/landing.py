@@ -199,6 +199,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def ensure_quarantine_table(spark: SparkSession, quarantine_path: str) -> None:
+    """Create the quarantine table (no rows) if it does not exist yet, so
+    capture always has a target to anti-join against."""
+    if read_table(spark, quarantine_path) is None:
+        from ..operators.quarantine import QUARANTINE_COLUMNS
+        schema = ", ".join(f"{c} {t}" for c, t in QUARANTINE_COLUMNS)
+        spark.createDataFrame([], schema).write.mode("append").parquet(quarantine_path)
+
+
 def ingest_batch(spark: SparkSession, drop: str, landing_root: str, quarantine_path: str, run_ts,
                  load_id: str, shapes=SHAPES) -> None:
     """Load one drop folder: every shape appended under ``landing_root``,
@@ -208,6 +217,7 @@ def ingest_batch(spark: SparkSession, drop: str, landing_root: str, quarantine_p
     filtered on a materialised scan) and reused by every shape."""
     from ..operators.quarantine import capture
 
+    ensure_quarantine_table(spark, quarantine_path)
     routed = read_routed(spark, drop).persist()
     try:
         good, bad = split(routed)

@@ -53,6 +53,7 @@ def start_file_ingest(spark: SparkSession, drop: str, landing_root: str, quarant
     """Start the ingest stream.  ``available_now`` processes everything that
     is there and stops (the scheduled-run form); otherwise it polls every
     ``processing_time``."""
+    L.ensure_quarantine_table(spark, quarantine_path)
     writer = (raw_stream(spark, drop, max_files_per_trigger).writeStream
               .foreachBatch(make_batch_writer(landing_root, quarantine_path, run_ts))
               .option("checkpointLocation", checkpoint))
