@@ -58,13 +58,24 @@ def _link(name):
     def run1(spark, sf):
         w = _wh(spark, sf, 1)
         return V.insert_only_delta(V.link_candidates(w.transactions_keyed, lk, w.run_ts), None, lk.hk)
-    return lk, run1
+
+    def run2(spark, sf):
+        first = stored(run1(spark, sf))
+        w2 = _wh(spark, sf, 2)
+        delta = V.insert_only_delta(V.link_candidates(w2.transactions_keyed, lk, w2.run_ts), first, lk.hk)
+        return first.unionByName(delta)
+    return lk, run1, run2
 
 
 for _i, _name in zip((5, 6, 7), ["lnk_transaction_policy", "lnk_transaction_client", "lnk_transaction_fund"]):
-    _l, _r1 = _link(_name)
-    register(f"v{_i}_{_name}", VS.link_sql(_l.hk, list(_l.keys), [(n, list(k)) for n, k in _l.hubs],
-                                           "fct_transactions", VS.RUN1))(_r1)
+    _l, _r1, _r2 = _link(_name)
+    _hubs = [(n, list(k)) for n, k in _l.hubs]
+    _s1 = VS.link_sql(_l.hk, list(_l.keys), _hubs, "fct_transactions", VS.RUN1)
+    _s2 = VS.link_sql(_l.hk, list(_l.keys), _hubs, "fct_transactions_v1", VS.RUN2)
+    register(f"v{_i}_{_name}", _s1)(_r1)
+    register(f"v{_i}_{_name}_run2",
+             f"SELECT * FROM ({_s1}) a UNION ALL SELECT * FROM ({_s2}) b "
+             f"WHERE b.{_l.hk} NOT IN (SELECT {_l.hk} FROM ({_s1}))")(_r2)
 
 
 def _fact(w, collapse):
