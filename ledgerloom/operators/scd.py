@@ -7,7 +7,7 @@ a new one opened.  Unchanged keys are untouched; keys absent from the new
 state stay open (hard deletes are not invalidated).
 
 Physically only the *open* versions are ever rewritten; closed versions are
-append-only (see ``plans.tables.SnapshotTable``).
+append-only (see the store layout in ``plans.build``).
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def changed(check_cols=CHECK_COLUMNS, left: str = "o", right: str = "n") -> F.Co
 
 
 def snapshot_step(snapshot: DataFrame, state: DataFrame, run_ts,
-                  check_cols=CHECK_COLUMNS) -> tuple[DataFrame, DataFrame]:
+                  check_cols=CHECK_COLUMNS, materialise=None) -> tuple[DataFrame, DataFrame]:
     """One snapshot run.  Returns (closed_now, open_after):
 
     * ``closed_now``: open versions whose key changed, with ``dbt_valid_to``
@@ -60,7 +60,9 @@ def snapshot_step(snapshot: DataFrame, state: DataFrame, run_ts,
       untouched-missing and newly inserted).
 
     Only the open versions of ``snapshot`` are read; they are joined to the
-    new state on the unique key (one shuffle of each side on the key)."""
+    new state on the unique key (one shuffle of each side on the key).
+    ``materialise`` (e.g. ``plans.tables.stage``) writes the classified join
+    once when the two outputs are written by separate jobs."""
     open_v = snapshot.where(F.col("dbt_valid_to").isNull())
     o, n = open_v.alias("o"), state.alias("n")
     j = o.join(n, F.col(f"o.{UNIQUE_KEY}") == F.col(f"n.{UNIQUE_KEY}"), "full_outer")
@@ -68,6 +70,17 @@ def snapshot_step(snapshot: DataFrame, state: DataFrame, run_ts,
     is_new = F.col(f"o.{UNIQUE_KEY}").isNull()
     keep_open = F.col(f"o.{UNIQUE_KEY}").isNotNull() & ~is_change
     j = j.withColumn("_change", is_change).withColumn("_new", is_new).withColumn("_keep", keep_open)
+    if materialise is not None:
+        flat = j.select(*[F.col(f"o.{c}").alias(f"o__{c}") for c in open_v.columns],
+                        *[F.col(f"n.{c}").alias(f"n__{c}") for c in state.columns], "_change", "_new", "_keep")
+        flat = materialise(flat)
+        ocols = [F.col(f"o__{c}").alias(c) for c in open_v.columns]
+        closed_now = (flat.where("_change").select(*ocols)
+                      .withColumn("dbt_valid_to", F.lit(run_ts).cast("timestamp_ntz")))
+        kept = flat.where("_keep").select(*ocols)
+        inserted = _new_versions(flat.where(F.col("_change") | F.col("_new"))
+                                 .select(*[F.col(f"n__{c}").alias(c) for c in state.columns]), run_ts)
+        return closed_now, kept.unionByName(inserted)
     ocols = [F.col(f"o.{c}").alias(c) for c in open_v.columns]
     closed_now = (j.where("_change").select(*ocols)
                   .withColumn("dbt_valid_to", F.lit(run_ts).cast("timestamp_ntz")))

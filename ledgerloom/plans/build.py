@@ -34,6 +34,7 @@ from ..operators import dims, facts, marts, scd
 from ..operators import vault as V
 from ..operators.quality import DataTest, run_tests
 from ..schemas import TENANTS
+from .tables import stage
 from .warehouse import Warehouse
 
 
@@ -151,7 +152,8 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
         tasks.append(write("snp_dim_policy/open", lambda: scd.first_snapshot(t["dim_policy"], ts)))
     else:
         snapshot = open_before if closed_before is None else open_before.unionByName(closed_before)
-        closed_now, open_after = scd.snapshot_step(snapshot, t["dim_policy"], ts)
+        closed_now, open_after = scd.snapshot_step(snapshot, t["dim_policy"], ts,
+                                                   materialise=lambda df: stage(df, "snapshot-join"))
         tasks.append(write("snp_dim_policy/closed", lambda: closed_now))
         tasks.append(write("snp_dim_policy/open", lambda: open_after))
 

@@ -71,3 +71,19 @@ def test_snapshot_three_runs(spark):
     assert open_per_key.where("count != 1").count() == 0  # exactly one open version per key
     hist = scd.dim_policy_history(s3)
     assert scd.policy_as_of(hist, "2024-07-15 00:00:00").count() == s1.count()
+
+
+def test_point_in_time_join_picks_the_version_valid_then(spark):
+    history = spark.createDataFrame(
+        [("p1", "A", "2024-01-01 00:00:00", "2024-02-01 00:00:00"),
+         ("p1", "B", "2024-02-01 00:00:00", "9999-12-31 00:00:00"),
+         ("p2", "C", "2024-03-01 00:00:00", "9999-12-31 00:00:00")],
+        "policy_sk string, policy_status string, valid_from string, valid_to string",
+    ).select("policy_sk", "policy_status", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
+             F.col("valid_to").cast("timestamp_ntz").alias("valid_to"))
+    facts = spark.createDataFrame(
+        [("f1", "p1", "2024-01-15 00:00:00"), ("f2", "p1", "2024-02-01 00:00:00"),
+         ("f3", "p2", "2024-02-15 00:00:00"), ("f4", "p9", "2024-02-15 00:00:00")],
+        "fact string, policy_sk string, ts string")
+    out = {r.fact: r.pit_policy_status for r in scd.point_in_time_join(facts, history, "ts").collect()}
+    assert out == {"f1": "A", "f2": "B", "f3": None, "f4": None}   # every fact row kept once
