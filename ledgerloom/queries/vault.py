@@ -6,6 +6,8 @@ the run-1 content plus the guarded delta of run 2."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..catalog import register
 from ..oracle import vault_sql as VS
 from ..operators import scd
@@ -138,3 +140,20 @@ def d8(spark, sf):
 SELECT * FROM policy_history WHERE valid_from <= {VS.RUN2} AND {VS.RUN2} < valid_to""")
 def d8_run2(spark, sf):
     return scd.policy_as_of(scd.dim_policy_history(snapshot_after_run2(spark, sf)), RUN2)
+
+
+@register("d8_point_in_time_join", """
+SELECT f.policy_sk, f.snapshot_date, f.policy_status, h.policy_status AS pit_policy_status,
+  h.policy_version_id AS pit_policy_version_id, h.valid_from AS pit_valid_from
+FROM fct_policies f
+LEFT JOIN policy_history h
+  ON f.policy_sk = h.policy_sk AND h.valid_from <= CAST(f.snapshot_date AS TIMESTAMP)
+ AND CAST(f.snapshot_date AS TIMESTAMP) < h.valid_to""")
+def d8_join(spark, sf):
+    """Each policy-fact row joined to the policy version valid at its
+    snapshot date (equi-join on the key plus the validity range)."""
+    hist = scd.dim_policy_history(snapshot_after_run2(spark, sf))
+    f = _wh(spark, sf, 1).fct_policies.select("policy_sk", "snapshot_date", "policy_status")
+    j = scd.point_in_time_join(f, hist, "snapshot_date")
+    return j.select("policy_sk", "snapshot_date", "policy_status", "pit_policy_status",
+                    F.col("pit_policy_version_id"), "pit_valid_from")
