@@ -164,3 +164,18 @@ SELECT count(*) > 0 AS alert FROM (SELECT 1 FROM quarantine_table
 WHERE captured_at > TIMESTAMP '{NOW}' - INTERVAL 60 MINUTE LIMIT 1)""")
 def q4(spark, sf):
     return Q.alert(quarantine_table(spark, sf), NOW)
+
+
+# --------------------------------------------------------------- one query per test kind
+def _kind_suite(kind):
+    tests = [t for t in CORE_SUITE if t.kind == kind]
+
+    def run(spark, sf):
+        return run_tests(core_tables(wh(spark, sf)), tests)
+    return tests, run
+
+
+for _id, _kind in (("x1", "not_null"), ("x2", "unique"), ("x3", "accepted_values"),
+                   ("x4", "relationships"), ("x5", "unique_combination_of_columns")):
+    _tests, _run = _kind_suite(_kind)
+    register(f"{_id}_{_kind}_checks", suite_sql(_tests))(_run)

@@ -157,3 +157,26 @@ def d8_join(spark, sf):
     j = scd.point_in_time_join(f, hist, "snapshot_date")
     return j.select("policy_sk", "snapshot_date", "policy_status", "pit_policy_status",
                     F.col("pit_policy_version_id"), "pit_valid_from")
+
+
+@register("k4_transaction_hashdiffs", """
+SELECT d.transaction_hk, d.hashdiff AS details_hashdiff, a.hashdiff AS amounts_hashdiff
+FROM (SELECT transaction_hk, hashdiff, row_number() OVER (PARTITION BY transaction_hk ORDER BY hashdiff) AS i
+      FROM sat_details_run1) d
+JOIN (SELECT transaction_hk, hashdiff, row_number() OVER (PARTITION BY transaction_hk ORDER BY hashdiff) AS i
+      FROM sat_amounts_run1) a
+  ON d.transaction_hk = a.transaction_hk AND d.i = a.i""")
+def k4(spark, sf):
+    """K4: the descriptive and the measure hashdiff of every keyed
+    transaction row (paired per key in hashdiff order)."""
+    from pyspark.sql import Window
+    w = _wh(spark, sf, 1)
+    facts_ = w.transactions_keyed
+    det = V.satellite_source(facts_, V.SAT_DETAILS_COLUMNS, w.run_ts)
+    amt = V.satellite_source(facts_, V.SAT_AMOUNTS_COLUMNS, w.run_ts)
+    by_key = Window.partitionBy("transaction_hk").orderBy("hashdiff")
+    det = det.select("transaction_hk", F.col("hashdiff").alias("details_hashdiff"),
+                     F.row_number().over(by_key).alias("i"))
+    amt = amt.select("transaction_hk", F.col("hashdiff").alias("amounts_hashdiff"),
+                     F.row_number().over(by_key).alias("i"))
+    return det.join(amt, ["transaction_hk", "i"]).drop("i")
