@@ -31,8 +31,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT", "0") == "1"
+
+
 def norm(v):
-    if isinstance(v, float):
+    if isinstance(v, float) and not EXACT:
         return round(v, 9)
     return v
 
