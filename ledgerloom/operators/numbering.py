@@ -8,11 +8,14 @@ third of the table.  The exact distributed form used here:
     rn(row) = offset(g, o1) + row_number() over (partition by g, o1 order by o2, ...)
     offset(g, o1) = number of rows of g whose o1 sorts strictly before
 
-``offset`` comes from a per-(g, o1) count (partial aggregation, then a
-running sum over the small count table), joined back on (g, o1) with
-null-safe equality.  A hot group is thereby spread over its distinct o1
-values.  Extending the split to more leading order columns handles a hot
-(g, o1) pair.  With a total order the result equals the plain window.
+``offset`` comes from a per-(g, o1) count and a running sum over those
+counts, joined back on (g, o1); o1 is carried as a NULL flag plus a
+NULL-filled value so the join is a plain equi-join.  A hot group is thereby
+spread over its distinct o1 values; extending the split to more leading
+order columns handles a hot (g, o1) pair.  Only grains above a row
+threshold take this path (found by counting rows per grain hash); all
+others use the plain window.  With a total order the result equals the
+plain window.
 """
 
 from __future__ import annotations

@@ -97,7 +97,8 @@ def aum_trend(m2: DataFrame, company: str, fund_type: str = BOTH) -> DataFrame:
 
 
 def aum_latest_point(m2: DataFrame, company: str, fund_type: str = BOTH) -> DataFrame:
-    """B7 headline: the latest month and its AUM (``max_by``, no sort)."""
+    """B7 headline: the latest month and its AUM (one ``max_by`` aggregate
+    over the monthly trend, no ordering of the whole series)."""
     trend = aum_trend(m2, company, fund_type)
     return trend.agg(F.max("month").alias("month"),
                      F.max_by("total_aum", "month").alias("total_aum"))
