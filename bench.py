@@ -36,6 +36,8 @@ HEADLINE = [
     "b1_top_advisors_year",
     "b17_aum_client_measures",
     "x1_x6_core_quality_suite",
+    # CSV drop written, streamed in with availableNow, rerun finds nothing new
+    "s4_stream_ingest_commissions",
 ]
 
 

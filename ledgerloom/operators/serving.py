@@ -231,8 +231,7 @@ def commission_date_drill(fct_commissions: DataFrame, dim_date: DataFrame) -> Da
             .rollup("company", "year", "quarter", "month")
             .agg(_money(F.sum("net_amount")).alias("net_total"),
                  F.count(F.lit(1)).alias("commission_count"),
-                 F.grouping_id().cast("int").alias("grouping_level"))
-            .where(F.col("company").isNotNull() | (F.col("grouping_level") == 15)))
+                 F.grouping_id().cast("int").alias("grouping_level")))
 
 
 def advisor_year_matrix(m1: DataFrame, years: list[int]) -> DataFrame:
