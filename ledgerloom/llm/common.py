@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +19,19 @@ from ..session import ensure_checkpoint_dir
 __all__ = ["byte_slices", "pick", "stage", "prepare", "texts_of", "utf8_buffer", "mix64"]
 
 
+_shipped: set[str] = set()
+
+
 def prepare(spark) -> None:
-    """Session settings every operator here relies on."""
+    """Session settings every operator here relies on, and the package's own
+    code for the Python workers, shipped once per application."""
     ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        base = Path(tempfile.mkdtemp(prefix="ledgerloom-code-")) / package.name
+        context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:

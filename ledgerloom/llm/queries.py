@@ -29,3 +29,18 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, table: TableSource) -> DataFrame:
     from .sharding import shard_documents
     return shard_documents(table("documents"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, table: TableSource) -> DataFrame:
+    import public_tokenizers
+    from .token_counts import count_tokens
+    return count_tokens(table("documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op4_sentencepiece_codec")
+def op4(spark: SparkSession, table: TableSource) -> DataFrame:
+    import public_tokenizers
+    from .sentencepiece_codec import encode_documents, encoding_digests
+    return encoding_digests(encode_documents(
+        table("documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=False))
