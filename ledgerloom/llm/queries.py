@@ -44,3 +44,9 @@ def op4(spark: SparkSession, table: TableSource) -> DataFrame:
     from .sentencepiece_codec import encode_documents, encoding_digests
     return encoding_digests(encode_documents(
         table("documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=False))
+
+
+@query("op6_one_permutation_fingerprints")
+def op6(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .fingerprints import fingerprint_edits
+    return fingerprint_edits(table("documents"))
