@@ -50,3 +50,9 @@ def op4(spark: SparkSession, table: TableSource) -> DataFrame:
 def op6(spark: SparkSession, table: TableSource) -> DataFrame:
     from .fingerprints import fingerprint_edits
     return fingerprint_edits(table("documents"))
+
+
+@query("op7_superminhash_groups")
+def op7(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .superminhash import near_duplicates
+    return near_duplicates(table("documents"), words=4, percent=80)
