@@ -66,3 +66,9 @@ def op10(spark: SparkSession, table: TableSource) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     turns = table("conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return read_back(format_trees(replies_of_turns(turns)))
+
+
+@query("op9_simhash_decontamination")
+def op9(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .decontaminate import contaminated
+    return contaminated(table("documents"), table("benchmark"))
