@@ -72,3 +72,9 @@ def op10(spark: SparkSession, table: TableSource) -> DataFrame:
 def op9(spark: SparkSession, table: TableSource) -> DataFrame:
     from .decontaminate import contaminated
     return contaminated(table("documents"), table("benchmark"))
+
+
+@query("op8_surrogates")
+def op8(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .surrogates import replace_personal_data
+    return replace_personal_data(table("documents")).select("doc_id", "n_entities", "text")
