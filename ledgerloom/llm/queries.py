@@ -78,3 +78,10 @@ def op9(spark: SparkSession, table: TableSource) -> DataFrame:
 def op8(spark: SparkSession, table: TableSource) -> DataFrame:
     from .surrogates import replace_personal_data
     return replace_personal_data(table("documents")).select("doc_id", "n_entities", "text")
+
+
+@query("op3_byte_cnn_quality")
+def op3(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .quality_cnn import fit, score_documents
+    docs = table("documents")
+    return score_documents(docs, fit(docs, table("labels")))
