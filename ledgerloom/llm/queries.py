@@ -85,3 +85,9 @@ def op3(spark: SparkSession, table: TableSource) -> DataFrame:
     from .quality_cnn import fit, score_documents
     docs = table("documents")
     return score_documents(docs, fit(docs, table("labels")))
+
+
+@query("op5_html_crf")
+def op5(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .html_crf import extract_pages
+    return extract_pages(table("pages"))
