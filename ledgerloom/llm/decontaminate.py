@@ -27,7 +27,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -174,31 +174,35 @@ def _index(items: tuple, radius: int) -> ItemIndex:
     return ItemIndex(list(items), radius)
 
 
+def find_items(index: ItemIndex, raw: np.ndarray, offsets: np.ndarray, similarity: float) -> dict[tuple, tuple]:
+    """{(row, item): (similarity, first word, words)} of the items found."""
+    h, at, _ = words_of(raw, offsets)
+    best: dict[tuple, tuple] = {}
+    votes = _signs(h)
+    for size in index.sizes:
+        pairs = index.candidates(size, window_prints(votes, size))
+        if not len(pairs):
+            continue
+        _, item, offset, _ = index.sizes[size]
+        row = np.searchsorted(at, pairs[:, 0], side="right") - 1
+        places = np.unique(np.stack([row, item[pairs[:, 1]], pairs[:, 0] - offset[pairs[:, 1]]], axis=1), axis=0)
+        for r, k, first in places.tolist():
+            length = len(index.items[k][1])
+            begin, end = max(first, at[r]), min(first + length, at[r + 1])
+            like = weighted_similarity(index.counts[k], shingle_counts(h[begin:end]))
+            if like >= similarity and like > best.get((r, k), (0.0,))[0]:
+                best[(r, k)] = (like, int(begin - at[r]), int(end - begin))
+    return best
+
+
 def _match(items: tuple, radius: int, similarity: float):
     def run(batches):
         index = _index(items, radius)
         for batch in batches:
             for part in byte_slices(batch, "text", 1 << 20):
                 ids = part.column("doc_id").to_pylist()
-                h, at, byte = words_of(*utf8_buffer(part, "text"))
-                best: dict[tuple, tuple] = {}
-                votes = _signs(h)
-                for size in index.sizes:
-                    windows = window_prints(votes, size)
-                    _, item, offset, _ = index.sizes[size]
-                    pairs = index.candidates(size, windows)
-                    if not len(pairs):
-                        continue
-                    row = np.searchsorted(at, pairs[:, 0], side="right") - 1
-                    places = np.unique(np.stack([row, item[pairs[:, 1]], pairs[:, 0] - offset[pairs[:, 1]]], axis=1), axis=0)
-                    for r, k, first in places.tolist():
-                        length = len(index.items[k][1])
-                        begin, end = max(first, at[r]), min(first + length, at[r + 1])
-                        like = weighted_similarity(index.counts[k], shingle_counts(h[begin:end]))
-                        if like >= similarity and like > best.get((r, k), (0.0,))[0]:
-                            best[(r, k)] = (like, begin - at[r], end - begin)
-                rows = [(ids[r], index.items[k][0], like, int(first), int(n))
-                        for (r, k), (like, first, n) in sorted(best.items())]
+                best = find_items(index, *utf8_buffer(part, "text"), similarity)
+                rows = [(ids[r], index.items[k][0], *hit) for (r, k), hit in sorted(best.items())]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, kinds)],
@@ -206,6 +210,17 @@ def _match(items: tuple, radius: int, similarity: float):
     return run
 
 
+def _drop(items: tuple, radius: int, similarity: float, text: str):
+    def run(batches):
+        index = _index(items, radius)
+        for batch in batches:
+            for part in byte_slices(batch, text, 1 << 20):
+                clean = np.ones(part.num_rows, bool)
+                clean[[r for r, _ in find_items(index, *utf8_buffer(part, text), similarity)]] = False
+                yield part.filter(pa.array(clean))
+    return run
+
+
 def _item_words(batches):
     for batch in batches:
         h, at, _ = words_of(*utf8_buffer(batch, "text"))
@@ -214,27 +229,38 @@ def _item_words(batches):
             pa.array([h[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], ["item_id", "words"])
 
 
+def item_blocks(benchmark: DataFrame, block_items: int):
+    """The benchmark's items with words, ``block_items`` at a time: the stated
+    items are read block by block, never all at once."""
+    items = pick(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long")) \
+        .mapInArrow(_item_words, "item_id long, words binary").where(F.length("words") > 0)
+    block: list[tuple[int, bytes]] = []
+    for row in items.toLocalIterator():
+        block.append((row["item_id"], bytes(row["words"])))
+        if len(block) == block_items:
+            yield tuple(block)
+            block = []
+    if block:
+        yield tuple(block)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = RADIUS,
                  block_items: int = 20_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words: every benchmark item
     found in a row, at its most similar place."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    items = pick(benchmark, item_id="item_id", text="text").withColumn("item_id", F.col("item_id").cast("long")) \
-        .mapInArrow(_item_words, "item_id long, words binary").where(F.length("words") > 0)
-    found = None
-    block: list[tuple[int, bytes]] = []
+    shape = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+    found = [rows.mapInArrow(_match(block, radius, similarity), shape) for block in item_blocks(benchmark, block_items)]
+    if not found:
+        return docs.sparkSession.createDataFrame([], shape)
+    return reduce(DataFrame.unionByName, found)
 
-    def scan(some):
-        hits = rows.mapInArrow(_match(tuple(some), radius, similarity),
-                               "doc_id long, item_id long, similarity double, first_word long, n_words long")
-        return hits if found is None else found.unionByName(hits)
 
-    # the stated items are read block by block, never all at once
-    for row in items.toLocalIterator():
-        block.append((row["item_id"], bytes(row["words"])))
-        if len(block) == block_items:
-            found, block = scan(block), []
-    if block or found is None:
-        found = scan(block)
-    return found
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = RADIUS,
+                      block_items: int = 20_000, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark item."""
+    prepare(docs.sparkSession)
+    for block in item_blocks(benchmark, block_items):
+        docs = docs.mapInArrow(_drop(block, radius, similarity, text), docs.schema)
+    return docs

@@ -55,7 +55,8 @@ def op6(spark: SparkSession, table: TableSource) -> DataFrame:
 @query("op7_superminhash_groups")
 def op7(spark: SparkSession, table: TableSource) -> DataFrame:
     from .superminhash import near_duplicates
-    return near_duplicates(table("documents"), words=4, percent=80)
+    return near_duplicates(table("documents"), words=4, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op10_reply_trees")

@@ -32,7 +32,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_slices, mix64, pick, prepare, stage, utf8_buffer
@@ -115,8 +115,8 @@ def _sign(words: int):
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(set_digests(flat, at)),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * BANDS),
-                                             pa.array(keys.reshape(-1)))],
-                    ["doc_id", "n_shingles", "cls", "bands"])
+                                             pa.array(keys.reshape(-1))), part.column("text_key")],
+                    ["doc_id", "n_shingles", "cls", "bands", "text_key"])
     return run
 
 
@@ -160,11 +160,13 @@ def _verify(words: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row: rows are linked
-    when 100 * |A & B| >= percent * |A | B| on their shingle sets."""
+    """doc_id, n_shingles, component_id, kept of every row, and the group's
+    number (null without words) and a text key: rows are linked when
+    100 * |A & B| >= percent * |A | B| on their shingle sets."""
     prepare(docs.sparkSession)
     rows = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    signed = stage(rows.mapInArrow(_sign(words), "doc_id long, n_shingles long, cls long, bands array<long>"), "signed")
+    signed = stage(rows.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _sign(words), "doc_id long, n_shingles long, cls long, bands array<long>, text_key long"), "signed")
     classes = stage(signed.where("n_shingles > 0").groupBy("cls").agg(
         F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size")),
         "classes")
@@ -212,12 +214,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         final.select(F.col("vertex").alias("cls"), "root"), "cls", "left") \
         .select("cls", "first_id", F.coalesce("root", "cls").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "root").select("cls", "component_id", F.lit(True).alias("has"))
-    return signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("cls")).alias("cls")) \
+    named = named.join(smallest, "root").select("cls", "component_id", "root")
+    return signed.select("doc_id", "n_shingles", "text_key", F.when(F.col("n_shingles") > 0, F.col("cls")).alias("cls")) \
         .join(named, "cls", "left").select(
-            "doc_id", "n_shingles",
-            F.when(F.col("has"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")) \
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(
+                F.col("component_id")).alias("component_id"), "root", "text_key") \
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                "root", "text_key")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of every near-duplicate group (the
+    smallest id; of rows that share it, the smallest text key) and every row
+    without words."""
+    groups = stage(near_duplicates(docs, words, percent, doc_id, text), "near-groups")
+    turn = F.row_number().over(Window.partitionBy("root").orderBy("text_key"))
+    kept = groups.where("kept")
+    keep = kept.where("root is not null").withColumn("turn", turn).where("turn = 1").select("doc_id", "text_key") \
+        .unionByName(kept.where("root is null").select("doc_id", "text_key"))
+    keep = stage(keep.distinct().select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key")), "keep")
+    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_keep_id")) \
+        & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("_keep_key"))
+    out = docs.join(keep, same, "left_semi")
+    repeated = groups.where("root is not null").groupBy("doc_id", "text_key").count().where("count > 1")
+    return out if repeated.isEmpty() else out.dropDuplicates([doc_id, text])
 
 
 def _texts(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
