@@ -4,7 +4,7 @@ Messages name the message they reply to.  Iterative self-joins double the
 ancestor links (after k rounds every message knows its 2**k-th ancestor), so
 depth and root of every message, and the rows of every root-to-leaf path, take
 log2(depth) rounds however long a conversation is.  A path's score is the mean
-of its messages' scores; the best ``keep`` paths of every root are formatted,
+of its messages' scores to nine decimals; the best ``keep`` paths of every root are formatted,
 one conversation per path (ties: the smaller leaf id).
 
 The template writes each message as ``<|im_start|>role\\ntext<|im_end|>\\n``.
@@ -61,18 +61,16 @@ def leaf_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     paths = stage(leaves.select(F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("far")), "paths")
     rounds = 0
     while not up.isEmpty():
-        if rounds > 62:
-            raise ValueError("reply links form a cycle below a leaf")
         longer = paths.join(up, "id").select("leaf", F.col("up").alias("id"), (F.col("far") + (1 << rounds)).alias("far"))
         paths = stage(paths.unionByName(longer), "paths")
         above = up.select(F.col("id").alias("up"), F.col("up").alias("top"))
         up = stage(up.join(above, "up").select("id", F.col("top").alias("up")), "links")
         rounds += 1
-        if rounds > 1 and longer.isEmpty():      # what is left are cycles without leaves
+        if longer.isEmpty():                     # what is left are cycles without leaves
             break
     scored = paths.join(nodes.select("id", "score"), "id")
     whole = scored.groupBy("leaf").agg(
-        F.max("far").alias("depth"), F.avg(F.coalesce("score", F.lit(0.0))).alias("score"),
+        F.max("far").alias("depth"), F.round(F.avg(F.coalesce("score", F.lit(0.0))), 9).alias("score"),
         F.max_by("id", "far").alias("root"))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.col("score").desc(), "leaf"))
     chosen = whole.withColumn("rank", rank).where(F.col("rank") <= keep).select("leaf", "depth")

@@ -95,7 +95,9 @@ def features(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     data, segments = padded(raw, offsets)
     n = int(segments[-1])
     per = SEGMENT // STEP
-    top = _responses(model, data)[:n * per].reshape(n, per, FILTERS).max(axis=1)
+    response = _responses(model, data)[:n * per]
+    response[segments[1:] * per - 1] = -np.inf             # this window would read the next document
+    top = response.reshape(n, per, FILTERS).max(axis=1)
     rate = repeats(data)[:n * SEGMENT].reshape(n, SEGMENT).sum(axis=1).astype(np.float32)
     used = np.diff(segments)
     chunks = np.maximum(1, -(-(used - 1) // 3))            # of 4 segments, 3 apart
