@@ -14,7 +14,6 @@ ERROR_COLUMNS = [
 ]
 QUARANTINE_COLUMNS = ERROR_COLUMNS + [("captured_at", "timestamp_ntz")]
 CAPTURE_LOOKBACK_MINUTES = 10
-CAPTURE_EVERY_MINUTES = 5
 ALERT_LOOKBACK_MINUTES = 60
 
 
@@ -31,11 +30,21 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.select("*", *[c.alias(f"_k{i}") for i, c in enumerate(k)])
 
 
-def capture(errors: DataFrame, quarantine: DataFrame | None, run_ts) -> DataFrame:
+def capture(errors: DataFrame, quarantine: DataFrame | None, run_ts,
+            lookback_minutes: int | None = None) -> DataFrame:
     """Q1: rows of ``errors`` whose merge key is not yet in ``quarantine``,
     stamped ``captured_at = run_ts`` (MERGE ... WHEN NOT MATCHED THEN
     INSERT).  Rows of one batch sharing a key are inserted once: the
-    smallest row by content, so reruns pick the same one."""
+    smallest row by content, so reruns pick the same one.
+
+    A scheduled capture over the load history passes ``lookback_minutes``
+    (``CAPTURE_LOOKBACK_MINUTES``): only errors with ``error_ts`` in that
+    window before ``run_ts`` are considered.  An ingest run captures its own
+    errors, so it has no window."""
+    if lookback_minutes is not None:
+        now = F.lit(run_ts).cast("timestamp_ntz")
+        errors = errors.where((F.col("error_ts") > now - F.expr(f"INTERVAL {int(lookback_minutes)} MINUTES"))
+                              & (F.col("error_ts") <= now))
     batch = _keyed(errors.select(*[F.col(c).cast(t).alias(c) for c, t in ERROR_COLUMNS]))
     keys = [f"_k{i}" for i in range(4)]
     payload = F.struct(*[F.col(c) for c, _ in ERROR_COLUMNS])

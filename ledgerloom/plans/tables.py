@@ -21,3 +21,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = shared_path(spark, "stage", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(spark, path: str) -> None:
+    """Remove a folder of this library's own intermediate files."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -27,7 +27,7 @@ def _fresh(spark, what: str) -> str:
     return shared_path(spark, "ingest", f"{what}-{uuid.uuid4().hex}")
 
 
-def _drop(spark, sf, shapes, bad_lines: bool = False) -> str:
+def _drop(spark, sf, shapes, bad_lines: bool = False, copies: int = 1) -> str:
     t = TableSource(spark, sf)
     makers = {"commissions": lambda: fixtures.commissions(t),
               "risk_transactions": lambda: fixtures.risk_transactions(t),
@@ -38,15 +38,16 @@ def _drop(spark, sf, shapes, bad_lines: bool = False) -> str:
     if bad_lines:
         e = t("events").where(F.col("event_id") % 97 == 0)
         line = F.concat(F.lit("RT"), fixtures.pad(F.col("event_id"), 9), F.lit(',"'), F.col("event_type"))
-        # one raw line per row: no quoting, no header
-        (e.select(line.alias("v")).write.mode("overwrite")
-         .options(sep="\u0001", quote="\u0000", escapeQuotes="false", header="false")
+        # one raw line per row: no quoting, one header line per part file
+        bad = e.select(F.explode(F.array_repeat(line, copies)).alias("v"))
+        (bad.write.mode("overwrite")
+         .options(sep="\u0001", quote="\u0000", escapeQuotes="false", header="true")
          .csv(f"{drop}/_f={BAD_FILE}"))
     return drop
 
 
-def _batch_landing(spark, sf, shapes, bad_lines=False):
-    drop = _drop(spark, sf, shapes, bad_lines)
+def _batch_landing(spark, sf, shapes, bad_lines=False, copies=1):
+    drop = _drop(spark, sf, shapes, bad_lines, copies)
     base = _fresh(spark, "landing")
     L.ingest_batch(spark, drop, f"{base}/raw", f"{base}/quarantine", RUN_TS, "batch-0001", shapes)
     return base
@@ -84,11 +85,59 @@ FROM events WHERE event_id % 97 = 0""")
 def s5(spark, sf):
     base = _batch_landing(spark, sf, ["risk_transactions"], bad_lines=True)
     q = spark.read.parquet(f"{base}/quarantine")
-    return q.select("pipe_name", "file_name", "rejected_record")
+    return q.select("pipe_name", L.logical_file_name(F.col("file_name")).alias("file_name"), "rejected_record")
 
 
-@register("s5_good_rows_kept", _LAND.format(fx="fx_risk_transactions").replace(
-    "SELECT * REPLACE", "SELECT * REPLACE"))
+@register("s5_identical_bad_lines", """
+SELECT 'RT' || (CASE WHEN length(CAST(event_id AS VARCHAR)) >= 9 THEN CAST(event_id AS VARCHAR)
+                ELSE lpad(CAST(event_id AS VARCHAR), 9, '0') END) || ',"' || event_type AS rejected_record, 3 AS copies
+FROM events WHERE event_id % 97 = 0""")
+def s5_identical(spark, sf):
+    """Each bad line stands three times in its file; the load is run twice."""
+    drop = _drop(spark, sf, ["risk_transactions"], bad_lines=True, copies=3)
+    base = _fresh(spark, "landing")
+    for load in ("batch-0001", "batch-0002"):
+        L.ingest_batch(spark, drop, f"{base}/raw", f"{base}/quarantine", RUN_TS, load, ["risk_transactions"])
+    q = spark.read.parquet(f"{base}/quarantine")
+    return q.groupBy("rejected_record").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
+@register("s1_upper_case_header", _LAND.format(fx="fx_commissions"))
+def s1_upper(spark, sf):
+    """Header lines are skipped by position, whatever their case."""
+    drop, base = _fresh(spark, "drop"), _fresh(spark, "landing")
+    L.write_drop(fixtures.commissions(TableSource(spark, sf)), "commissions", drop, upper_header=True)
+    L.ingest_batch(spark, drop, f"{base}/raw", f"{base}/quarantine", RUN_TS, "batch-0001", ["commissions"])
+    return L.read_landing(spark, f"{base}/raw", "commissions")
+
+
+@register("s1_quoted_line_breaks", """
+SELECT transaction_id, transaction_type, 'a "b",' || chr(10) || transaction_id AS narrative, company FROM fx_risk_transactions""")
+def s1_breaks(spark, sf):
+    """Line breaks inside quoted fields, with the reader option for them."""
+    drop, base = _fresh(spark, "drop"), _fresh(spark, "landing")
+    rows = fixtures.risk_transactions(TableSource(spark, sf)).withColumn(
+        "narrative", F.concat(F.lit('a "b",\n'), F.col("transaction_id")))
+    L.write_drop(rows, "risk_transactions", drop)
+    L.ingest_batch(spark, drop, f"{base}/raw", f"{base}/quarantine", RUN_TS, "batch-0001", ["risk_transactions"],
+                   multi_line=True)
+    return L.read_landing(spark, f"{base}/raw", "risk_transactions").select(
+        "transaction_id", "transaction_type", "narrative", "company")
+
+
+@register("s4_two_streams_one_landing", _LAND.format(fx="fx_commissions"))
+def s4_two(spark, sf):
+    """Two streams, each with its own checkpoint, into one landing root."""
+    rows, base = fixtures.commissions(TableSource(spark, sf)), _fresh(spark, "stream")
+    for name, part in (("a", F.col("company") == "MAIN_BOOK"), ("b", F.col("company") != "MAIN_BOOK")):
+        drop = _fresh(spark, "drop")
+        L.write_drop(rows.where(part), "commissions", drop)
+        start_file_ingest(spark, drop, f"{base}/raw", f"{base}/quarantine", f"{base}/_checkpoint_{name}",
+                          run_ts=RUN_TS).awaitTermination()
+    return L.read_landing(spark, f"{base}/raw", "commissions")
+
+
+@register("s5_good_rows_kept", _LAND.format(fx="fx_risk_transactions"))
 def s5_good(spark, sf):
     base = _batch_landing(spark, sf, ["risk_transactions"], bad_lines=True)
     return L.read_landing(spark, f"{base}/raw", "risk_transactions").drop("dataset")

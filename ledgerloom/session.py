@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,19 +43,30 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder.
-
-    A cluster names it in ``spark.checkpoint.dir``; we only create a scratch
-    folder when that setting is absent (local tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder: what ``spark.checkpoint.dir``
+    names, else the folder the caller set with ``setCheckpointDir``.  Only a
+    local master gets a scratch folder of its own; on a cluster a folder on
+    one machine would be unreadable for the others."""
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    current = context._jsc.sc().getCheckpointDir()
+    if not path and current.isDefined():
+        return current.get().rsplit("/", 1)[0] if _is_application_folder(current.get()) else current.get()
     if not path:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if not current.isDefined():
+        context.setCheckpointDir(path)
     return path
 
 
+def _is_application_folder(path: str) -> bool:
+    """Spark appends a folder named by a UUID to the folder that was set."""
+    return bool(re.fullmatch(r"[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", path.rstrip("/").rsplit("/", 1)[-1]))
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for persisted tables that
     cut lineage)."""

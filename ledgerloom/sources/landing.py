@@ -16,14 +16,16 @@ Reject rule (trap 14): Spark flags short and long rows in
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..plans.tables import remove
 from ..schemas import FEEDS, Feed
+from ..session import shared_path
 
 # --- fixed values: CSV format of the landing files -------------------------
 NULL_TOKENS = ["", "NULL", "null", "\\N"]
@@ -31,7 +33,7 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "header": "false",            # header lines are dropped by value (every part file has one)
+    "header": "true",             # the first record of every file is skipped, whatever it holds
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_corrupt_record",
     "ignoreLeadingWhiteSpace": "true",
@@ -60,10 +62,24 @@ def logical_file_name(path: Column) -> Column:
     return F.regexp_replace(name, "^[^=]*=", "")
 
 
-def scan_drop(spark: SparkSession, path: str) -> DataFrame:
+def csv_options(multi_line: bool = False) -> dict[str, str]:
+    """Reader options.  ``multi_line`` keeps line breaks inside quoted fields,
+    at the price of one task per file (files are no longer split); without
+    it such a record is quarantined as unbalanced quotes."""
+    return {**CSV_OPTIONS, "multiLine": "true" if multi_line else "false"}
+
+
+def with_origin(df: DataFrame) -> DataFrame:
+    """Where each record comes from: logical file, full path, start of the
+    read block and a number that rises within the block."""
+    return df.withColumns({
+        "_file": logical_file_name(F.col("_metadata.file_path")), "_path": F.col("_metadata.file_path"),
+        "_block": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()})
+
+
+def scan_drop(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Positional all-string scan of every CSV under ``path``."""
-    df = spark.read.schema(raw_schema()).options(**CSV_OPTIONS).csv(path)
-    return df.withColumn("_file", logical_file_name(F.col("_metadata.file_path")))
+    return with_origin(spark.read.schema(raw_schema()).options(**csv_options(multi_line)).csv(path))
 
 
 def _lit_array(values) -> Column:
@@ -92,17 +108,6 @@ def route(raw: DataFrame) -> DataFrame:
     })
 
 
-def drop_headers(routed: DataFrame) -> DataFrame:
-    """Skip the header line of each file, recognised by value (so files
-    written in several parts, each with its own header, are handled).
-    Null-safe: data rows with NULL leading fields are kept."""
-    pos = F.col("_feed") + 1
-    first = F.element_at(_lit_array([f.columns[0] for f in FEEDS]), pos)
-    second = F.element_at(_lit_array([f.columns[1] for f in FEEDS]), pos)
-    is_header = F.col("_c0").eqNullSafe(first) & F.col("_c1").eqNullSafe(second)
-    return routed.where(~is_header)
-
-
 def quote_count(c: Column) -> Column:
     return F.length(c) - F.length(F.regexp_replace(c, '"', ""))
 
@@ -148,20 +153,32 @@ def pipe_name(company: Column, dataset: Column) -> Column:
     return F.concat(F.lit("PIPE_"), company, F.lit("_"), F.upper(dataset))
 
 
-def rejected_errors(bad: DataFrame) -> DataFrame:
-    """S5 -> Q1 input: one error row per rejected record.  Spark gives no
-    line numbers, so ``row_number`` is a content hash (stable across
-    reruns, so the null-safe MERGE key dedupes re-seen rows)."""
+def record_positions(staged: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` of a staged scan with ``_position``, the record's number in
+    its file (the header is record 1): records of earlier blocks of the file
+    plus the place inside the block."""
+    blocks = staged.groupBy("_path", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_n")
+    blocks = blocks.select("_path", "_block", "_first", before.alias("_before"))
+    return rows.join(blocks, ["_path", "_block"]).withColumn(
+        "_position", F.col("_before") + F.col("_row") - F.col("_first") + 2)
+
+
+def rejected_errors(staged: DataFrame) -> DataFrame:
+    """S5 -> Q1 input: one error row per rejected record of a staged scan,
+    keyed by the file's full path and the record's number in it, so equal
+    bad lines stay apart and a re-seen record keeps its key."""
+    bad = record_positions(staged, split(staged)[1])
     return bad.select(
         pipe_name(F.col("company"), F.col("dataset")).alias("pipe_name"),
         F.lit("Unbalanced quote: the field enclosure is not closed").alias("error"),
-        F.col("_file").alias("file_name"),
+        F.col("_path").alias("file_name"),
         F.lit(None).cast("bigint").alias("line"),
         F.lit(None).cast("bigint").alias("character_pos"),
         F.lit(None).cast("bigint").alias("byte_offset"),
         F.lit("parsing").alias("category"), F.lit("100065").alias("code"), F.lit("22000").alias("sql_state"),
         F.lit(None).cast("string").alias("column_name"),
-        F.xxhash64(F.col(CORRUPT)).alias("row_number"),
+        F.col("_position").alias("row_number"),
         F.lit(None).cast("bigint").alias("row_start_line"),
         F.col(CORRUPT).alias("rejected_record"))
 
@@ -171,8 +188,8 @@ def split(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return routed.where(~is_rejected()), routed.where(is_rejected())
 
 
-def read_routed(spark: SparkSession, drop: str) -> DataFrame:
-    return drop_headers(route(scan_drop(spark, drop)))
+def read_routed(spark: SparkSession, drop: str, multi_line: bool = False) -> DataFrame:
+    return route(scan_drop(spark, drop, multi_line))
 
 
 def write_landing(df: DataFrame, root: str, shape: str, load_id: str) -> None:
@@ -195,7 +212,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """A parquet table, or None when it has not been written yet."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -208,26 +227,33 @@ def ensure_quarantine_table(spark: SparkSession, quarantine_path: str) -> None:
         spark.createDataFrame([], schema).write.mode("append").parquet(quarantine_path)
 
 
-def ingest_batch(spark: SparkSession, drop: str, landing_root: str, quarantine_path: str, run_ts,
-                 load_id: str, shapes=SHAPES) -> None:
-    """Load one drop folder: every shape appended under ``landing_root``,
-    rejected rows captured into the quarantine table (Q1 MERGE semantics).
-
-    The routed scan is persisted once (the corrupt-record column may only be
-    filtered on a materialised scan) and reused by every shape."""
+def land(routed: DataFrame, landing_root: str, quarantine_path: str, run_ts, load_id: str, shapes=SHAPES) -> None:
+    """Land one routed scan: it is written once to the shared folder, every
+    shape is written under ``landing_root`` from there, rejected records are
+    captured into the quarantine table (Q1 MERGE semantics), and the written
+    scan is removed."""
     from ..operators.quarantine import capture
 
-    ensure_quarantine_table(spark, quarantine_path)
-    routed = read_routed(spark, drop).persist()
+    spark = routed.sparkSession
+    folder = shared_path(spark, "routed", uuid.uuid4().hex)
+    routed.write.parquet(folder)
+    staged = spark.read.parquet(folder)
     try:
-        good, bad = split(routed)
+        good, _ = split(staged)
         for shape in shapes:
             write_landing(to_landing(good, shape, run_ts), landing_root, shape, load_id)
         existing = read_table(spark, quarantine_path)
-        new = capture(rejected_errors(bad), existing, F.lit(run_ts).cast("timestamp_ntz"))
+        new = capture(rejected_errors(staged), existing, F.lit(run_ts).cast("timestamp_ntz"))
         new.write.mode("append").parquet(quarantine_path)
     finally:
-        routed.unpersist()
+        remove(spark, folder)
+
+
+def ingest_batch(spark: SparkSession, drop: str, landing_root: str, quarantine_path: str, run_ts,
+                 load_id: str, shapes=SHAPES, multi_line: bool = False) -> None:
+    """Load one drop folder: every shape landed, rejected rows quarantined."""
+    ensure_quarantine_table(spark, quarantine_path)
+    land(read_routed(spark, drop, multi_line), landing_root, quarantine_path, run_ts, load_id, shapes)
 
 
 # ------------------------------------------------------------------ writing drops
@@ -239,7 +265,7 @@ def logical_name(feed: Feed) -> str:
     return f"fsp-{file_prefix(feed.tenant)}_{feed.dataset}.csv"
 
 
-def write_drop(landing: DataFrame, shape: str, drop: str) -> None:
+def write_drop(landing: DataFrame, shape: str, drop: str, upper_header: bool = False) -> None:
     """Write landing-form rows of one shape as CSV files named after their
     feed (``<drop>/_f=fsp-<tenant>_<dataset>.csv/part-*.csv``), header per
     part file, NULL as an empty field.  Feeds of different width are
@@ -252,7 +278,8 @@ def write_drop(landing: DataFrame, shape: str, drop: str) -> None:
         for f in group:
             cond = (F.col("company") == f.tenant) & (F.col("dataset") == f.dataset)
             name = F.when(cond, F.lit(logical_name(f))) if name is None else name.when(cond, F.lit(logical_name(f)))
-        out = landing.withColumn("_f", name).where(F.col("_f").isNotNull()).select("_f", *cols)
+        out = landing.withColumn("_f", name).where(F.col("_f").isNotNull()).select(
+            "_f", *[F.col(c).alias(c.upper() if upper_header else c) for c in cols])
         (out.write.mode("append").partitionBy("_f")
          .options(header="true", quote='"', escape='"', nullValue="", emptyValue='""')
          .csv(drop))
