@@ -62,8 +62,6 @@ def _valuation_keys() -> list:
         "anniversary_month", "income_frequency",
         (F.col("policy_number").isNotNull() & F.col("valuation_date").isNotNull()).alias("has_complete_grain"),
         "market_value_amount", "units", "monthly_income_amount", "monthly_income_pct", "_loaded_at",
-        # kept for the fund/product lookups of downstream jobs
-        "fund_name",
     ]
 
 
@@ -83,11 +81,11 @@ def fct_valuations(stg: DataFrame, plain_numbering: bool = False) -> DataFrame:
              F.coalesce(F.col("fund_name"), F.lit("_NULL_")),
              F.coalesce(F.col("valuation_date"), F.lit("1900-01-01").cast("date"))]
     order = [Order(c) for c in ["market_value_amount", "units", "_loaded_at"] + VALUATION_ORDER_TAIL]
-    numbered = row_in_grain(stg, grain, order, split=1, plain=plain_numbering)
+    numbered = row_in_grain(stg, grain, order, plain=plain_numbering)
     return numbered.select(
         surrogate_key("company", "policy_number", "fund_name", "valuation_date", "_row_in_grain")
         .alias("valuation_sk"),
-        *_valuation_keys(), "_row_in_grain")
+        *_valuation_keys())
 
 
 TXN_COLUMNS = [
@@ -145,17 +143,21 @@ def transactions_keyed(risk_txns: DataFrame, investment_txns: DataFrame, dim_fun
 
 
 def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame,
-                     plain_numbering: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """both universes, K5 numbering over (company, transaction_id) with
-    the skew-safe split on transaction_date (all NULL ids of a tenant form
-    one grain), fund name resolved through the (company, fund_code) lookup
+                     plain_numbering: bool = False) -> DataFrame:
+    """both universes, K5 numbering over (company, transaction_id) (all
+    NULL ids of a tenant form one grain), fund name resolved through the (company, fund_code) lookup
     (one row per code, so the join never multiplies rows)."""
-    union = transactions_union(risk_txns, investment_txns)
-    grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
-    numbered = row_in_grain(union, grain, TXN_ORDER, split=1, plain=plain_numbering, hot_rows=hot_rows)
+    numbered = transactions_numbered(risk_txns, investment_txns, plain_numbering)
     keyed = _transaction_columns(fund_lookup(dim_fund), numbered)
     return keyed.select(surrogate_key("company", "transaction_id", "_row_in_grain").alias("transaction_sk"),
-                        *[c for c in keyed.columns])
+                        *[c for c in keyed.columns if c != "_row_in_grain"])
+
+
+def transactions_numbered(risk_txns: DataFrame, investment_txns: DataFrame,
+                          plain_numbering: bool = False) -> DataFrame:
+    """Both universes with K5's row number inside (company, transaction_id)."""
+    grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
+    return row_in_grain(transactions_union(risk_txns, investment_txns), grain, TXN_ORDER, plain=plain_numbering)
 
 
 def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: DataFrame,

@@ -3,19 +3,18 @@
 ``row_number() over (partition by g order by o1, o2, ...)`` puts every row of
 a group into one task.  When the grain has a hot value (e.g. all NULL ids of
 a tenant coalesced into one key, a third of the data) that task holds a
-third of the table.  The exact distributed form used here:
-
-    rn(row) = offset(g, o1) + row_number() over (partition by g, o1 order by o2, ...)
-    offset(g, o1) = number of rows of g whose o1 sorts strictly before
-
-``offset`` comes from a per-(g, o1) count and a running sum over those
-counts, joined back on (g, o1); o1 is carried as a NULL flag plus a
-NULL-filled value so the join is a plain equi-join.  A hot group is thereby
-spread over its distinct o1 values; extending the split to more leading
-order columns handles a hot (g, o1) pair.  Only grains above a row
-threshold take this path (found by counting rows per grain hash); all
-others use the plain window.  With a total order the result equals the
-plain window.
+third of the table.  The exact distributed form used here, for every grain:
+
+    rn(row) = rows of g in earlier buckets
+              + row_number() over (partition by g, bucket order by o1, o2, ...)
+
+A bucket is a range of the order: the table's ``SPLITS`` quantiles of o1 cut
+it, a value of o1 that fills a whole quantile step (NULL too) is a bucket of
+its own and is cut again by the quantiles of o2 among its rows.  Buckets
+follow the order, so the numbers equal the plain window's; a grain has at
+most ``SPLITS`` x ``SPLITS`` buckets, so the sum over earlier buckets is small
+for any grain; the quantiles are scalar subqueries of a few hundred numbers.
+Only exact quantiles are unneeded: any cut points give the same result.
 """
 
 from __future__ import annotations
@@ -46,96 +45,77 @@ def _expr(e) -> Column:
     return F.col(e) if isinstance(e, str) else e
 
 
-def _filler(dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StringType):
-        return F.lit("")
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit("1970-01-01").cast(dtype)
-    if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    return F.lit(0).cast(dtype)
-
-
-def _split_key(df: DataFrame, o: Order, i: int) -> tuple[list[Column], list[str]]:
-    """Non-null stand-ins for one split column: a NULL flag and the value
-    with NULL replaced by a typed filler, so equality joins and hash
-    partitioning on them line up (a null-safe join would re-key and
-    re-shuffle the big side).  The flag keeps NULL apart from the filler."""
-    e = _expr(o.expr)
-    dtype = df.select(e).schema[0].dataType
-    flag, val = f"_sn{i}", f"_sv{i}"
-    return [e.isNull().alias(flag), F.coalesce(e, _filler(dtype)).alias(val)], [flag, val]
-
-
-# Grains with more rows than this take the split path.  At this size a
-# single window task is still comfortable; above it the grain is spread over
-# its split-key values.
-HOT_GRAIN_ROWS = 1_000_000
-# The hot set is broadcast only when its proven bound fits under this size:
-# at most rows / (HOT_GRAIN_ROWS + 1) grains of (8-byte hash + flag).
-HOT_SET_BROADCAST_BYTES = 64 << 20
-HOT_SET_ROW_BYTES = 32
+#: Cut points per order column.
+SPLITS = 128
+
+
+def _number(e: Column, dtype: T.DataType) -> Column:
+    """A double that rises with the value."""
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(e).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(e).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(e.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return e.cast("double")
+    if isinstance(dtype, T.StringType):       # the first three characters
+        return F.aggregate(F.sequence(F.lit(1), F.lit(3)), F.lit(0.0), lambda acc, i: acc * 1114112.0 + F.coalesce(
+            F.ascii(F.substring(e, i, F.lit(1))).cast("double"), F.lit(0.0)))
+    raise TypeError(f"cannot cut {dtype.simpleString()} into ranges")
+
+
+def _bucketed(base: DataFrame, order: list[Order]) -> DataFrame:
+    """``base`` with ``_b1`` and ``_b2``: ranges of the first two order items."""
+    types = [base.select(_expr(o.expr)).schema[0].dataType for o in order[:2]]
+    rows = base.withColumns({f"_o{i}": _number(_expr(o.expr), t) for i, (o, t) in enumerate(zip(order[:2], types))})
+    if len(order) < 2:
+        rows = rows.withColumn("_o1", F.lit(None).cast("double"))
+    steps = [F.lit(k / SPLITS) for k in range(1, SPLITS)]
+    marks = rows.agg(F.coalesce(F.percentile_approx("_o0", F.array(*steps), F.lit(1000)),
+                                F.array().cast("array<double>")).alias("m"))
+    # a value that is two cut points or more fills a whole step
+    full = marks.select(F.explode("m").alias("v")).groupBy("v").count().where("count > 1")
+    full = full.agg(F.collect_list("v").alias("f"))
+    points, heavy = marks.select(F.array_distinct("m")).scalar(), full.scalar()
+    rows = rows.withColumn("_points", points).withColumn("_heavy", heavy)
+    is_heavy = F.coalesce(F.array_contains("_heavy", F.col("_o0")), F.lit(False))
+    below = F.size(F.filter("_points", lambda x: x < F.col("_o0")))
+    b1 = below * 2 + is_heavy.cast("int")
+    edge = order[0].nulls_last == order[0].ascending
+    b1 = F.when(F.col("_o0").isNull(), F.lit(4 * SPLITS if edge else -1)).otherwise(b1)
+    rows = rows.withColumn("_b1", b1).withColumn("_cut", is_heavy | F.col("_o0").isNull())
+    inner = rows.where("_cut").groupBy("_b1").agg(F.percentile_approx("_o1", F.array(*steps), F.lit(1000)).alias("m"))
+    inner = inner.agg(F.map_from_entries(F.collect_list(F.struct("_b1", F.coalesce(
+        "m", F.array().cast("array<double>")))))).scalar()
+    rows = rows.withColumn("_inner", F.when(F.col("_cut"), F.try_element_at(inner, F.col("_b1"))))
+    second = F.size(F.filter(F.array_distinct("_inner"), lambda x: x < F.col("_o1")))
+    if len(order) > 1:
+        edge = order[1].nulls_last == order[1].ascending
+        second = F.when(F.col("_o1").isNull(), F.lit(2 * SPLITS if edge else -1)).otherwise(second)
+    b2 = F.when(F.col("_cut"), F.coalesce(second, F.lit(0))).otherwise(F.lit(0))
+    return rows.withColumn("_b2", b2).drop("_o0", "_o1", "_points", "_heavy", "_inner", "_cut")
 
 
 def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str = "_row_in_grain",
-                 split: int = 1, plain: bool = False, hot_rows: int | None = None) -> DataFrame:
-    """Append ``out`` = row number of each row inside its grain ``partition``
-    under ``order``.  ``split`` leading order items are used to spread a hot
-    group; ``plain=True`` gives the single-window form (for comparison).
-
-    Plan:
-      1. rows per grain, counted on a 64-bit hash of the grain (16-byte
-         rows, partial aggregation before the shuffle); grains above
-         ``hot_rows`` form the hot set (hash collisions only make a grain
-         take the exact split path too);
-      2. the hot set is joined back to the rows (AQE broadcasts it when it
-         is small, a runtime size check; otherwise a shuffle join);
-      3. ordinary grains: one window partitioned by the grain;
-      4. hot grains: ``offset(grain, split key) + row_number() within
-         (grain, split key)``, the offsets being a running sum over the
-         per-(grain, split key) counts.
-    Every window partition spec starts with a 64-bit hash of its keys, so
-    Spark's prefix sort resolves comparisons on one long."""
-    hot_rows = HOT_GRAIN_ROWS if hot_rows is None else hot_rows
+                 plain: bool = False) -> DataFrame:
+    """Append ``out`` = row number (bigint) of each row inside its grain
+    ``partition`` under ``order``; ``plain=True`` gives the single-window form
+    (for comparison).  Window specs start with a 64-bit hash of their keys,
+    so Spark's prefix sort resolves comparisons on one long."""
     gcols = [f"_g{i}" for i in range(len(partition))]
     base = df.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
-    base = base.withColumn("_gh", F.xxhash64(*gcols))
-    if plain or split <= 0:
-        w = Window.partitionBy("_gh", *gcols).orderBy(*[o.column() for o in order])
-        return base.withColumn(out, F.row_number().over(w)).drop("_gh", *gcols)
-
-    hot = (base.groupBy("_gh").agg(F.count(F.lit(1)).alias("_size"))
-           .where(F.col("_size") > hot_rows).select("_gh", F.lit(True).alias("_hot")))
-    # size check: a hot grain has more than hot_rows rows, so there are at
-    # most rows // (hot_rows + 1) of them; broadcast only under the bound,
-    # otherwise a shuffle join (one scalar row count, no data to the driver)
-    bound = df.count() // (hot_rows + 1) * HOT_SET_ROW_BYTES
-    flagged = base.join(F.broadcast(hot) if bound <= HOT_SET_BROADCAST_BYTES else hot, "_gh", "left")
-    cold = flagged.where(F.col("_hot").isNull()).drop("_hot")
-    w = Window.partitionBy("_gh", *gcols).orderBy(*[o.column() for o in order])
-    cold = cold.withColumn(out, F.row_number().over(w).cast("int"))
-
-    hot_rows_df = flagged.where(F.col("_hot")).drop("_hot")
-    split = min(split, len(order))
-    exprs, scols, sorder = [], [], []
-    for i, o in enumerate(order[:split]):
-        e, names = _split_key(hot_rows_df, o, i)
-        exprs += e
-        scols += names
-        # NULLs last  <=> flag ascending; NULLs first <=> flag descending
-        sorder.append(F.col(names[0]).asc() if o.nulls_last else F.col(names[0]).desc())
-        sorder.append(o.column(F.col(names[1])))
-    hb = hot_rows_df.select("*", *exprs)
-    hb = hb.withColumn("_h", F.xxhash64(*gcols, *scols))
-    keys = ["_h"] + gcols + scols
-    inner = Window.partitionBy(*keys).orderBy(*[o.column() for o in order[split:]] or [F.lit(1)])
-    numbered = hb.withColumn("_rn", F.row_number().over(inner))
-    counts = hb.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy("_gh", *gcols).orderBy(*sorder)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.withColumn("_gh", F.xxhash64(*gcols))
-               .select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
-    hot_numbered = (numbered.join(offsets, keys, "inner")
-                    .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
-                    .drop("_off", "_rn", "_h", *scols))
-    return cold.unionByName(hot_numbered).drop("_gh", *gcols)
+    by = [o.column() for o in order]
+    if plain:
+        w = Window.partitionBy(*gcols).orderBy(*by)
+        return base.withColumn(out, F.row_number().over(w).cast("bigint")).drop(*gcols)
+    rows = _bucketed(base, order).withColumn("_h", F.xxhash64(*gcols, "_b1", "_b2"))
+    keys = ["_h", *gcols, "_b1", "_b2"]
+    numbered = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    turn = [F.col("_b1").asc() if order[0].ascending else F.col("_b1").desc(),
+            F.col("_b2").asc() if len(order) < 2 or order[1].ascending else F.col("_b2").desc()]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*gcols).orderBy(*turn)) - F.col("_n")
+    offsets = counts.select(*keys, before.alias("_before"))
+    return numbered.join(offsets, keys).withColumn(out, F.col("_before") + F.col("_rn")) \
+        .drop(*keys, "_before", "_rn")

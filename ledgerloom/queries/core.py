@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..catalog import register
 from ..oracle import warehouse_sql  # noqa: F401  (registers CTEs)
 from ..operators import facts, marts
+from ..operators.numbering import Order, row_in_grain
 from ..plans.warehouse import Warehouse
+from ..sources.tables import TableSource
 
 
 def wh(spark, sf_dir, **kw) -> Warehouse:
@@ -53,23 +55,39 @@ def k123(spark, sf):
     return wh(spark, sf).fct_commissions.select("commission_sk", "advisor_sk", "policy_sk", "date_sk")
 
 
-@register("k5_transaction_row_in_grain", """
-SELECT company, transaction_id, _row_in_grain, has_complete_grain FROM fct_transactions""")
-def k5(spark, sf):
-    """The skew-safe numbering with a low hot-grain threshold, so the NULL-id
-    grain of every tenant (hundreds to thousands of rows here) takes the
-    split path and is checked against the plain window of the oracle."""
+_NUMBERED = "SELECT company, transaction_id, CAST(_row_in_grain AS BIGINT) AS _row_in_grain, has_complete_grain FROM fct_transactions"
+
+
+def _numbered(spark, sf, plain):
     w = wh(spark, sf)
-    return facts.fct_transactions(w.stg_risk_transactions, w.stg_investment_transactions, w.dim_fund,
-                                  hot_rows=100).select("company", "transaction_id", "_row_in_grain",
-                                                       "has_complete_grain")
+    rows = facts.transactions_numbered(w.stg_risk_transactions, w.stg_investment_transactions, plain)
+    return rows.select("company", "transaction_id", "_row_in_grain",
+                       F.col("transaction_id").isNotNull().alias("has_complete_grain"))
+
+
+@register("k5_transaction_row_in_grain", _NUMBERED)
+def k5(spark, sf):
+    return _numbered(spark, sf, False)
 
 
-@register("k5_transaction_row_in_grain_plain", """
-SELECT company, transaction_id, _row_in_grain, has_complete_grain FROM fct_transactions""")
+@register("k5_transaction_row_in_grain_plain", _NUMBERED)
 def k5_plain(spark, sf):
-    return wh(spark, sf, plain_numbering=True).fct_transactions.select(
-        "company", "transaction_id", "_row_in_grain", "has_complete_grain")
+    return _numbered(spark, sf, True)
+
+
+@register("k5_hot_grain", """
+SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey % 10 = 0
+  ORDER BY CASE WHEN l_orderkey % 4 > 0 THEN DATE '2020-01-01' END ASC NULLS LAST, l_extendedprice DESC NULLS LAST,
+           l_orderkey, l_linenumber) AS row_in_grain
+FROM lineitem""")
+def k5_hot(spark, sf):
+    """One grain holds nine tenths of the rows, three quarters of them with
+    one leading order value and the rest with NULL."""
+    rows = TableSource(spark, sf)("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_orderkey") % 10 == 0).alias("grain"),
+        F.when(F.col("l_orderkey") % 4 > 0, F.lit("2020-01-01").cast("date")).alias("day"))
+    order = [Order("day"), Order("l_extendedprice", ascending=False), Order("l_orderkey"), Order("l_linenumber")]
+    return row_in_grain(rows, ["grain"], order, "row_in_grain").select("l_orderkey", "l_linenumber", "row_in_grain")
 
 
 # ------------------------------------------------------------------ dims
@@ -114,12 +132,12 @@ def f1_fixed(spark, sf):
     return facts.fct_commissions(wh(spark, sf).stg_commissions, guard_advisor=True)
 
 
-@register("f2_fct_valuations", "SELECT * FROM fct_valuations")
+@register("f2_fct_valuations", "SELECT * EXCLUDE (fund_name, _row_in_grain) FROM fct_valuations")
 def f2(spark, sf):
     return wh(spark, sf).fct_valuations
 
 
-@register("f3_fct_transactions", "SELECT * FROM fct_transactions")
+@register("f3_fct_transactions", "SELECT * EXCLUDE (_row_in_grain) FROM fct_transactions")
 def f3(spark, sf):
     return wh(spark, sf).fct_transactions
 
