@@ -165,22 +165,20 @@ def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: Data
                  risk_advisors: DataFrame | None = None) -> DataFrame:
     """policy-grain accumulating snapshot.
 
-    All four roll-ups are aggregations keyed by ``policy_sk`` and the policy
-    dimension is joined on the same key, so the shuffles share one hash
-    partitioning.  The latest market value is a ``max_by`` aggregate folded
+    The roll-ups are grouped by (company, policy_number) and the policy
+    dimension is joined on the same columns, so they share one hash
+    partitioning and no key is hashed before a shuffle.  The latest market value is a ``max_by`` aggregate folded
     into the valuation roll-up (no window, partial aggregation).  The snapshot date is a literal column,
     not a cross join.  ``advisor_sk`` is always NULL as in the reference
     (trap 1); ``fix_advisor=True`` resolves it from the latest risk-master
     row (``risk_advisors``: company, policy_number, advisor_identifier)."""
-    key = surrogate_key("company", "policy_number").alias("policy_sk")
+    key = ["company", "policy_number"]
     cr = (commissions.where(F.col("policy_number").isNotNull())
           .groupBy("company", "policy_number")
           .agg(F.count(F.lit(1)).alias("commission_count"),
                F.sum("gross_amount").cast("decimal(38,2)").alias("commission_gross_total"),
                F.sum("net_amount").cast("decimal(38,2)").alias("commission_net_total"),
-               F.max("transaction_date").alias("last_commission_date"))
-          .select(key, "commission_count", "commission_gross_total", "commission_net_total",
-                  "last_commission_date"))
+               F.max("transaction_date").alias("last_commission_date")))
     # After (date, load stamp) the value itself breaks ties: equal ranks
     # then give the same latest_market_value whichever row wins.
     latest_rank = F.struct(F.col("valuation_date").isNotNull(), F.col("valuation_date"),
@@ -191,26 +189,22 @@ def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: Data
           .agg(F.count(F.lit(1)).alias("valuation_count"),
                F.round(F.avg("market_value_amount").cast("double"), 6).alias("avg_market_value"),
                F.max("valuation_date").alias("last_valuation_date"),
-               F.max_by("market_value_amount", latest_rank).alias("latest_market_value"))
-          .select(key, "valuation_count", "avg_market_value", "last_valuation_date",
-                  "latest_market_value"))
+               F.max_by("market_value_amount", latest_rank).alias("latest_market_value")))
     tr = (transactions.where(F.col("policy_number").isNotNull())
           .groupBy("company", "policy_number")
           .agg(F.count(F.lit(1)).alias("transaction_count"),
                F.sum("amount").cast("decimal(38,2)").alias("transaction_amount_total"),
-               F.max("transaction_date").alias("last_transaction_date"))
-          .select(key, "transaction_count", "transaction_amount_total", "last_transaction_date"))
+               F.max("transaction_date").alias("last_transaction_date")))
     p = dim_policy
     snap = F.lit(as_of).cast("date")
     if fix_advisor and risk_advisors is not None:
-        adv = risk_advisors.select(key, guarded_key("advisor_identifier", "company",
+        adv = risk_advisors.select(*key, guarded_key("advisor_identifier", "company",
                                                     "advisor_identifier").alias("advisor_sk_fixed"))
-        p = p.join(adv, "policy_sk", "left")
+        p = p.join(adv, key, "left")
         advisor_sk = F.col("advisor_sk_fixed")
     else:
-        advisor_sk = F.when(F.col("company").isNotNull() & (F.col("policy_universe") == "RISK"),
-                            F.lit(None).cast("string"))
-    out = (p.join(cr, "policy_sk", "left").join(vr, "policy_sk", "left").join(tr, "policy_sk", "left"))
+        advisor_sk = F.lit(None).cast("string")
+    out = p.join(cr, key, "left").join(vr, key, "left").join(tr, key, "left")
     return out.select(
         "policy_sk",
         date_key(snap).alias("date_sk"),

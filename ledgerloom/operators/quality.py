@@ -3,8 +3,8 @@
 A test is a spec (kind, table, column(s), severity, optional row filter);
 ``run_tests`` evaluates a suite and returns one row per test:
 ``(test_name, table_name, severity, failures, status)``.  Column checks of
-one table (not_null, accepted_values) are batched into a single aggregation
-pass; uniqueness is a group-by with partial aggregation; relationships are
+one table (not_null, accepted_values) come from one aggregate row, that is
+one scan; uniqueness is a group-by with partial aggregation; relationships are
 a ``left_anti`` join on the key.  ``warn`` failures do not fail a build.
 """
 
@@ -61,21 +61,22 @@ def _failure_count(tables: dict[str, DataFrame], t: DataTest) -> DataFrame:
 
 
 def _batched_column_checks(tables: dict[str, DataFrame], tests: list[DataTest]) -> list[DataFrame]:
-    """not_null / accepted_values of one table (same row filter) in one pass."""
+    """All not_null / accepted_values tests of a table from one aggregate row
+    (one scan), unpivoted to a row per test; a test's row filter is part of
+    its condition."""
     out = []
-    groups: dict[tuple, list[DataTest]] = {}
+    groups: dict[str, list[DataTest]] = {}
     for t in tests:
-        groups.setdefault((t.table, t.where), []).append(t)
-    for (table, _), ts in groups.items():
-        df = _rows(tables[table], ts[0])
-        aggs = []
-        for i, t in enumerate(ts):
+        groups.setdefault(t.table, []).append(t)
+    for table, ts in groups.items():
+        counts = []
+        for t in ts:
             c = F.col(t.columns[0])
             bad = c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(list(t.values)))
-            aggs.append(F.count_if(bad).alias(f"f{i}"))
-        row = df.agg(*aggs)
-        for i, t in enumerate(ts):
-            out.append(row.select(F.lit(t.name).alias("test_name"), F.col(f"f{i}").alias("failures")))
+            if t.where:
+                bad = F.coalesce(F.expr(t.where), F.lit(False)) & bad
+            counts.append(F.struct(F.lit(t.name).alias("test_name"), F.count_if(bad).alias("failures")))
+        out.append(tables[table].agg(F.array(*counts).alias("tests")).select(F.inline("tests")))
     return out
 
 

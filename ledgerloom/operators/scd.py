@@ -61,33 +61,31 @@ def snapshot_step(snapshot: DataFrame, state: DataFrame, run_ts,
 
     Only the open versions of ``snapshot`` are read; they are joined to the
     new state on the unique key (one shuffle of each side on the key).
-    ``materialise`` (e.g. ``plans.tables.stage``) writes the classified join
-    once when the two outputs are written by separate jobs."""
-    open_v = snapshot.where(F.col("dbt_valid_to").isNull())
-    o, n = open_v.alias("o"), state.alias("n")
-    j = o.join(n, F.col(f"o.{UNIQUE_KEY}") == F.col(f"n.{UNIQUE_KEY}"), "full_outer")
-    is_change = F.col(f"o.{UNIQUE_KEY}").isNotNull() & F.col(f"n.{UNIQUE_KEY}").isNotNull() & changed(check_cols)
-    is_new = F.col(f"o.{UNIQUE_KEY}").isNull()
-    keep_open = F.col(f"o.{UNIQUE_KEY}").isNotNull() & ~is_change
-    j = j.withColumn("_change", is_change).withColumn("_new", is_new).withColumn("_keep", keep_open)
+    ``materialise`` (e.g. ``plans.tables.stage``) writes the outcome once
+    when the two outputs are written by separate jobs."""
+    rows = _after_run(snapshot, state, run_ts, check_cols)
     if materialise is not None:
-        flat = j.select(*[F.col(f"o.{c}").alias(f"o__{c}") for c in open_v.columns],
-                        *[F.col(f"n.{c}").alias(f"n__{c}") for c in state.columns], "_change", "_new", "_keep")
-        flat = materialise(flat)
-        ocols = [F.col(f"o__{c}").alias(c) for c in open_v.columns]
-        closed_now = (flat.where("_change").select(*ocols)
-                      .withColumn("dbt_valid_to", F.lit(run_ts).cast("timestamp_ntz")))
-        kept = flat.where("_keep").select(*ocols)
-        inserted = _new_versions(flat.where(F.col("_change") | F.col("_new"))
-                                 .select(*[F.col(f"n__{c}").alias(c) for c in state.columns]), run_ts)
-        return closed_now, kept.unionByName(inserted)
-    ocols = [F.col(f"o.{c}").alias(c) for c in open_v.columns]
-    closed_now = (j.where("_change").select(*ocols)
-                  .withColumn("dbt_valid_to", F.lit(run_ts).cast("timestamp_ntz")))
-    kept = j.where("_keep").select(*ocols)
-    inserted = _new_versions(j.where(F.col("_change") | F.col("_new"))
-                             .select(*[F.col(f"n.{c}").alias(c) for c in state.columns]), run_ts)
-    return closed_now, kept.unionByName(inserted)
+        rows = materialise(rows)
+    return rows.where("_closed").drop("_closed"), rows.where("not _closed").drop("_closed")
+
+
+def _after_run(snapshot: DataFrame, state: DataFrame, run_ts, check_cols) -> DataFrame:
+    """The versions that a run leaves behind, from one join: a changed open
+    version gives its closed form and a new version, another open version
+    stays, a new key gives a new version."""
+    columns = snapshot.columns
+    o = snapshot.where(F.col("dbt_valid_to").isNull()).alias("o")
+    j = o.join(state.alias("n"), F.col(f"o.{UNIQUE_KEY}") == F.col(f"n.{UNIQUE_KEY}"), "full_outer")
+    old, new = F.col(f"o.{UNIQUE_KEY}").isNotNull(), F.col(f"n.{UNIQUE_KEY}").isNotNull()
+    change = old & new & changed(check_cols)
+    fresh = {"dbt_scd_id": scd_id(f"n.{UNIQUE_KEY}", run_ts), "dbt_updated_at": F.lit(run_ts).cast("timestamp_ntz"),
+             "dbt_valid_from": F.lit(run_ts).cast("timestamp_ntz"), "dbt_valid_to": F.lit(None).cast("timestamp_ntz")}
+    kept = F.struct(*[F.when(change, F.lit(run_ts).cast("timestamp_ntz")).alias(c) if c == "dbt_valid_to"
+                      else F.col(f"o.{c}").alias(c) for c in columns], change.alias("_closed"))
+    added = F.struct(*[fresh[c].alias(c) if c in fresh else F.col(f"n.{c}").alias(c) for c in columns],
+                     F.lit(False).alias("_closed"))
+    out = F.array_compact(F.array(F.when(old, kept), F.when(change | ~old, added)))
+    return j.select(F.explode(out).alias("v")).select("v.*")
 
 
 def snapshot_run(snapshot: DataFrame | None, state: DataFrame, run_ts) -> DataFrame:
@@ -95,8 +93,7 @@ def snapshot_run(snapshot: DataFrame | None, state: DataFrame, run_ts) -> DataFr
     if snapshot is None:
         return first_snapshot(state, run_ts)
     closed_before = snapshot.where(F.col("dbt_valid_to").isNotNull())
-    closed_now, open_after = snapshot_step(snapshot, state, run_ts)
-    return closed_before.unionByName(closed_now).unionByName(open_after)
+    return closed_before.unionByName(_after_run(snapshot, state, run_ts, CHECK_COLUMNS).drop("_closed"))
 
 
 HISTORY_COLUMNS = [

@@ -11,6 +11,7 @@ aggregated set (statuses, months, funds of one tenant).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from ..functions.safe import safe_ratio
@@ -162,18 +163,50 @@ def playground_default(m2: DataFrame, company: str = "MAIN_BOOK", n: int = 50) -
             .limit(n))
 
 
-READ_ONLY_PREFIXES = ("select", "with")
+# --- fixed values: plan nodes of queries; every other node (writes, DDL,
+# settings, scripts) is refused
+QUERY_NODES = {
+    "Project", "Filter", "Aggregate", "Join", "LateralJoin", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Distinct",
+    "Union", "Intersect", "Except", "SubqueryAlias", "UnresolvedSubqueryColumnAliases", "UnresolvedRelation",
+    "UnresolvedWith", "UnresolvedHaving", "UnresolvedInlineTable", "UnresolvedTableValuedFunction", "LocalRelation",
+    "OneRowRelation", "WithWindowDefinition", "Window", "Generate", "Pivot", "Unpivot", "Sample", "UnresolvedHint",
+}
+
+
+def _plan_nodes(plan) -> list:
+    """A parsed plan's nodes with those of its common table expressions."""
+    out, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        out.append(node)
+        for inner in (node.children(), node.innerChildren()):
+            for i in range(inner.size()):
+                if hasattr(inner.apply(i), "innerChildren"):
+                    todo.append(inner.apply(i))
+    return out
 
 
 def adhoc_sql(spark: SparkSession, views: dict[str, DataFrame], sql: str) -> DataFrame:
-    """Read-only SQL over registered mart views.  Anything that is not a
-    single SELECT/WITH statement is refused."""
-    text = sql.strip().rstrip(";").strip()
-    if ";" in text or not text.lower().startswith(READ_ONLY_PREFIXES):
-        raise ValueError("only a single read-only SELECT statement is allowed")
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """Read-only SQL over mart views.  The statement is parsed, and only
+    a plan of query nodes is accepted.  The views exist while the statement
+    is analysed; session views of the same names come back afterwards."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql.strip().rstrip(";"))
+    except ParseException as e:
+        raise ValueError("only a single read-only SELECT statement is allowed") from e
+    kinds = {node.getClass().getSimpleName() for node in _plan_nodes(plan)}
+    if kinds - QUERY_NODES:
+        raise ValueError(f"only a read-only SELECT statement is allowed, not {sorted(kinds - QUERY_NODES)}")
+    before = {name: spark.table(name) for name in views if spark.catalog.tableExists(name)}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql.strip().rstrip(";"))
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+            if name in before:
+                before[name].createOrReplaceTempView(name)
 
 
 # ------------------------------------------------------------------ BI measures
@@ -193,9 +226,13 @@ def avg_commission_per_advisor(m1: DataFrame) -> DataFrame:
 
 def mom_commission_calendar(m1: DataFrame) -> DataFrame:
     """Month-on-month delta and pct with a calendar shift of one month
-    (a missing prior month is blank: delta = current, pct = NULL)."""
-    monthly = m1.groupBy("company", "year_month").agg(
-        _money(F.sum("commission_net_total")).alias("total_net_commission"))
+    (no prior month: delta = current, pct = NULL).  Every month from a
+    tenant's first to its last has a row, so a fall to zero is reported."""
+    paid = m1.groupBy("company", "year_month").agg(F.sum("commission_net_total").alias("net"))
+    spine = paid.groupBy("company").agg(F.min("year_month").alias("a"), F.max("year_month").alias("b")).select(
+        "company", F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("year_month"))
+    monthly = spine.join(paid, ["company", "year_month"], "left").select(
+        "company", "year_month", _money(F.coalesce("net", F.lit(0))).alias("total_net_commission"))
     prior = monthly.select("company", F.add_months("year_month", 1).alias("year_month"),
                            F.col("total_net_commission").alias("prior_month_net"))
     j = monthly.join(prior, ["company", "year_month"], "left")
@@ -225,12 +262,14 @@ def inforce_measures(dim_policy: DataFrame) -> DataFrame:
 
 
 def commission_date_drill(fct_commissions: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Year > Quarter > Month roll-up of net commission."""
+    """Year > Quarter > Month roll-up of net commission, over monthly
+    sums (the roll-up's copies are made of those, not of the facts)."""
     cal = F.broadcast(dim_date.select("date_sk", "year", "quarter", "month"))
-    return (fct_commissions.join(cal, "date_sk")
-            .rollup("company", "year", "quarter", "month")
-            .agg(_money(F.sum("net_amount")).alias("net_total"),
-                 F.count(F.lit(1)).alias("commission_count"),
+    monthly = fct_commissions.join(cal, "date_sk").groupBy("company", "year", "quarter", "month").agg(
+        F.sum("net_amount").alias("net"), F.count(F.lit(1)).alias("n"))
+    return (monthly.rollup("company", "year", "quarter", "month")
+            .agg(_money(F.sum("net")).alias("net_total"),
+                 F.sum("n").alias("commission_count"),
                  F.grouping_id().cast("int").alias("grouping_level")))
 
 
@@ -257,22 +296,23 @@ def fund_share_top(m2: DataFrame, n: int = 20) -> DataFrame:
 def commission_statement(fct_commissions: DataFrame, month_start: str,
                          company: str | None = None, advisor: str | None = None) -> DataFrame:
     """Monthly commission statement by business line with an advisor
-    subtotal (``rollup``), for every advisor of the month or one of them."""
-    f = fct_commissions.where(F.trunc("transaction_date", "month") == F.lit(month_start).cast("date"))
+    subtotal, for every advisor of the month or one of them."""
+    first = F.trunc(F.lit(month_start).cast("date"), "month")
+    f = fct_commissions.where((F.col("transaction_date") >= first) & (F.col("transaction_date") < F.add_months(first, 1)))
     f = f.where(F.col("advisor_identifier").isNotNull())
     if company:
         f = f.where(F.col("company") == company)
     if advisor:
         f = f.where(F.col("advisor_identifier") == advisor)
-    g = (f.rollup("company", "advisor_identifier", "business_line")
+    line = ["company", "advisor_identifier", "business_line"]
+    g = (f.groupingSets([line, line[:2]], *line)
          .agg(_money(F.sum("gross_amount")).alias("gross_amount"),
               _money(F.sum("vat_amount")).alias("vat_amount"),
               _money(F.sum("net_amount")).alias("net_amount"),
               F.count(F.lit(1)).alias("commission_count"),
               F.grouping_id().cast("int").alias("gid")))
-    return (g.where(F.col("gid").isin(0, 1))
-            .select("company", "advisor_identifier", "business_line", "gross_amount", "vat_amount",
-                    "net_amount", "commission_count", (F.col("gid") == 1).alias("is_subtotal")))
+    return (g.select("company", "advisor_identifier", "business_line", "gross_amount", "vat_amount",
+                     "net_amount", "commission_count", (F.col("gid") == 1).alias("is_subtotal")))
 
 
 def advisor_parameter_list(dim_advisor: DataFrame) -> DataFrame:

@@ -16,9 +16,9 @@ Store layout (parquet under one root, which on a cluster is shared storage):
 
 Every layer is read back from the store by the next one, so lineage is cut
 at each layer and a lost executor re-reads files instead of recomputing the
-chain.  The latest-run filter is a join with a one-row aggregate (broadcast
-of a proven single row), which also lets dynamic partition pruning skip the
-older runs' files.
+chain.  A run's tables become visible together: its id is published last,
+after its data tests, and readers only open the folders of published runs.  A
+run that dies half-way, or fails a test of severity ``error``, stays unseen.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,36 +49,50 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def _read_all(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            return None
-
     def write_run(self, name: str, df: DataFrame, run_id: str) -> None:
         df.write.mode("overwrite").parquet(f"{self.path(name)}/run={run_id}")
 
-    def _runs(self, name: str, before: str | None) -> DataFrame | None:
-        df = self._read_all(name)
-        if df is not None and before is not None:
-            # run ids are zero-padded timestamps: string order is time order
-            df = df.where(F.col("run").cast("string") < F.lit(before))
-        return df
+    def publish(self, run_id: str) -> None:
+        """Make a finished run visible to readers (once, also when retried)."""
+        if run_id not in self.published():
+            self.spark.createDataFrame([(run_id,)], "run string").coalesce(1).write.mode("append").parquet(
+                self.path("_published"))
+
+    def published(self, before: str | None = None) -> list[str]:
+        """Ids of the published runs, oldest first (one small row a run)."""
+        if not self._exists(self.path("_published")):
+            return []
+        ids = sorted({r["run"] for r in self.spark.read.parquet(self.path("_published")).collect()})
+        # run ids are zero-padded timestamps: string order is time order
+        return [r for r in ids if before is None or r < before]
+
+    def _exists(self, path: str) -> bool:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+    def _folders(self, name: str, runs: list[str]) -> list[str]:
+        return [f for f in (f"{self.path(name)}/run={r}" for r in runs) if self._exists(f)]
+
+    def current(self, name: str, run_id: str) -> DataFrame:
+        """A run's own rows, published or not."""
+        return self.spark.read.parquet(f"{self.path(name)}/run={run_id}")
 
     def latest(self, name: str, before: str | None = None) -> DataFrame | None:
-        """The latest run's rows (of runs strictly before ``before``)."""
-        df = self._runs(name, before)
-        if df is None:
-            return None
-        last = df.agg(F.max("run").alias("run"))
-        return df.join(F.broadcast(last), "run").drop("run")
+        """The rows of the latest published run (of those before ``before``)."""
+        folders = self._folders(name, self.published(before))
+        return self.spark.read.parquet(folders[-1]) if folders else None
+
+    def every_run(self, name: str, before: str | None = None, own: str | None = None) -> DataFrame | None:
+        """The rows of all published runs (of those before ``before``), with
+        run ``own``: the state an incremental run compares against, so a
+        retried run never sees its own partial output."""
+        runs = [r for r in self.published(before) if r != own] + ([own] if own else [])
+        folders = self._folders(name, runs)
+        return self.spark.read.parquet(*folders) if folders else None
+
 
-    def every_run(self, name: str, before: str | None = None) -> DataFrame | None:
-        """All runs' rows (of runs strictly before ``before``): the state an
-        incremental run compares against, so a retried run never sees its
-        own partial output."""
-        df = self._runs(name, before)
-        return None if df is None else df.drop("run")
+class BuildFailed(Exception):
+    """An ``error`` data test failed: the run stays unpublished."""
 
 
 BUILD_THREADS = 4
@@ -102,11 +115,14 @@ FULL_REBUILD = ["dim_date", "dim_advisor", "dim_client", "dim_fund", "dim_produc
                 "fct_commissions", "fct_valuations", "fct_transactions", "fct_policies"]
 
 
-def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int = BUILD_THREADS) -> DataFrame:
-    """Build everything for one run; returns the data-test results (a small
-    DataFrame, also written to the store as ``test_results``).  Layers run
+def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int = BUILD_THREADS,
+                    tests: list[DataTest] | None = None) -> DataFrame:
+    """Build everything for one run, test it and publish it; returns the
+    data-test results (a small DataFrame, also written to the store as
+    ``test_results``), or raises ``BuildFailed`` and publishes nothing.  Layers run
     as waves of independent writes: dims; facts; then vault, snapshot,
     policy fact and marts (all of which read only stored dims and facts)."""
+    tests = BUILD_TESTS if tests is None else tests
     rid = run_id_of(run_ts)
     ts = F.lit(run_ts).cast("timestamp_ntz")
 
@@ -120,7 +136,7 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
         "dim_product": lambda: wh.dim_product, "dim_policy": lambda: wh.dim_policy,
     }
     run_wave([write(n, m) for n, m in dims_built.items()], threads)
-    t = {n: store.latest(n) for n in dims_built}
+    t = {n: store.current(n, rid) for n in dims_built}
 
     # ---- wave 2: facts (from staging + stored dims)
     run_wave([
@@ -130,7 +146,7 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
             wh.stg_risk_transactions, wh.stg_investment_transactions, t["dim_fund"])),
     ], threads)
     for n in ("fct_commissions", "fct_valuations", "fct_transactions"):
-        t[n] = store.latest(n)
+        t[n] = store.current(n, rid)
     txns = t["fct_transactions"]
 
     # ---- wave 3: vault (each delta against runs before this one), snapshot, policy fact, marts
@@ -165,15 +181,22 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
         write("risk_policy_inforce", lambda: marts.risk_policy_inforce(t["dim_policy"], ts)),
     ]
     run_wave(tasks, threads)
-    t["fct_policies"] = store.latest("fct_policies")
+    t["fct_policies"] = store.current("fct_policies", rid)
+    for n in ("finance_advisor_commissions_monthly", "portfolio_aum_monthly", "risk_policy_inforce"):
+        t[n] = store.current(n, rid)
 
     # ---- data tests over the stored tables
     tables = dict(t)
-    tables["sat_transaction_details"] = store.every_run("sat_transaction_details")
-    tables["hub_transaction"] = store.every_run("hub_transaction")
-    results = run_tests(tables, BUILD_TESTS, materialise=False)
+    for n in [*V.SATELLITES, *(h.name for h in V.HUBS.values()), *(x.name for x in V.LINKS.values())]:
+        tables[n] = store.every_run(n, rid, own=rid)
+    results = run_tests(tables, tests, materialise=False)
     store.write_run("test_results", results, rid)
-    return store.latest("test_results")
+    results = store.current("test_results", rid)
+    failed = [r["test_name"] for r in results.where("status = 'FAIL'").select("test_name").collect()]
+    if failed:
+        raise BuildFailed(f"run {rid} is not published, failed: {', '.join(sorted(failed))}")
+    store.publish(rid)
+    return results
 
 
 def read_snapshot(store: TableStore) -> DataFrame | None:

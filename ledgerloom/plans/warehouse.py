@@ -129,6 +129,12 @@ class Warehouse:
     def valuations_keyed(self) -> DataFrame:
         return facts.valuations_keyed(self.stg_valuations)
 
+    @cached_property
+    def transactions_numbered(self) -> DataFrame:
+        """Both transaction universes with K5's row number in the grain."""
+        return facts.transactions_numbered(self.stg_risk_transactions, self.stg_investment_transactions,
+                                           self.plain_numbering)
+
     @cached_property
     def transactions_keyed(self) -> DataFrame:
         return facts.transactions_keyed(self.stg_risk_transactions, self.stg_investment_transactions,

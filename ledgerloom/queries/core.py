@@ -101,9 +101,14 @@ def d2(spark, sf):
     return wh(spark, sf).dim_client
 
 
-@register("d3_dim_date", "SELECT * FROM dim_date")
+@register("d3_dim_date", """
+SELECT d.*, coalesce(c.commissions, 0) AS commissions FROM dim_date d LEFT JOIN (
+  SELECT date_sk, count(*) AS commissions FROM fct_commissions GROUP BY date_sk) c ON d.date_sk = c.date_sk""")
 def d3(spark, sf):
-    return wh(spark, sf).dim_date
+    """The calendar with the commission rows of each of its days."""
+    w = wh(spark, sf)
+    days = w.fct_commissions.groupBy("date_sk").agg(F.count(F.lit(1)).alias("commissions"))
+    return w.dim_date.join(days, "date_sk", "left").withColumn("commissions", F.coalesce("commissions", F.lit(0)))
 
 
 @register("d4_dim_fund", "SELECT * FROM dim_fund")

@@ -1,5 +1,5 @@
 """Registered queries: landing ingest (S1-S6), ops replication (S7) and the
-ops generator (S8).
+table store (S9).
 
 The CSV drops are derived from the driver's tables by Spark (the fixture
 rules written as CSV files into a fresh folder under the shared checkpoint
@@ -178,16 +178,6 @@ def s7(spark, sf):
     return ops.replicate_policies(TableSource(spark, sf))
 
 
-@register("s8_ops_generated_policies")
-def s8_policies(spark, sf):
-    return ops.generated_ops(TableSource(spark, sf))[0]
-
-
-@register("s8_ops_generated_claims")
-def s8_claims(spark, sf):
-    return ops.generated_ops(TableSource(spark, sf))[1]
-
-
 @register("s9_table_store_roundtrip", "SELECT * FROM mart_finance")
 def s9(spark, sf):
     """Sink: the mart written as a run of the versioned table store, twice
@@ -198,4 +188,5 @@ def s9(spark, sf):
     m1 = Warehouse.from_fixtures(spark, sf).finance_advisor_commissions_monthly
     for _ in range(2):
         store.write_run("finance_advisor_commissions_monthly", m1, "20240630T000000")
+        store.publish("20240630T000000")
     return store.latest("finance_advisor_commissions_monthly")

@@ -13,7 +13,8 @@ from .core import wh
 YEAR = 2018
 TENANT = "MAIN_BOOK"
 STATEMENT_MONTH = "2018-03-01"
-PIVOT_YEARS = [2015, 2016, 2017, 2018, 2019, 2020, 2021]
+#: Every year of the calendar dimension.
+PIVOT_YEARS = list(range(2015, 2031))
 
 
 @register("b1_top_advisors_year", f"""
@@ -217,16 +218,19 @@ def b15(spark, sf):
 
 
 @register("b16_mom_commission_calendar", """
+SELECT * FROM (WITH months AS (
+  SELECT s.company, s.year_month, CAST(coalesce(x.net, 0) AS DECIMAL(38,2)) AS total_net_commission
+  FROM (SELECT company, CAST(unnest(generate_series(min(year_month), max(year_month), INTERVAL 1 MONTH)) AS DATE) AS year_month
+        FROM mart_finance GROUP BY company) s
+  LEFT JOIN (SELECT company, year_month, sum(commission_net_total) AS net FROM mart_finance GROUP BY company, year_month) x
+    ON s.company = x.company AND s.year_month = x.year_month)
 SELECT m.company, m.year_month, m.total_net_commission, p.total_net_commission AS prior_month_net,
   CAST(m.total_net_commission - coalesce(p.total_net_commission, 0) AS DECIMAL(38,2)) AS mom_delta,
   round(CASE WHEN p.total_net_commission IS NOT NULL AND p.total_net_commission <> 0
         THEN CAST(m.total_net_commission - coalesce(p.total_net_commission, 0) AS DOUBLE)
              / CAST(p.total_net_commission AS DOUBLE) END, 6) AS mom_pct
-FROM (SELECT company, year_month, CAST(sum(commission_net_total) AS DECIMAL(38,2)) AS total_net_commission
-      FROM mart_finance GROUP BY company, year_month) m
-LEFT JOIN (SELECT company, year_month, CAST(sum(commission_net_total) AS DECIMAL(38,2)) AS total_net_commission
-           FROM mart_finance GROUP BY company, year_month) p
-  ON m.company = p.company AND m.year_month = CAST(p.year_month + INTERVAL 1 MONTH AS DATE)""")
+FROM months m LEFT JOIN months p
+  ON m.company = p.company AND m.year_month = CAST(p.year_month + INTERVAL 1 MONTH AS DATE))""")
 def b16(spark, sf):
     return B.mom_commission_calendar(wh(spark, sf).finance_advisor_commissions_monthly)
 

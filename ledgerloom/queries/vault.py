@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..functions.keys import hashdiff, surrogate_key
 from ..oracle import vault_sql as VS
+from ..oracle.warehouse_sql import hashdiff as sql_hashdiff
+from ..oracle.warehouse_sql import sk
 from ..operators import scd
 from ..operators import vault as V
 from ..plans.tables import stage
@@ -82,8 +85,8 @@ for _i, _name in zip((5, 6, 7), ["lnk_transaction_policy", "lnk_transaction_clie
 
 def _fact(w, collapse):
     # the collapsed form picks the last row of a key's grain order, so it
-    # needs the numbered fact; the row-grain form only needs keyed rows
-    return w.fct_transactions if collapse else w.transactions_keyed
+    # needs numbered rows; the row-grain form only needs keyed rows
+    return w.transactions_numbered if collapse else w.transactions_keyed
 
 
 def _sat(cols, collapse=False):
@@ -159,24 +162,14 @@ def d8_join(spark, sf):
                     F.col("pit_policy_version_id"), "pit_valid_from")
 
 
-@register("k4_transaction_hashdiffs", """
-SELECT d.transaction_hk, d.hashdiff AS details_hashdiff, a.hashdiff AS amounts_hashdiff
-FROM (SELECT transaction_hk, hashdiff, row_number() OVER (PARTITION BY transaction_hk ORDER BY hashdiff) AS i
-      FROM sat_details_run1) d
-JOIN (SELECT transaction_hk, hashdiff, row_number() OVER (PARTITION BY transaction_hk ORDER BY hashdiff) AS i
-      FROM sat_amounts_run1) a
-  ON d.transaction_hk = a.transaction_hk AND d.i = a.i""")
+@register("k4_transaction_hashdiffs", f"""
+SELECT {sk('company', 'transaction_id')} AS transaction_hk, {sql_hashdiff(*V.SAT_DETAILS_COLUMNS)} AS details_hashdiff,
+  {sql_hashdiff(*V.SAT_AMOUNTS_COLUMNS)} AS amounts_hashdiff
+FROM fct_transactions WHERE transaction_id IS NOT NULL""")
 def k4(spark, sf):
     """K4: the descriptive and the measure hashdiff of every keyed
-    transaction row (paired per key in hashdiff order)."""
-    from pyspark.sql import Window
-    w = _wh(spark, sf, 1)
-    facts_ = w.transactions_keyed
-    det = V.satellite_source(facts_, V.SAT_DETAILS_COLUMNS, w.run_ts)
-    amt = V.satellite_source(facts_, V.SAT_AMOUNTS_COLUMNS, w.run_ts)
-    by_key = Window.partitionBy("transaction_hk").orderBy("hashdiff")
-    det = det.select("transaction_hk", F.col("hashdiff").alias("details_hashdiff"),
-                     F.row_number().over(by_key).alias("i"))
-    amt = amt.select("transaction_hk", F.col("hashdiff").alias("amounts_hashdiff"),
-                     F.row_number().over(by_key).alias("i"))
-    return det.join(amt, ["transaction_hk", "i"]).drop("i")
+    transaction row."""
+    rows = _wh(spark, sf, 1).transactions_keyed.where(F.col("transaction_id").isNotNull())
+    return rows.select(surrogate_key("company", "transaction_id").alias("transaction_hk"),
+                       hashdiff(*V.SAT_DETAILS_COLUMNS).alias("details_hashdiff"),
+                       hashdiff(*V.SAT_AMOUNTS_COLUMNS).alias("amounts_hashdiff"))

@@ -1,8 +1,9 @@
-"""Operational source tables (S7, S8): replication of ``policies_master`` /
-``claims`` by high-water mark with soft deletes, and a seeded generator.
+"""Operational source tables (S7): replication of ``policies_master`` by
+high-water mark with soft deletes.
 
 Replication (S7): a full refresh, then increments of rows whose
-``updated_at`` is above the target's high-water mark.  The mark is one
+``updated_at`` is not below the target's high-water mark (rows sharing the
+mark's time are not lost; the upsert makes repeats harmless).  The mark is one
 scalar read from the target (it has to become a predicate of the source
 query, e.g. a JDBC ``WHERE``).  The upsert keeps the latest row per primary
 key with a ``max_by`` aggregate; ``is_deleted`` rows are kept in the
@@ -14,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.tables import stage
 from .tables import TableSource
 
 # --- fixed values: enumerations of the operational schema ------------------
@@ -27,11 +29,17 @@ FULL_REFRESH_TS = "2024-01-01 00:00:00"
 
 
 def jdbc_source(spark: SparkSession, url: str, table: str, props: dict | None = None,
-                high_water: str | None = None, cursor: str = "updated_at") -> DataFrame:
-    """Read an operational table over JDBC; with a high-water mark only rows
-    changed after it are fetched (the predicate runs in the database)."""
-    query = f"(SELECT * FROM {table}" + (f" WHERE {cursor} > '{high_water}'" if high_water else "") + ") src"
-    return spark.read.jdbc(url, query, properties=props or {})
+                high_water=None, cursor: str = "updated_at", split: str | None = None,
+                bounds: tuple[int, int] | None = None, partitions: int = 1) -> DataFrame:
+    """Read an operational table over JDBC, in ``partitions`` ranges of the
+    integer column ``split`` between ``bounds``; with a high-water mark only
+    rows changed since it are fetched (Spark pushes the filter down)."""
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **(props or {}))
+    if split and bounds:
+        reader = reader.options(partitionColumn=split, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
+                                numPartitions=str(partitions))
+    rows = reader.load()
+    return rows if high_water is None else rows.where(F.col(cursor) >= F.lit(high_water))
 
 
 def high_water_mark(target: DataFrame, cursor: str = "updated_at"):
@@ -89,66 +97,9 @@ def ops_policies(tables: TableSource, version: int = 0) -> DataFrame:
 def replicate_policies(tables: TableSource) -> DataFrame:
     """Full refresh, then one incremental sync above the high-water mark;
     returns the current (not deleted) view."""
-    replica = upsert_latest(None, ops_policies(tables, 0), "policy_id")
-    hw = F.lit(FULL_REFRESH_TS).cast("timestamp_ntz")  # == high_water_mark(replica) after the refresh
-    increment = ops_policies(tables, 1).where(F.col("updated_at") > hw)
+    replica = stage(upsert_latest(None, ops_policies(tables, 0), "policy_id"), "ops-policies")
+    mark = high_water_mark(replica)
+    increment = ops_policies(tables, 1)
+    if mark is not None:
+        increment = increment.where(F.col("updated_at") >= F.lit(mark).cast("timestamp_ntz"))
     return current_view(upsert_latest(replica, increment, "policy_id"))
-
-
-# ------------------------------------------------------------------ S8 generator
-def _u(key: Column, salt: int) -> Column:
-    """Deterministic uniform draw in [0, 1) from an integer key."""
-    return (((key % 1000003) * 2654435761 + salt * 97) % 1000003).cast("double") / 1000003.0
-
-
-def _pick(values: list[str], u: Column) -> Column:
-    idx = (F.lit(1) + F.round(u * (len(values) - 1))).cast("int")
-    return F.element_at(F.array(*[F.lit(v) for v in values]), idx)
-
-
-def generate_policies(spine: DataFrame, key: str) -> DataFrame:
-    """Synthetic ``policies_master`` rows, one per spine row."""
-    g = F.col(key)
-    return spine.select(
-        g.alias("policy_id"),
-        F.concat(F.lit("POL-"), F.lpad(g.cast("string"), 8, "0")).alias("policy_number"),
-        F.lpad((F.lit(1000000000) + F.floor(_u(g, 1) * 8999999999).cast("bigint")).cast("string"), 13, "0")
-        .alias("client_id_number"),
-        _pick(PRODUCT_CODES, _u(g, 2)).alias("product_code"),
-        F.date_add(F.lit("2018-01-01").cast("date"), F.floor(_u(g, 3) * 2900).cast("int")).alias("inception_date"),
-        _pick(STATUS_DRAW, _u(g, 4)).alias("status"),
-        F.round(F.lit(50000) + _u(g, 5) * 4950000, 2).cast("decimal(18,2)").alias("sum_assured"),
-        F.round(F.lit(150) + _u(g, 6) * 9850, 2).cast("decimal(18,2)").alias("monthly_premium"),
-        F.concat(F.lit("ADV-"), F.lpad((F.lit(1) + F.round(_u(g, 7) * 199)).cast("int").cast("string"), 4, "0"))
-        .alias("advisor_identifier"))
-
-
-def generate_claims(spine: DataFrame, key: str, policy_key: str) -> DataFrame:
-    """Synthetic ``claims`` rows; the policy FK comes from the spine."""
-    g = F.col(key)
-    lodged = F.lit("2022-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=F.floor(_u(g, 11) * 365 * 4 * 86400).cast("decimal(18,6)"))
-    decided = F.lit("2022-06-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=F.floor(_u(g, 12) * 365 * 3 * 86400).cast("decimal(18,6)"))
-    paid = F.lit("2023-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=F.floor(_u(g, 13) * 365 * 3 * 86400).cast("decimal(18,6)"))
-    return spine.select(
-        g.alias("claim_id"),
-        F.concat(F.lit("CLM-"), F.lpad(g.cast("string"), 9, "0")).alias("claim_reference"),
-        F.col(policy_key).alias("policy_id"),
-        _pick(CLAIM_TYPES, _u(g, 8)).alias("claim_type"),
-        _pick(CLAIM_STATUSES, _u(g, 9)).alias("claim_status"),
-        F.round(F.lit(1000) + _u(g, 10) * 999000, 2).cast("decimal(18,2)").alias("claim_amount"),
-        F.when(_u(g, 14) > 0.4, F.round(F.lit(1000) + _u(g, 15) * 999000, 2).cast("decimal(18,2)"))
-        .alias("paid_amount"),
-        lodged.alias("lodged_at"),
-        F.when(_u(g, 16) > 0.3, decided).alias("decision_at"),
-        F.when(_u(g, 17) > 0.5, paid).alias("paid_at"))
-
-
-def generated_ops(tables: TableSource) -> tuple[DataFrame, DataFrame]:
-    """Generator driven by the driver's tables: one policy per customer, one
-    claim per order (FK = the order's customer), so volume follows them."""
-    cust = tables("customer").select((F.col("c_custkey") + 1).alias("g"))
-    orders = tables("orders").select((F.col("o_orderkey") + 1).alias("g"), (F.col("o_custkey") + 1).alias("p"))
-    return generate_policies(cust, "g"), generate_claims(orders, "g", "p")

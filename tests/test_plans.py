@@ -49,15 +49,30 @@ def test_filters_reach_the_scan(spark, wh):
     assert "PushedFilters: [IsNotNull(commission_id), EqualTo(commission_id,COM000000001)]" in p
 
 
-def test_store_latest_run_prunes_partitions(spark, tmp_path):
+def test_store_reads_one_published_folder(spark, tmp_path):
     from ledgerloom.plans.build import TableStore
     store = TableStore(spark, str(tmp_path / "s"))
     df = spark.range(10).withColumnRenamed("id", "x")
     store.write_run("t", df, "20240101T000000")
     store.write_run("t", df.where("x < 3"), "20240201T000000")
+    assert store.latest("t") is None                   # nothing published yet
+    store.publish("20240101T000000")
+    assert store.latest("t").count() == 10
+    store.publish("20240201T000000")
     latest = store.latest("t")
-    assert latest.count() == 3
-    assert "dynamicpruning" in plan(latest).lower() or "PartitionFilters" in plan(latest)
+    assert latest.count() == 3 and store.every_run("t").count() == 13
+    assert plan(latest).count("+- Scan parquet") == 1 and "Join" not in plan(latest)
+
+
+def test_column_checks_scan_a_table_once(spark, tmp_path):
+    from ledgerloom.operators.quality import DataTest, run_tests
+    spark.range(10).selectExpr("id a", "id b", "cast(id as string) c").write.parquet(str(tmp_path / "t"))
+    t = {"t": spark.read.parquet(str(tmp_path / "t"))}
+    tests = [DataTest("not_null", "t", (x,), label=f"n_{x}") for x in "abc"] + [
+        DataTest("accepted_values", "t", ("c",), values=("1",), where="a < 5", label="v")]
+    got = run_tests(t, tests, materialise=False)
+    assert plan(got).count("- Scan parquet") == 1
+    assert {r.test_name: r.failures for r in got.collect()} == {"n_a": 0, "n_b": 0, "n_c": 0, "v": 4}
 
 
 def test_alert_stops_at_first_hit(spark):

@@ -1,5 +1,7 @@
 """Semantic layer, ad-hoc SQL guard, masking, tenant filter, quality statuses, ops."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,9 +34,19 @@ def test_semantic_synonyms_and_refusal(spark, wh):
 def test_adhoc_sql_is_read_only(spark, wh):
     views = {"portfolio_aum_monthly": wh.portfolio_aum_monthly}
     assert B.adhoc_sql(spark, views, "select count(*) as n from portfolio_aum_monthly").first().n >= 0
-    for bad in ("drop view portfolio_aum_monthly", "select 1; select 2", "insert into x values (1)"):
+    spark.range(3).createOrReplaceTempView("portfolio_aum_monthly")
+    for bad in ("drop view portfolio_aum_monthly", "select 1; select 2", "insert into x values (1)", "set a=1",
+                "with a as (select 1) insert overwrite directory '/tmp/never-written' using parquet select * from a",
+                "from portfolio_aum_monthly insert overwrite directory '/tmp/never-written' using parquet select *",
+                "create table t as select 1", "select transform(id) using 'cat' as (x) from portfolio_aum_monthly"):
         with pytest.raises(ValueError):
             B.adhoc_sql(spark, views, bad)
+    assert not os.path.exists("/tmp/never-written")
+    good = """with a as (select company, ';' as s from portfolio_aum_monthly where company in (select max(company)
+              from portfolio_aum_monthly)) select s, count(*) over (partition by company) as n from a order by 1 limit 5"""
+    assert B.adhoc_sql(spark, views, good).columns == ["s", "n"]
+    assert spark.table("portfolio_aum_monthly").count() == 3      # the session's own view is back
+    spark.catalog.dropTempView("portfolio_aum_monthly")
 
 
 def test_masking_by_role(spark, wh):
@@ -58,19 +70,13 @@ def test_quality_statuses(spark, wh):
     assert res["accepted_values_f_company"].status == "FAIL"
 
 
-def test_ops_replication_and_generator(spark):
+def test_ops_replication(spark):
     t = TableSource(spark, SF_SMALL)
     cur = ops.replicate_policies(t)
     assert cur.where("is_deleted").count() == 0
     assert cur.groupBy("policy_id").count().where("count > 1").count() == 0
     lapsed = cur.where("(policy_id - 1) % 10 = 1").select("status").distinct().collect()
     assert [r.status for r in lapsed] == ["LAPSED"]
-    p1, c1 = ops.generated_ops(t)
-    p2, _ = ops.generated_ops(t)
-    assert p1.exceptAll(p2).count() == 0                            # deterministic
-    assert p1.where(~F.col("status").isin(ops.POLICY_STATUSES)).count() == 0
-    assert c1.join(p1, "policy_id", "left_anti").count() == 0       # FK holds
-    assert c1.where(F.col("paid_amount").isNotNull()).count() > 0
 
 
 def test_entry_contract(spark):

@@ -51,8 +51,8 @@ def test_repeated_ids_reappend_unless_collapsed(spark):
     # trap 11: keys with several different payloads keep re-appending
     dup_keys = first.groupBy("transaction_hk").agg(F.countDistinct("hashdiff").alias("n")).where("n > 1").count()
     assert (again.count() > 0) == (dup_keys > 0)
-    fixed1 = V.satellite_source(w.fct_transactions, cols, ts(RUN1), collapse=True).checkpoint(eager=True)
-    fixed2 = V.satellite_delta(V.satellite_source(w.fct_transactions, cols, ts(RUN2), collapse=True), fixed1)
+    fixed1 = V.satellite_source(w.transactions_numbered, cols, ts(RUN1), collapse=True).checkpoint(eager=True)
+    fixed2 = V.satellite_delta(V.satellite_source(w.transactions_numbered, cols, ts(RUN2), collapse=True), fixed1)
     assert fixed2.count() == 0
     assert fixed1.groupBy("transaction_hk", "load_dts").count().where("count > 1").count() == 0
 
