@@ -110,9 +110,12 @@ def satellite_source(fct: DataFrame, columns: list[str], run_ts, collapse: bool
         hashdiff(*columns).alias("hashdiff"))
 
 
-def latest_hashdiff(target: DataFrame) -> DataFrame:
-    """Latest stored hashdiff per key (ties on load_dts broken by hashdiff)."""
-    return (target.groupBy("transaction_hk")
+def latest_hashdiff(target: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Latest stored hashdiff (ties on load_dts broken by hashdiff) of the
+    keys among ``candidates``; the rest of the history is not grouped."""
+    keys = candidates.select("transaction_hk").distinct()
+    return (target.select("transaction_hk", "load_dts", "hashdiff").join(keys, "transaction_hk", "left_semi")
+            .groupBy("transaction_hk")
             .agg(F.max_by("hashdiff", F.struct("load_dts", "hashdiff")).alias("latest_hashdiff")))
 
 
@@ -122,7 +125,7 @@ def satellite_delta(source: DataFrame, target: DataFrame | None) -> DataFrame:
     A -> B -> A appends twice."""
     if target is None:
         return source
-    latest = latest_hashdiff(target)
+    latest = latest_hashdiff(target, source)
     j = source.join(latest, "transaction_hk", "left")
     return (j.where(F.col("latest_hashdiff").isNull() | (F.col("latest_hashdiff") != F.col("hashdiff")))
             .drop("latest_hashdiff"))

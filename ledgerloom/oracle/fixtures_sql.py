@@ -189,9 +189,24 @@ def _risk_policies_sql(name: str, variant: int) -> None:
 
 
 _risk_txn_sql("fx_risk_transactions", 0)
-_risk_txn_sql("fx_risk_transactions_v1", 1)
+_risk_txn_sql("fx_risk_transactions_changed", 1)
+cte("fx_risk_transactions_v1", """
+SELECT * FROM fx_risk_transactions_changed WHERE reference_number NOT LIKE '%77'
+UNION ALL
+SELECT * REPLACE ('RN' || substr(reference_number, 4) AS transaction_id, 'RX' || substr(member_id, 4) AS policy_number)
+FROM fx_risk_transactions_changed WHERE reference_number LIKE '%25'""")
+cte("fx_investment_transactions_v1", """
+SELECT * FROM fx_investment_transactions WHERE reference_number NOT LIKE '%77'
+UNION ALL
+SELECT * REPLACE ('N' || transaction_id AS transaction_id, 'INX' || substr(policy_number, 4) AS policy_number,
+  '9' || substr(client_id_number, 2) AS client_id_number, 'FN' || coalesce(substr(fund_code, 3), '0') AS fund_code)
+FROM fx_investment_transactions WHERE reference_number LIKE '%25'""")
 _risk_policies_sql("fx_risk_policies", 0)
-_risk_policies_sql("fx_risk_policies_v1", 1)
+_risk_policies_sql("fx_risk_policies_changed", 1)
+cte("fx_risk_policies_v1", """
+SELECT * FROM fx_risk_policies_changed WHERE memberid NOT LIKE '%47'
+UNION ALL
+SELECT * REPLACE ('RN' || substr(memberid, 4) AS policynumber) FROM fx_risk_policies_changed WHERE memberid LIKE '%31'""")
 
 # ---------------------------------------------------------------- staging
 _COMMISSION_TYPED = """
@@ -214,13 +229,15 @@ SELECT company, advisor_identifier, client_title, client_first_name, client_surn
   CAST(monthly_income_pct AS DECIMAL(8,4)) AS monthly_income_pct, income_frequency, _loaded_at
 FROM fx_valuations""")
 
-cte("stg_investment_transactions", """
+_INVESTMENT_TXN_TYPED = """
 SELECT company, transaction_id, policy_number, client_id_number, fund_code, transaction_type,
   CAST(transaction_date AS DATE) AS transaction_date, CAST(amount AS DECIMAL(18,2)) AS amount,
   CAST(units AS DECIMAL(18,4)) AS units, CAST(price_per_unit AS DECIMAL(18,4)) AS price_per_unit,
   status, reference_number, source_fund, narrative, client_title, client_first_name, client_surname,
   client_initials, _loaded_at
-FROM fx_investment_transactions""")
+FROM {src}"""
+cte("stg_investment_transactions", _INVESTMENT_TXN_TYPED.format(src="fx_investment_transactions"))
+cte("stg_investment_transactions_v1", _INVESTMENT_TXN_TYPED.format(src="fx_investment_transactions_v1"))
 
 _RISK_TXN_TYPED = """
 SELECT company, transaction_id, policy_number, member_id, transaction_type,

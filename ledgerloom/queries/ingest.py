@@ -31,7 +31,9 @@ def _drop(spark, sf, shapes, bad_lines: bool = False, copies: int = 1) -> str:
     t = TableSource(spark, sf)
     makers = {"commissions": lambda: fixtures.commissions(t),
               "risk_transactions": lambda: fixtures.risk_transactions(t),
-              "risk_policies": lambda: fixtures.risk_policies(t)}
+              "risk_policies": lambda: fixtures.risk_policies(t),
+              "valuations": lambda: fixtures.valuations(t),
+              "investment_transactions": lambda: fixtures.investment_transactions(t)}
     drop = _fresh(spark, "drop")
     for shape in shapes:
         L.write_drop(makers[shape](), shape, drop)
@@ -77,6 +79,19 @@ def s3_txns(spark, sf):
     return L.read_landing(spark, f"{base}/raw", "risk_transactions")
 
 
+@register("s6_landing_valuations", _LAND.format(fx="fx_valuations"))
+def s6_valuations(spark, sf):
+    return L.read_landing(spark, f"{_batch_landing(spark, sf, ['valuations'])}/raw", "valuations")
+
+
+@register("s6_landing_investment_transactions", """
+SELECT * EXCLUDE (_loaded_at), CASE WHEN company = 'MAIN_BOOK' THEN 'valuation_transactions' ELSE 'transactions' END
+  AS dataset, TIMESTAMP '2024-06-30 00:00:00' AS _loaded_at FROM fx_investment_transactions""")
+def s6_investment(spark, sf):
+    base = _batch_landing(spark, sf, ["investment_transactions"])
+    return L.read_landing(spark, f"{base}/raw", "investment_transactions")
+
+
 @register("s5_rejected_rows_quarantined", f"""
 SELECT 'PIPE_MAIN_BOOK_RISK_BENEFITS_TRANSACTIONS' AS pipe_name, '{BAD_FILE}' AS file_name,
   'RT' || (CASE WHEN length(CAST(event_id AS VARCHAR)) >= 9 THEN CAST(event_id AS VARCHAR)

@@ -161,7 +161,24 @@ def valuations(tables: TableSource) -> DataFrame:
     )
 
 
-def investment_transactions(tables: TableSource) -> DataFrame:
+def _replaced(rows: DataFrame, **columns: Column) -> DataFrame:
+    return rows.withColumns(columns)
+
+
+def investment_transactions(tables: TableSource, variant: int = 0) -> DataFrame:
+    rows = _investment_transactions(tables)
+    if not variant:
+        return rows
+    # second run: new transactions, clients, policies and funds; some are gone
+    ref = F.col("reference_number")
+    new = _replaced(rows.where(ref.like("%25")), transaction_id=F.concat(F.lit("N"), F.col("transaction_id")),
+                    policy_number=F.concat(F.lit("INX"), F.substring("policy_number", 4, 100)),
+                    client_id_number=F.concat(F.lit("9"), F.substring("client_id_number", 2, 100)),
+                    fund_code=F.concat(F.lit("FN"), F.coalesce(F.substring("fund_code", 3, 100), F.lit("0"))))
+    return rows.where(~ref.like("%77")).unionByName(new)
+
+
+def _investment_transactions(tables: TableSource) -> DataFrame:
     j = _line_orders_parts(tables)
     c, ok, lk, pk = F.col("o_custkey"), F.col("o_orderkey"), F.col("l_orderkey"), F.col("l_partkey")
     cl = _client_columns(c)
@@ -196,7 +213,7 @@ def risk_transactions(tables: TableSource, variant: int = 0) -> DataFrame:
     if variant:
         status = F.when(eid % 100 == 0, F.lit("AMENDED")).otherwise(status)
     purchase = et == "purchase"
-    return e.select(
+    rows = e.select(
         company.alias("company"),
         F.when(company == TENANTS[0], "risk_benefits_transactions").otherwise("ins_transactions").alias("dataset"),
         F.when(eid % 12 == 0, null()).otherwise(F.concat(F.lit("RT"), pad(eid, 9))).alias("transaction_id"),
@@ -215,6 +232,12 @@ def risk_transactions(tables: TableSource, variant: int = 0) -> DataFrame:
         null().alias("client_surname"), null().alias("client_initials"),
         ts_ntz(LOAD_TS).alias("_loaded_at"),
     )
+    if not variant:
+        return rows
+    ref = F.col("reference_number")
+    new = _replaced(rows.where(ref.like("%25")), transaction_id=F.concat(F.lit("RN"), F.substring("reference_number", 4, 100)),
+                    policy_number=F.concat(F.lit("RX"), F.substring("member_id", 4, 100)))
+    return rows.where(~ref.like("%77")).unionByName(new)
 
 
 def _risk_policy_load(cust: DataFrame, age_offset: int, loaded_at: str, variant: int) -> DataFrame:
@@ -265,7 +288,12 @@ def risk_policies(tables: TableSource, variant: int = 0) -> DataFrame:
     cust = tables("customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     first = _risk_policy_load(cust, 0, RISK_LOAD_TS, variant)
     reload = _risk_policy_load(cust.where(F.col("c_custkey") % 10 == 0), 1, RISK_RELOAD_TS, variant)
-    return first.unionByName(reload)
+    rows = first.unionByName(reload)
+    if not variant:
+        return rows
+    member = F.col("memberid")
+    new = _replaced(rows.where(member.like("%31")), policynumber=F.concat(F.lit("RN"), F.substring("memberid", 4, 100)))
+    return rows.where(~member.like("%47")).unionByName(new)
 
 
 def pipe_errors(tables: TableSource) -> DataFrame:
@@ -299,12 +327,11 @@ _MATERIALISED: dict[tuple, dict[str, str]] = {}
 SHAPE_BUILDERS = {
     "commissions": lambda t, v: commissions(t),
     "valuations": lambda t, v: valuations(t),
-    "investment_transactions": lambda t, v: investment_transactions(t),
+    "investment_transactions": lambda t, v: investment_transactions(t, v),
     "risk_transactions": lambda t, v: risk_transactions(t, v),
     "risk_policies": lambda t, v: risk_policies(t, v),
 }
-VARIANT_SHAPES = ("risk_transactions", "risk_policies")
-LANDING_ROWS_PER_FILE = 64_000
+VARIANT_SHAPES = ("risk_transactions", "risk_policies", "investment_transactions")
 
 
 def materialised_landing(tables: TableSource, shape: str, variant: int = 0) -> DataFrame:
@@ -322,8 +349,6 @@ def materialised_landing(tables: TableSource, shape: str, variant: int = 0) -> D
     path = _MATERIALISED.get(key, {}).get("path")
     if path is None:
         path = shared_path(spark, "landing-cache", f"{shape}-v{v}-{uuid.uuid4().hex}")
-        # bounded files so later scans split into many tasks without a shuffle
-        (SHAPE_BUILDERS[shape](tables, v).write.mode("overwrite")
-         .option("maxRecordsPerFile", LANDING_ROWS_PER_FILE).parquet(path))
+        SHAPE_BUILDERS[shape](tables, v).write.mode("overwrite").parquet(path)
         _MATERIALISED[key] = {"path": path}
     return spark.read.parquet(path)
