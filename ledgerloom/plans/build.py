@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators import dims, facts, marts, scd
 from ..operators import vault as V
 from ..operators.quality import DataTest, run_tests
-from ..schemas import TENANTS
+from .declared_tests import CORE, MARTS, VAULT, declared
 from .tables import stage
 from .warehouse import Warehouse
 
@@ -207,19 +207,5 @@ def read_snapshot(store: TableStore) -> DataFrame | None:
     return open_v if closed is None else open_v.unionByName(closed)
 
 
-BUILD_TESTS = [
-    DataTest("unique", "dim_advisor", ("advisor_sk",)),
-    DataTest("unique", "dim_policy", ("policy_sk",)),
-    DataTest("unique", "fct_commissions", ("commission_sk",)),
-    DataTest("accepted_values", "fct_commissions", ("company",), values=tuple(TENANTS)),
-    DataTest("relationships", "fct_commissions", ("advisor_sk",), severity="warn",
-             to="dim_advisor", field="advisor_sk"),
-    DataTest("unique", "fct_valuations", ("valuation_sk",)),
-    DataTest("unique", "fct_transactions", ("transaction_sk",)),
-    DataTest("relationships", "fct_transactions", ("policy_sk",), severity="warn",
-             to="dim_policy", field="policy_sk"),
-    DataTest("unique", "fct_policies", ("policy_sk",)),
-    DataTest("unique", "hub_transaction", ("transaction_hk",)),
-    DataTest("unique_combination_of_columns", "sat_transaction_details", ("transaction_hk", "load_dts"),
-             severity="warn"),
-]
+#: Every declared test of the built layers.
+BUILD_TESTS = declared(CORE) + declared(VAULT) + declared(MARTS)

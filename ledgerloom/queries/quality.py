@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..catalog import register
+from ..oracle import vault_sql as VS
 from ..oracle.cte import cte
 from ..operators import quarantine as Q
 from ..operators import vault as V
 from ..operators.quality import DataTest, run_tests, suite_sql
+from ..plans.declared_tests import CORE, HISTORY, MARTS, VAULT, declared, staging_tests
 from ..schemas import TENANTS
 from ..sources import fixtures
 from ..sources.tables import TableSource
@@ -58,6 +60,53 @@ def x_suite(spark, sf):
     return run_tests(core_tables(wh(spark, sf)), CORE_SUITE)
 
 
+# --------------------------------------------------------------- declared tests, by layer
+for _name, _hub in V.HUBS.items():
+    cte(_name, VS.hub_sql(_hub.hk, list(_hub.keys), "fct_transactions", VS.RUN1))
+for _name, _link in V.LINKS.items():
+    cte(_name, VS.link_sql(_link.hk, list(_link.keys), [(n, list(k)) for n, k in _link.hubs], "fct_transactions", VS.RUN1))
+for _name, _relation in (("sat_transaction_details", "sat_details_run1"), ("sat_transaction_amounts", "sat_amounts_run1"),
+                         ("finance_advisor_commissions_monthly", "mart_finance"), ("portfolio_aum_monthly", "mart_aum"),
+                         ("risk_policy_inforce", "mart_risk"), ("snp_dim_policy", "snp_run2"),
+                         ("dim_policy_history", "policy_history")):
+    cte(_name, f"SELECT * FROM {_relation}")
+
+
+def _suite(name, tests, tables):
+    @register(name, suite_sql(tests))
+    def run(spark, sf):
+        return run_tests(tables(spark, sf), tests)
+
+
+def _vault_tables(spark, sf):
+    rows = wh(spark, sf).transactions_keyed
+    ts = F.lit("2024-06-30 00:00:00").cast("timestamp_ntz")
+    return {**{n: V.hub_candidates(rows, h, ts) for n, h in V.HUBS.items()},
+            **{n: V.link_candidates(rows, x, ts) for n, x in V.LINKS.items()},
+            **{n: V.satellite_source(rows, c, ts) for n, c in V.SATELLITES.items()}}
+
+
+def _history_tables(spark, sf):
+    from ..operators import scd
+    from .vault import snapshot_after_run2
+    versions = snapshot_after_run2(spark, sf)
+    return {"snp_dim_policy": versions, "dim_policy_history": scd.dim_policy_history(versions)}
+
+
+_suite("x_declared_staging", staging_tests(), lambda spark, sf: {
+    n: getattr(wh(spark, sf), n) for n in ("stg_commissions", "stg_risk_policies", "stg_risk_transactions",
+                                           "stg_investment_transactions", "stg_valuations")})
+_suite("x_declared_core", declared(CORE), lambda spark, sf: {
+    n: getattr(wh(spark, sf), n) for n in (
+        "dim_advisor", "dim_date", "dim_product", "dim_fund", "dim_policy", "dim_client", "fct_commissions",
+        "fct_valuations", "fct_transactions", "fct_policies")})
+_suite("x_declared_vault", declared(VAULT), _vault_tables)
+_suite("x_declared_history", declared(HISTORY), _history_tables)
+_suite("x_declared_marts", declared(MARTS), lambda spark, sf: {
+    n: getattr(wh(spark, sf), n) for n in ("finance_advisor_commissions_monthly", "portfolio_aum_monthly",
+                                           "risk_policy_inforce", "dim_advisor", "dim_fund")})
+
+
 # --------------------------------------------------------------- X7 ops constraints
 cte("ops_policies", """
 SELECT c_custkey + 1 AS policy_id, 'POL-' || lpad(CAST(c_custkey + 1 AS VARCHAR), 8, '0') AS policy_number,
