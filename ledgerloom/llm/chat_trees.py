@@ -36,13 +36,13 @@ START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = [START, END, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|endoftext|>", "<|eot_id|>",
            "<|start_header_id|>", "<|end_header_id|>"]
 _TAILS = "|".join(re.escape(c[1:]) for c in CONTROL)
-_ESCAPE = rf"([<\[])(\\*)({_TAILS})"
+ESCAPE = rf"([<\[])(\\*)({_TAILS})"
 _UNESCAPE = re.compile(rf"([<\[])\\(\\*)({_TAILS})")
 
 
 def escape(column):
     """Text with its control strings made harmless."""
-    return F.regexp_replace(column, _ESCAPE, r"$1$2\\$3")
+    return F.regexp_replace(column, ESCAPE, r"$1$2\\$3")
 
 
 def unescape(text: str) -> str:
