@@ -51,7 +51,7 @@ def time_build(spark, sf_dir: str, runs: int) -> dict:
     import uuid
 
     first, second = [], []
-    for i in range(min(runs, 1) + 1):   # one warm-up build, one measured
+    for i in range(runs + 1):           # one warm-up build, then the samples
         store = TableStore(spark, shared_path(spark, "bench-store", uuid.uuid4().hex))
         t0 = time.perf_counter()
         build_warehouse(Warehouse.from_fixtures(spark, sf_dir, run_ts="2024-06-30 00:00:00"),

@@ -14,12 +14,3 @@ def year_boundaries(start, end) -> Column:
     """``datediff('year', a, b)``: number of calendar-year boundaries crossed
     (not completed birthdays)."""
     return (F.year(_col(end)) - F.year(_col(start))).cast("int")
-
-
-def month_start(d) -> Column:
-    return F.trunc(_col(d), "month")
-
-
-def shift_years(d, years: int) -> Column:
-    """Calendar shift by whole years, as a date."""
-    return F.add_months(F.to_date(_col(d)), 12 * years)

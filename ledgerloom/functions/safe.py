@@ -21,7 +21,3 @@ def pct_change(current, prior) -> Column:
     prior = _col(prior)
     return F.when(prior.isNotNull() & (prior != 0),
                   (_col(current) - prior).cast("double") / prior.cast("double"))
-
-
-def round_double(c, digits: int = 6) -> Column:
-    return F.round(_col(c).cast("double"), digits)

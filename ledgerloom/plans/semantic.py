@@ -9,7 +9,7 @@ synonyms resolve case-insensitively.  A metric query compiles to one
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +29,6 @@ class LogicalTable:
     dimensions: list[Field]
     time_dimensions: list[Field]
     measures: list[Field]
-    grain: tuple[str, ...] = field(default_factory=tuple)
 
     def _find(self, fields: list[Field], term: str) -> Field | None:
         t = term.strip().lower()
@@ -69,8 +68,7 @@ MODEL = [
             Field("avg_commission_amount", ("average commission", "average deal size"), "avg"),
             Field("running_net_total", ("cumulative commissions", "lifetime net")),
             Field("pct_change_yoy", ("year-on-year change", "yoy growth", "yoy delta")),
-        ],
-        grain=("company", "advisor_sk", "year_month", "commission_category")),
+        ]),
     LogicalTable(
         "aum_monthly", ("assets under management", "portfolio", "fund book"),
         dimensions=[
@@ -87,8 +85,7 @@ MODEL = [
             Field("aum_mom_change", ("mom change", "month-on-month change", "net flow")),
             Field("aum_mom_pct_change", ("mom %", "monthly growth", "month-on-month growth rate")),
             Field("aum_12m_avg", ("12-month trailing average", "ttm average", "rolling aum")),
-        ],
-        grain=("company", "fund_sk", "year_month")),
+        ]),
     LogicalTable(
         "policy_inforce", ("policy book", "risk book", "in-force policies", "book of business"),
         dimensions=[
@@ -108,8 +105,7 @@ MODEL = [
             Field("annualised_premium", ("annual premium", "ape", "annualised income", "yearly premium"), "sum"),
             Field("avg_age_next", ("average age", "mean age"), "avg"),
             Field("total_life_sum_assured", ("sum assured", "life cover in force", "coverage amount"), "sum"),
-        ],
-        grain=("company", "policy_status", "smoker_status", "income_bracket")),
+        ]),
 ]
 
 AGGREGATIONS = {

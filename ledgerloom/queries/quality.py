@@ -16,7 +16,7 @@ from ..sources import fixtures
 from ..sources.tables import TableSource
 from .core import wh
 
-# --------------------------------------------------------------- X1-X6 suite
+# --------------------------------------------------------------- X1-X6 suite (fixed values: tables, columns, accepted values)
 CORE_SUITE = [
     DataTest("not_null", "fct_commissions", ("commission_sk",)),
     DataTest("unique", "fct_commissions", ("commission_sk",)),

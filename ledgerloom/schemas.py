@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
 
 # --- fixed values: tenant codes, in registry order (index = key % 3) -------
 TENANTS = ["MAIN_BOOK", "INDIGO_INSURANCE", "HORIZON_ASSURANCE"]
@@ -74,7 +73,7 @@ MONEY = "decimal(18,2)"
 QUANTITY = "decimal(18,4)"
 RATE = "decimal(8,4)"
 
-# Typed columns per shape (typed name -> Spark type); untagged = string.
+# --- fixed values: typed columns per shape (typed name -> Spark type); untagged = string
 COMMISSION_TYPES = {
     "transaction_date": "date", "gross_amount": MONEY, "vat_amount": MONEY,
     "net_amount": MONEY, "commission_rate": RATE, "payment_date": "date",
@@ -154,8 +153,3 @@ FEEDS = [Feed(t, d, s, _columns_for(t, s), rx) for t, d, s, rx in _FEED_TABLE]
 
 # Feed dataset -> commission category (the only thing the feed name adds).
 COMMISSION_CATEGORY = {"ins_commissions": "INSURANCE", "inv_commissions": "INVESTMENT"}
-
-
-def landing_schema(columns) -> T.StructType:
-    """All-string landing schema, in load order."""
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])

@@ -19,11 +19,7 @@ from ..plans.tables import stage
 from .tables import TableSource
 
 # --- fixed values: enumerations of the operational schema ------------------
-POLICY_STATUSES = ["ACTIVE", "LAPSED", "CANCELLED", "PAID_UP"]
-CLAIM_TYPES = ["DEATH", "DISABILITY", "CHRONIC", "ACCIDENT", "SURRENDER"]
-CLAIM_STATUSES = ["LODGED", "ASSESSING", "APPROVED", "REJECTED", "PAID"]
 PRODUCT_CODES = ["LIFE_001", "LIFE_002", "DIS_001", "CHR_001", "ACC_001", "INV_001"]
-STATUS_DRAW = ["ACTIVE", "ACTIVE", "ACTIVE", "ACTIVE", "LAPSED", "CANCELLED", "PAID_UP"]
 
 FULL_REFRESH_TS = "2024-01-01 00:00:00"
 
