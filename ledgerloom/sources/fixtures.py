@@ -9,7 +9,8 @@ deterministically from a TPC-H-style table (see FIXTURES.md).  Output is in
 
 ``variant=1`` is the second-run state used by incremental tests: risk
 transactions with ``event_id % 100 = 0`` change status and risk policies
-with ``c_custkey % 50 = 0`` change policy status.
+with ``c_custkey % 50 = 0`` change policy status, transactions and policies
+under new keys appear, and some old ones are gone.
 """
 
 from __future__ import annotations
