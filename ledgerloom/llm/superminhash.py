@@ -10,14 +10,22 @@ because every later rank is larger.
 1. Documents with equal sets form one class (a 64-bit digest of the set).
 2. Class signatures are cut into ``BANDS`` bands; equal bands make buckets.  At
    a similarity of 0.8 a pair misses all 32 bands of 4 with probability 5e-8.
-3. Every member of a bucket is verified against the bucket's smallest member
-   on the full sets, and the links are grouped by union-find.
-4. In buckets that still span several groups, pairs of members of different
-   groups are verified too, unless the triangle inequality of the Jaccard
-   distance to the bucket's smallest member already excludes a link.
-
-So no bucket is expanded into all pairs, and each link found is confirmed on
-full sets: 100 * |A & B| >= 80 * |A | B| by default.
+3. Every member of a bucket is verified on full sets against the bucket's
+   head, the set that meets most others (a text that the others are edits of
+   stands out so); union-find groups the links.
+4. Links between members that step 3 left in different groups are found by a
+   prefix-filter join over the members of buckets that span several groups.
+   Their shingles are ordered by rarity.  Sets of sizes m <= n with similarity
+   t or more share ceil(t / (1 + t) * (m + n)) shingles, so they share one among
+   the first n - that + 1 of each; the larger set looks them up per narrow
+   class of partner sizes, which keeps those prefixes short.  Pairs of one
+   group, of unfit sizes, or whose places leave too few shingles to share, are
+   dropped inside the join; what is left is verified on full sets.
+
+A large group of near copies is one group after step 3, and copies changed too
+much to be linked have their own rare changes in front, so no bucket is ever
+expanded into pairs; the join is exact, so no link between members of buckets
+is lost.  Each link is confirmed: 100 * |A & B| >= 80 * |A | B| by default.
 
 Defined results: null and empty texts and texts without words have an empty
 set, belong to no group and are kept; a null ``doc_id`` never names a group
@@ -130,34 +138,84 @@ def _check_class(words: int):
     return run
 
 
-def _verify(words: int):
+def _verify(words: int, percent: int):
+    """Whether the pairs (a, head) are linked, on their full sets."""
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, "text_a", 2 << 20):
                 fa, ia = shingle_sets(*utf8_buffer(part, "text_a"), words)
-                b = part.column("b").to_pylist()
+                heads = part.column("head").to_pylist()
                 first: dict[int, int] = {}
-                for i, key in enumerate(b):
+                for i, key in enumerate(heads):
                     first.setdefault(key, i)
                 places = {key: k for k, key in enumerate(first)}
                 unique = part.take(pa.array(list(first.values()), pa.int64()))
-                fb, ib = shingle_sets(*utf8_buffer(unique, "text_b"), words)
-                common, union = [], []
-                for i, key in enumerate(b):
+                fb, ib = shingle_sets(*utf8_buffer(unique, "text_head"), words)
+                linked = []
+                for i, key in enumerate(heads):
                     x = fa[ia[i]:ia[i + 1]]
                     k = places[key]
                     y = fb[ib[k]:ib[k + 1]]
                     where = np.searchsorted(y, x)
                     where[where == len(y)] = 0
-                    n = int((y[where] == x).sum()) if len(y) else 0
-                    common.append(n)
-                    union.append(len(x) + len(y) - n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), pa.array(common, pa.int64()), pa.array(union, pa.int64())],
-                    ["a", "b", "common", "total"])
+                    n = int((y[where] == x).sum())
+                    linked.append(100 * n >= percent * (len(x) + len(y) - n))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("head"), pa.array(linked, pa.bool_())],
+                                                 ["a", "head", "linked"])
+    return run
+
+
+def _shingles_of(words: int):
+    def run(batches):
+        for batch in batches:
+            for part in byte_slices(batch, "text", 2 << 20):
+                flat, at = shingle_sets(*utf8_buffer(part, "text"), words)
+                owner = np.repeat(np.asarray(part.column("cls")), np.diff(at))
+                for k in range(0, len(flat), 100_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(owner[k:k + 100_000]), pa.array(flat[k:k + 100_000].view(np.int64))], ["cls", "s"])
     return run
 
 
+#: Ratio of the size classes of the prefix join.
+SIZE_STEP = 1.02
+
+
+def _open_pairs(sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Candidate links (a, head) between the sets of different roots; ``sets``:
+    cls, size, root."""
+    share = percent / (100 + percent)          # of m + n that linked sets have in common
+    step = float(np.log(SIZE_STEP))
+    size_class = lambda n: F.floor(F.log(n) / step).cast("int")
+    needed = lambda m_plus_n: F.ceil(m_plus_n * share - 1e-6)
+    shingles = stage(texts.join(sets.select("cls"), "cls", "left_semi").mapInArrow(
+        _shingles_of(words), "cls long, s long"), "open-shingles")
+    common = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles of one set alone come first and meet nothing: only their number matters
+    ordered = shingles.join(common, "s").groupBy("cls").agg(
+        F.sort_array(F.collect_list(F.struct("df", "s"))).alias("order")).join(sets, "cls")
+    lone = F.col("size") - F.size("order")
+    first = F.col("size") - needed(F.col("size") * 2) + 1
+    last = F.col("size") - needed(F.col("size") + F.ceil(F.col("size") * (percent / 100))) + 1
+    # only the longest prefix is ever looked up
+    cut = F.slice("order", F.lit(1), F.greatest(last - lone, F.lit(0)).cast("int"))
+    placed = stage(ordered.select("cls", "size", "root", lone.alias("lone"), first.alias("first"),
+                                  F.posexplode(F.transform(cut, lambda x: x["s"])).alias("p", "s"))
+                   .withColumn("place", F.col("p") + F.col("lone") + 1), "open-prefixes")
+    index = placed.where("place <= first").withColumn("part", size_class(F.col("size")))
+    smallest = F.greatest(F.ceil(F.pow(F.lit(SIZE_STEP), F.col("part")) - 1e-6), F.ceil(F.col("size") * (percent / 100)))
+    probe = placed.withColumn("part", F.explode(F.sequence(
+        size_class(F.ceil(F.col("size") * (percent / 100))), size_class(F.col("size"))))) \
+        .where(F.col("place") <= F.col("size") - needed(F.col("size") + smallest) + 1)
+    f, v = index.alias("f"), probe.alias("v")
+    fits = (F.struct("f.size", "f.cls") < F.struct("v.size", "v.cls")) & (F.col("f.root") != F.col("v.root")) \
+        & (F.col("f.size") * 100 >= F.col("v.size") * percent) \
+        & (1 + F.least(F.col("f.size") - F.col("f.place"), F.col("v.size") - F.col("v.place"))
+           >= needed(F.col("f.size") + F.col("v.size")))
+    return f.join(v, (F.col("f.s") == F.col("v.s")) & (F.col("f.part") == F.col("v.part")) & fits).select(
+        F.col("v.cls").alias("a"), F.col("f.cls").alias("head")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row, and the group's
@@ -171,47 +229,37 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80,
         F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size")),
         "classes")
 
-    # buckets of two members or more, by their smallest member
-    entries = classes.select("cls", "size", F.explode("bands").alias("band"))
-    heads = entries.groupBy("band").agg(F.min("cls").alias("head"), F.max("cls").alias("top")) \
-        .where("head < top").select("band", "head")
-    members = stage(entries.join(heads, "band"), "buckets")
+    # buckets of two members or more; a set's degree says how many it meets
+    entries = classes.select(F.explode("bands").alias("bucket"), "cls", "size")
+    several = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stage(entries.join(several, "bucket"), "buckets")
+    degree = members.groupBy("cls").agg(F.sum("n").alias("degree"))
     texts = _texts(rows, classes, members, words)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """(a, b, common, total) of candidate pairs that sizes don't exclude."""
-        one = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
-        two = one.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-        return two.mapInArrow(_verify(words), "a long, b long, common long, total long")
-
-    linked = F.col("common") * 100 >= F.col("total") * percent
-    star = stage(verified(members.where("cls != head").select(
-        F.col("cls").alias("a"), F.col("head").alias("b")).distinct()), "star")
-    groups = stage(components(star.where(linked).select("a", "b")), "groups")
-
-    # what is left: buckets that span several groups
-    root = groups.select(F.col("vertex").alias("cls"), "root")
-    distance = star.select(F.col("a").alias("cls"), F.col("b").alias("head"),
-                           (1 - F.col("common") / F.col("total")).alias("far"))
-    seen = members.join(root, "cls", "left").join(distance, ["cls", "head"], "left").select(
-        "band", "cls", "size", "head", F.coalesce("root", "cls").alias("root"), F.coalesce("far", F.lit(0.0)).alias("far"))
-    spans = seen.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("band")
-    rest = stage(seen.join(spans, "band", "left_semi"), "open")
-    reach = 1 - percent / 100 + 1e-9
-    left, right = rest.alias("x"), rest.where("cls != head").alias("y")
-    pairs = left.join(right, (F.col("x.band") == F.col("y.band")) & (F.col("x.cls") < F.col("y.cls"))
-                      & (F.col("x.cls") != F.col("x.head")) & (F.col("x.root") != F.col("y.root"))
-                      & (F.abs(F.col("x.far") - F.col("y.far")) <= reach)
-                      & (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent)) \
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-    late = stage(verified(pairs).where(linked).select("a", "b"), "late")
-    if late.isEmpty():
-        final = groups
-    else:
-        final = components(late.unionByName(groups.select(F.col("vertex").alias("a"), F.col("root").alias("b"))))
+        return pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a") \
+            .join(texts.select(F.col("cls").alias("head"), F.col("text").alias("text_head")), "head") \
+            .mapInArrow(_verify(words, percent), "a long, head long, linked boolean") \
+            .where("linked").select("a", F.col("head").alias("b"))
+
+    heads = members.join(degree, "cls").groupBy("bucket").agg(F.max(F.struct("degree", "cls")).alias("h")) \
+        .select("bucket", F.col("h.cls").alias("head"))
+    links = stage(verified(members.join(heads, "bucket").where("cls != head").select(
+        F.col("cls").alias("a"), "head").distinct()), "star")
+    groups = stage(components(links), "groups")
+
+    # buckets that span several groups: their members' links to other groups
+    rooted = members.join(groups.select(F.col("vertex").alias("cls"), "root"), "cls", "left") \
+        .withColumn("root", F.coalesce("root", "cls"))
+    spans = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
+    sets = stage(rooted.join(spans.select("bucket"), "bucket", "left_semi").select("cls", "size", "root").distinct(), "open")
+    late = stage(verified(_open_pairs(sets, texts, words, percent)), "late")
+    if not late.isEmpty():
+        groups = stage(components(late.unionByName(groups.select(F.col("vertex").alias("a"), F.col("root").alias("b")))),
+                       "groups")
 
     named = classes.select("cls", "first_id").join(
-        final.select(F.col("vertex").alias("cls"), "root"), "cls", "left") \
+        groups.select(F.col("vertex").alias("cls"), "root"), "cls", "left") \
         .select("cls", "first_id", F.coalesce("root", "cls").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(smallest, "root").select("cls", "component_id", "root")
