@@ -44,11 +44,11 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
 def test_multi_index_finds_all_within_the_radius():
     rng = np.random.default_rng(8)
     words = rng.integers(0, 2 ** 63, 300, dtype=np.uint64)
-    index = ItemIndex([(k, words[i:i + 18].tobytes()) for k, i in enumerate(range(0, 280, 20))])
-    prints = index.sizes[18][0]
+    index = ItemIndex([(k, words[i:i + 19].tobytes()) for k, i in enumerate(range(0, 280, 20))])
+    prints = index.sizes[19][0]
     near = np.concatenate([prints ^ np.uint64(1 << a) ^ np.uint64(1 << b) for a, b in rng.integers(0, 64, (30, 2))]
                           + [rng.integers(0, 2 ** 63, 3000, dtype=np.uint64)])
-    got = {tuple(p) for p in index.candidates(18, near).tolist()}
+    got = {tuple(p) for p in index.candidates(19, near).tolist()}
     want = {(i, j) for i, x in enumerate(near) for j, y in enumerate(prints) if bin(int(x ^ y)).count("1") <= 3}
     assert got == want and want
 
