@@ -6,12 +6,15 @@ all spellings of one entity share one surrogate in the whole corpus.  The
 surrogate is drawn by a keyed hash of (kind, normal form, attempt): digits
 become digits, letters letters of the same case and script, separators,
 lengths, prefixes and check digits stay as the format wants, names keep gender
-and script, and every mention is written in its own format.
+and script, and every mention is written in its own format.  A secret without
+a letter or digit (also a mask such as ``********``) gets drawn punctuation.
 
 Collision check: over the distinct entities of the corpus, a surrogate must
 not be an entity found in the corpus, nor be drawn for two entities; the
 smallest keeps it and the others draw again with the next attempt, until none
-collides.  Only the entities on a later attempt have to be sent to their
+collides.  Attempts widen the space of every kind (longer secrets, mailboxes
+and names, all Han characters, at last more digits than the format has), so
+this ends however many distinct entities there are.  Only the entities on a later attempt have to be sent to their
 texts: they are joined by the text's digest, broadcast if their measured
 size is below ``BROADCAST_BYTES`` and by shuffle beyond it.
 
@@ -170,6 +173,9 @@ SOUNDS = {
                                          "n": ["ι", "ις", "ω", "ην"]}),
 }
 _HAN = {"m": "伟强军杰勇涛明超刚平", "f": "芳娜敏静丽艳娟霞秀燕", "n": "文华安宁云海山林月星"}
+#: First and one past the last of all Han characters drawn from (fixed values).
+_HAN_ALL = 0x4E00, 0x9FA6
+_MARKS = "!#$%&*+-=?@^_~"
 
 
 def _shape(draws: Draws, text: str) -> str:
@@ -182,11 +188,17 @@ def _shape(draws: Draws, text: str) -> str:
 def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
     """The surrogate's normal form."""
     draws = Draws(key, kind, normal, attempt)
+    # characters beyond the format's own: soon where the format is free, else
+    # only when its space counts as used up
+    free, more = "0" * (attempt // 2), "0" * (attempt // 8)
     if kind == "name":
         gender, word = normal.split(":", 1)
         script = script_of(word)
-        if script == "CJK":
-            return "".join(draws.of(_HAN[gender]) for _ in range(max(len(word), 2)))
+        if script == "CJK":            # later attempts: any characters, the last one by gender
+            length = max(len(word), 2) + attempt // 4
+            first, end = _HAN_ALL
+            return "".join(chr(first + draws.below(end - first)) if attempt else draws.of(_HAN[gender])
+                           for _ in range(length - 1)) + draws.of(_HAN[gender])
         consonants, vowels, ends = SOUNDS[script]
         syllables = 2 + attempt // 4 + draws.below(2)
         return "".join(draws.of(consonants) + draws.of(vowels) for _ in range(syllables)) + \
@@ -196,39 +208,43 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
         labels = domain.split(".")
         reserved = labels[-2:] if len(labels) > 1 and labels[-2] == "example" else ["example", "com"]
         inner = labels[:-2] or labels[:1]
-        return _shape(draws, local) + "@" + ".".join([*(_shape(draws, x) for x in inner), *reserved])
+        return _shape(draws, local + free) + "@" + ".".join([*(_shape(draws, x) for x in inner), *reserved])
     if kind == "phone":
         lead, rest = normal.split(":")
-        out = "".join(draws.of(_DIGITS) for _ in rest)
+        out = "".join(draws.of(_DIGITS) for _ in rest + more)
         if len(rest) == 10:            # area code and exchange never begin with 0 or 1
             fixed = rest[3:6] if rest[3:6] == "555" else draws.of("23456789") + out[4:6]
             out = draws.of("23456789") + out[1:3] + fixed + out[6:]
         return f"{lead}:{out}"
     if kind == "ip":
-        return ".".join(map(str, [240 + draws.below(15), draws.below(256), draws.below(256), 1 + draws.below(254)]))
+        first = 240 + draws.below(15) if attempt < 8 else 1 + draws.below(254)
+        return ".".join(map(str, [first, draws.below(256), draws.below(256), 1 + draws.below(254),
+                                  *(draws.below(256) for _ in range(attempt // 16))]))
     if kind == "card":
-        body = normal[0] + "".join(draws.of(_DIGITS) for _ in normal[2:])
+        body = normal[0] + "".join(draws.of(_DIGITS) for _ in normal[2:] + more)
         check = (10 - _luhn(body + "0")) % 10
         return body + str(check if _luhn(normal) == 0 else (check + 1 + draws.below(9)) % 10)
     if kind == "ssn":
-        return "9" + "".join(draws.of(_DIGITS) for _ in normal[1:])
+        return "9" + "".join(draws.of(_DIGITS) for _ in normal[1:] + more)
     if kind == "iban":
-        body = normal[:2] + "00" + _shape(draws, normal[4:])
+        body = normal[:2] + "00" + _shape(draws, normal[4:] + more)
         check = 98 - int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97
         return f"{body[:2]}{check:02d}{body[4:]}"
     if kind == "cloud":
-        return normal[:4] + "".join(draws.of(_UPPER + _DIGITS) for _ in normal[4:])
-    return _shape(draws, normal)
+        return normal[:4] + "".join(draws.of(_UPPER + _DIGITS) for _ in normal[4:] + more)
+    if not any(c.isdigit() or c.isalpha() for c in normal):
+        return "".join(draws.of(_MARKS) for _ in normal + free)
+    return _shape(draws, normal + free)
 
 
 def written(kind: str, mention: str, normal: str) -> str:
     """The surrogate's normal form in the mention's own format."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(normal.replace(":", ""))
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     if kind == "iban":
         chars = iter(normal)
-        return "".join(c if c == " " else next(chars) for c in mention)
+        return "".join([*(c if c == " " else next(chars) for c in mention), *chars])
     if kind == "email":
         return "".join(c.upper() if i < len(mention) and mention[i].isupper() else c for i, c in enumerate(normal))
     if kind == "name":
