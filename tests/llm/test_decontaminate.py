@@ -2,8 +2,8 @@ import random
 
 import numpy as np
 from corpus_helpers import empty, rows, table
-from ledgerloom.llm.decontaminate import (ItemIndex, _signs, contaminated, drop_contaminated, shingle_counts,
-                                          weighted_similarity, window_prints, words_of)
+from ledgerloom.llm.decontaminate import (LADDER, ItemIndex, _signs, common_words, contaminated, drop_contaminated,
+                                          find_items, shingle_counts, weighted_similarity, window_prints, words_of)
 
 
 def _words(text):
@@ -78,3 +78,69 @@ def test_awkward_rows(spark):
     assert kept.columns == table(spark).columns and kept.count() == len(rows()) - 3
     assert contaminated(empty(spark), bench).collect() == [] and contaminated(table(spark), bench.limit(0)).collect() == []
     assert drop_contaminated(table(spark), bench.limit(0)).count() == len(rows())
+
+
+def _brute_force(item, doc):
+    """Greatest similarity of any run of the document's words."""
+    counts, best = shingle_counts(item), 0.0
+    for begin in range(len(doc)):
+        for n in range(max(1, len(item) * 3 // 4 - 2), min(len(doc) - begin, len(item) * 5 // 4 + 2) + 1):
+            best = max(best, weighted_similarity(counts, shingle_counts(doc[begin:begin + n])))
+    return best
+
+
+def _edited(rng, item, word):
+    out, n = list(item), len(item)
+    for _ in range(rng.randint(1, 1 + n // 28)):
+        i, how = rng.choice([0, len(out) - 1, rng.randrange(len(out))]), rng.randrange(5)
+        if how == 0:
+            out[i] = word()
+        elif how == 1:
+            out.insert(i, word())
+        elif how == 2:
+            del out[i:i + rng.randint(1, 3)]
+        elif how == 3 and n > 36:                          # a block moves to the end
+            out = out[i:] + out[:i]
+        else:
+            out[i:i + 1] = []
+    return out
+
+
+def test_no_allowed_edit_hides_an_item():
+    rng = random.Random(11)
+    missed = many = 0
+    for length, rounds in ((19, 40), (28, 30), (42, 24), (63, 12), (94, 6), (7, 20)):
+        for words in (10_000, 40):                         # few different words: repeats inside an item
+            word = lambda: f"w{rng.randrange(words)}"  # noqa: E731, B023
+            for _ in range(rounds):
+                item = [word() for _ in range(length)]
+                doc = [word() for _ in range(9)] + _edited(rng, item, word) + [word() for _ in range(9)]
+                h, d = _words(" ".join(item)), _words(" ".join(doc))
+                raw = np.frombuffer(("zero " + " ".join(doc)).encode(), np.uint8)
+                index = ItemIndex([(5, h.tobytes())], similarity=0.8)
+                got = find_items(index, raw, np.array([0, 5, len(raw)]), 0.8)
+                want = _brute_force(h, d)
+                many += want >= 0.8
+                missed += (want >= 0.8) != (set(got) == {(1, 0)})
+                if got:
+                    like, first, n = got[(1, 0)]
+                    assert like == want == weighted_similarity(shingle_counts(h), shingle_counts(d[first:first + n]))
+    assert many > 60 and not missed
+
+
+def test_repetitive_items_are_found():
+    for item, doc in (("a b " * 20, "x " + "a b " * 17), ("a b c " * 9, "b c " + "a b c " * 8 + "y"), ("x " * 30, "x " * 27)):
+        h, raw = _words(item), np.frombuffer(doc.encode(), np.uint8)
+        got = find_items(ItemIndex([(1, h.tobytes())], similarity=0.8), raw, np.array([0, len(raw)]), 0.8)
+        assert got[(0, 0)][0] == _brute_force(h, _words(doc)) >= 0.8
+
+
+def test_windows_fit_what_must_be_in_common():
+    rng = np.random.default_rng(3)
+    for n in (1, 4, 5, 12, 19, 42, 94, 500):
+        h = rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+        common = common_words(h, 0.8)
+        assert common <= n and common_words(h, 1.0) == n
+        index = ItemIndex([(1, h.tobytes())], similarity=0.8)
+        (size, (_, _, offset, _)), = index.sizes.items()
+        assert size in LADDER and all(any(x <= o and o + size <= x + common for o in offset) for x in range(n - common + 1))
