@@ -43,7 +43,7 @@ figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main m
 section select summary table tbody td tfoot th thead tr ul""".split())
 VOID = {"hr", "br", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 #: Elements whose whole content is no text of the page.
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|math"
+RAW = "script|style|template|textarea|title"
 #: Open elements that a new element closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}

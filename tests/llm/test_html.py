@@ -32,6 +32,17 @@ def test_broken_markup_never_fails():
         assert "<" not in main_text(html, model) or html == "<"
 
 
+def test_only_scripts_and_the_like_are_raw():
+    para = "<p>Plain words of the article go on here, line {}.</p>"
+    for tag, text in (("math", "<mi>x</mi>=1"), ("object", "fallback words"), ("svg", "<text>drawn</text>"),
+                      ("noscript", "shown"), ("iframe", "framed")):
+        whole = "<article>" + "".join(map(para.format, range(4))) + f"<p>Inside <{tag}>{text}</{tag}> ends.</p></article>"
+        words = text.replace("<mi>", "").replace("</mi>", "").replace("<text>", "").replace("</text>", "")
+        assert f"Inside {words} ends." in main_text(whole, default_model()), tag
+        opened = f"<article><p>First words of the article.</p><{tag}>" + "".join(map(para.format, range(4))) + "</article>"
+        assert "line 3." in main_text(opened, default_model()), tag
+
+
 def test_cut_references_stay_as_they_are():
     assert main_text("<article><p>rock &amp roll &am", default_model()) == unescape("rock &amp roll &am")
 
