@@ -279,14 +279,19 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
     groups = stage(near_duplicates(docs, words, percent, doc_id, text), "near-groups")
     turn = F.row_number().over(Window.partitionBy("root").orderBy("text_key"))
     kept = groups.where("kept")
-    keep = kept.where("root is not null").withColumn("turn", turn).where("turn = 1").select("doc_id", "text_key") \
-        .unionByName(kept.where("root is null").select("doc_id", "text_key"))
-    keep = stage(keep.distinct().select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key")), "keep")
+    worded = F.col("root").isNotNull().alias("_keep_worded")
+    keep = kept.where("root is not null").withColumn("turn", turn).where("turn = 1").select("doc_id", "text_key", worded) \
+        .unionByName(kept.where("root is null").select("doc_id", "text_key", worded))
+    keep = stage(keep.distinct().select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"),
+                                        "_keep_worded"), "keep")
     same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_keep_id")) \
         & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("_keep_key"))
-    out = docs.join(keep, same, "left_semi")
     repeated = groups.where("root is not null").groupBy("doc_id", "text_key").count().where("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates([doc_id, text])
+    if repeated.isEmpty():
+        return docs.join(keep, same, "left_semi")
+    # only rows of a group are repeats of each other
+    return docs.join(keep.where("_keep_worded"), same, "left_semi").dropDuplicates([doc_id, text]).unionByName(
+        docs.join(keep.where("not _keep_worded"), same, "left_semi"))
 
 
 def _texts(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:

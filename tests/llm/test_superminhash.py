@@ -112,6 +112,14 @@ def test_repeated_ids_with_different_texts_stay_apart(spark):
     assert sorted(r.text for r in one_of_each(frame).collect()) == ["a b c d e f g h", "p q r s t u v w"]
 
 
+def test_rows_without_words_stay_whatever_else_is_repeated(spark):
+    bare = [(4, None), (4, None), (5, ""), (5, ""), (None, " "), (None, " ")]
+    for worded in ([(1, "a b c d e f g h")], [(1, "a b c d e f g h")] * 2):
+        frame = spark.createDataFrame(bare + worded, "doc_id long, text string")
+        got = sorted((str(r.doc_id), str(r.text)) for r in one_of_each(frame).collect())
+        assert got == sorted((str(i), str(t)) for i, t in bare + worded[:1])
+
+
 def test_components_of_long_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5000, 5001)]
     random.Random(1).shuffle(links)
