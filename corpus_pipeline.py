@@ -47,10 +47,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded texts."""
+    """Token counts and digests of the ids, the decoded texts and the byte spans."""
     prepare(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return encoding_digests(encode_documents(docs, model, spans=False))
+    return encoding_digests(encode_documents(docs, model))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate),

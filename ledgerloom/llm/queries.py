@@ -44,7 +44,7 @@ def op4(spark: SparkSession, table: TableSource) -> DataFrame:
     import public_tokenizers
     from .sentencepiece_codec import encode_documents, encoding_digests
     return encoding_digests(encode_documents(
-        table("documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=False))
+        table("documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
 @query("op6_one_permutation_fingerprints")

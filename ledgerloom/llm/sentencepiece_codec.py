@@ -394,8 +394,12 @@ def encode_documents(docs: DataFrame, model_file: str, spans: bool = True,
 
 def encoding_digests(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and
-    decoded_sha256 of an encoded table."""
+    decoded_sha256 of an encoded table; with spans also spans_sha256 (the
+    pieces' first bytes joined by commas, a semicolon, their end bytes)."""
+    listed = lambda c: F.concat_ws(",", F.col(c).cast("array<string>"))
+    spans = [F.sha2(F.concat_ws(";", listed("begins"), listed("ends")), 256).alias("spans_sha256")] \
+        if "begins" in encoded.columns else []
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+        F.sha2(listed("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), *spans)

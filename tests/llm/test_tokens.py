@@ -108,6 +108,16 @@ def test_tables(spark, library):
             len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)))
 
 
+def test_registered_query_digests_the_spans(spark):
+    from ledgerloom.llm.queries import QUERIES
+    codec, sf = load_codec(MODEL), "/root/testdata/sf0.001"
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in QUERIES["op4_sentencepiece_codec"](spark, sf).limit(20).collect():
+        spans = codec.spans(text[r.doc_id], codec.encode(text[r.doc_id])).T.tolist()
+        want = ";".join(",".join(map(str, side)) for side in spans)
+        assert r.spans_sha256 == hashlib.sha256(want.encode()).hexdigest()
+
+
 def test_many_documents_share_frequent_words(spark, library):
     docs = spark.createDataFrame([(i, f"the cat number {i} the end") for i in range(300)], "doc_id long, text string")
     got = {r.doc_id: r.n_tokens for r in count_tokens(docs, MODEL, cells=8).collect()}
