@@ -1,7 +1,7 @@
 """The whole-warehouse build writes the same tables the registered queries compute."""
 
 import pytest
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.catalog import load_all
 from ledgerloom.operators.quality import DataTest
 from ledgerloom.plans.build import BuildFailed, TableStore, build_warehouse, read_snapshot, run_id_of

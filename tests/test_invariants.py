@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.plans.warehouse import Warehouse
 
 

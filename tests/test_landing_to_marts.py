@@ -1,7 +1,7 @@
 """CSV drops -> batch ingest -> Warehouse.from_landing gives the same marts
 as the warehouse fed directly by the fixture rules."""
 
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.plans.warehouse import Warehouse
 from ledgerloom.sources import fixtures
 from ledgerloom.sources import landing as L

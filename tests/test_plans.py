@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.operators import vault as V
 from ledgerloom.plans.tables import stage
 from ledgerloom.plans.warehouse import Warehouse

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.operators import governance as G
 from ledgerloom.operators import serving as B
 from ledgerloom.operators.quality import DataTest, run_tests

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from warehouse_data import SF_SMALL
 from ledgerloom.operators import scd
 from ledgerloom.operators import vault as V
 from ledgerloom.plans.warehouse import Warehouse
