@@ -72,16 +72,17 @@ def valuations_keyed(stg: DataFrame) -> DataFrame:
     return stg.select(*_valuation_keys())
 
 
-def fct_valuations(stg: DataFrame, plain_numbering: bool = False) -> DataFrame:
+def fct_valuations(stg: DataFrame, plain_numbering: bool = False, draw=None) -> DataFrame:
     """K5 numbering inside (company, policy, fund, date), ordered by
     amount, units, load stamp (ASC, NULLs last) and then every remaining
-    column so the order is total and reruns give the same keys."""
+    column so the order is total and reruns give the same keys.
+    ``draw(fraction)`` may give a random part of ``stg`` (see K5)."""
     grain = [F.col("company"),
              F.coalesce(F.col("policy_number"), F.lit("_NULL_")),
              F.coalesce(F.col("fund_name"), F.lit("_NULL_")),
              F.coalesce(F.col("valuation_date"), F.lit("1900-01-01").cast("date"))]
     order = [Order(c) for c in ["market_value_amount", "units", "_loaded_at"] + VALUATION_ORDER_TAIL]
-    numbered = row_in_grain(stg, grain, order, plain=plain_numbering)
+    numbered = row_in_grain(stg, grain, order, plain=plain_numbering, draw=draw)
     return numbered.select(
         surrogate_key("company", "policy_number", "fund_name", "valuation_date", "_row_in_grain")
         .alias("valuation_sk"),
@@ -143,21 +144,24 @@ def transactions_keyed(risk_txns: DataFrame, investment_txns: DataFrame, dim_fun
 
 
 def fct_transactions(risk_txns: DataFrame, investment_txns: DataFrame, dim_fund: DataFrame,
-                     plain_numbering: bool = False) -> DataFrame:
+                     plain_numbering: bool = False, draw=None) -> DataFrame:
     """both universes, K5 numbering over (company, transaction_id) (all
     NULL ids of a tenant form one grain), fund name resolved through the (company, fund_code) lookup
     (one row per code, so the join never multiplies rows)."""
-    numbered = transactions_numbered(risk_txns, investment_txns, plain_numbering)
+    numbered = transactions_numbered(risk_txns, investment_txns, plain_numbering, draw)
     keyed = _transaction_columns(fund_lookup(dim_fund), numbered)
     return keyed.select(surrogate_key("company", "transaction_id", "_row_in_grain").alias("transaction_sk"),
                         *[c for c in keyed.columns if c != "_row_in_grain"])
 
 
 def transactions_numbered(risk_txns: DataFrame, investment_txns: DataFrame,
-                          plain_numbering: bool = False) -> DataFrame:
-    """Both universes with K5's row number inside (company, transaction_id)."""
+                          plain_numbering: bool = False, draw=None) -> DataFrame:
+    """Both universes with K5's row number inside (company, transaction_id).
+    ``draw(fraction)`` may give a random part of (risk, investment) rows."""
     grain = [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))]
-    return row_in_grain(transactions_union(risk_txns, investment_txns), grain, TXN_ORDER, plain=plain_numbering)
+    some = (lambda part: transactions_union(*draw(part))) if draw else None
+    return row_in_grain(transactions_union(risk_txns, investment_txns), grain, TXN_ORDER,
+                        plain=plain_numbering, draw=some)
 
 
 def fct_policies(dim_policy: DataFrame, commissions: DataFrame, valuations: DataFrame,

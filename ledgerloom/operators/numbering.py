@@ -3,28 +3,30 @@
 ``row_number() over (partition by g order by o1, o2, ...)`` puts every row of
 a group into one task.  When the grain has a hot value (e.g. all NULL ids of
 a tenant coalesced into one key, a third of the data) that task holds a
-third of the table.  The exact distributed form used here, for every grain:
-
-    rn(row) = rows of g in earlier buckets
-              + row_number() over (partition by g, bucket order by o1, o2, ...)
-
-A bucket is a range of the order: the table's ``SPLITS`` quantiles of o1 cut
-it, a value of o1 that fills a whole quantile step (NULL too) is a bucket of
-its own and is cut again by the quantiles of o2 among its rows.  Buckets
-follow the order, so the numbers equal the plain window's; a grain has at
-most ``SPLITS`` x ``SPLITS`` buckets, so the sum over earlier buckets is small
-for any grain; the quantiles are scalar subqueries of a few hundred numbers.
-Only exact quantiles are unneeded: any cut points give the same result.
+third of the table.  The exact distributed form used here, for every table:
+
+    rn(row) = rows of g in earlier ranges
+              + row_number() over (partition by g, range order by o1, o2, ...)
+
+The ranges come from a sample of whole positions (g, o1, o2, ...): a grain
+that is met more than once is cut at its sampled positions, so the pieces of
+a grain follow its share of the rows, whatever columns tell its rows apart.
+The cuts are written once, so the rows and the counts read the same ones; any
+cuts give the same numbers.  The rows are exchanged once, on (g, range), and
+the rows of earlier ranges are a small sum over the cut grains only.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.tables import stage
+
 
 @dataclass(frozen=True)
 class Order:
@@ -45,77 +47,114 @@ def _expr(e) -> Column:
     return F.col(e) if isinstance(e, str) else e
 
 
-#: Cut points per order column.
-SPLITS = 128
+#: Sampled positions: this many, or so many for each shuffle partition.
+MARKS, MARKS_A_PARTITION = 128, 8
+#: Children of a node in the tree of a grain's ranges.
+FAN = 12
 
 
-def _number(e: Column, dtype: T.DataType) -> Column:
-    """A double that rises with the value."""
+def _rising(e: Column, dtype: T.DataType, ascending: bool) -> Column | None:
+    """A value that rises along the order; None if there is none."""
+    if ascending:
+        return e
     if isinstance(dtype, T.DateType):
-        return F.unix_date(e).cast("double")
+        return -F.unix_date(e)
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(e).cast("double")
+        return -F.unix_micros(e)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(e.cast("timestamp")).cast("double")
+        return -F.unix_micros(e.cast("timestamp"))
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return -e.cast("decimal(20,0)")
     if isinstance(dtype, T.NumericType):
-        return e.cast("double")
-    if isinstance(dtype, T.StringType):       # the first three characters
-        return F.aggregate(F.sequence(F.lit(1), F.lit(3)), F.lit(0.0), lambda acc, i: acc * 1114112.0 + F.coalesce(
-            F.ascii(F.substring(e, i, F.lit(1))).cast("double"), F.lit(0.0)))
-    raise TypeError(f"cannot cut {dtype.simpleString()} into ranges")
-
-
-def _bucketed(base: DataFrame, order: list[Order]) -> DataFrame:
-    """``base`` with ``_b1`` and ``_b2``: ranges of the first two order items."""
-    types = [base.select(_expr(o.expr)).schema[0].dataType for o in order[:2]]
-    rows = base.withColumns({f"_o{i}": _number(_expr(o.expr), t) for i, (o, t) in enumerate(zip(order[:2], types))})
-    if len(order) < 2:
-        rows = rows.withColumn("_o1", F.lit(None).cast("double"))
-    steps = [F.lit(k / SPLITS) for k in range(1, SPLITS)]
-    marks = rows.agg(F.coalesce(F.percentile_approx("_o0", F.array(*steps), F.lit(1000)),
-                                F.array().cast("array<double>")).alias("m"))
-    # a value that is two cut points or more fills a whole step
-    full = marks.select(F.explode("m").alias("v")).groupBy("v").count().where("count > 1")
-    full = full.agg(F.collect_list("v").alias("f"))
-    points, heavy = marks.select(F.array_distinct("m")).scalar(), full.scalar()
-    rows = rows.withColumn("_points", points).withColumn("_heavy", heavy)
-    is_heavy = F.coalesce(F.array_contains("_heavy", F.col("_o0")), F.lit(False))
-    below = F.size(F.filter("_points", lambda x: x < F.col("_o0")))
-    b1 = below * 2 + is_heavy.cast("int")
-    edge = order[0].nulls_last == order[0].ascending
-    b1 = F.when(F.col("_o0").isNull(), F.lit(4 * SPLITS if edge else -1)).otherwise(b1)
-    rows = rows.withColumn("_b1", b1).withColumn("_cut", is_heavy | F.col("_o0").isNull())
-    inner = rows.where("_cut").groupBy("_b1").agg(F.percentile_approx("_o1", F.array(*steps), F.lit(1000)).alias("m"))
-    inner = inner.agg(F.map_from_entries(F.collect_list(F.struct("_b1", F.coalesce(
-        "m", F.array().cast("array<double>")))))).scalar()
-    rows = rows.withColumn("_inner", F.when(F.col("_cut"), F.try_element_at(inner, F.col("_b1"))))
-    second = F.size(F.filter(F.array_distinct("_inner"), lambda x: x < F.col("_o1")))
-    if len(order) > 1:
-        edge = order[1].nulls_last == order[1].ascending
-        second = F.when(F.col("_o1").isNull(), F.lit(2 * SPLITS if edge else -1)).otherwise(second)
-    b2 = F.when(F.col("_cut"), F.coalesce(second, F.lit(0))).otherwise(F.lit(0))
-    return rows.withColumn("_b2", b2).drop("_o0", "_o1", "_points", "_heavy", "_inner", "_cut")
+        return -e
+    return None
+
+
+def _position(base: DataFrame, order: list[Order], depth: int | None = None) -> Column:
+    """A struct that compares as the first ``depth`` order items do: for each
+    whether it is NULL (placed first or last) and its value.  It ends before a
+    descending item of a type that has no opposite (a string); rows that are
+    equal up to there stay in one range."""
+    parts = []
+    for i, o in enumerate(order[:depth]):
+        e = _expr(o.expr)
+        value = _rising(e, base.select(e).schema[0].dataType, o.ascending)
+        if value is None:
+            break
+        parts += [(e.isNull() if o.nulls_last else e.isNotNull()).alias(f"n{i}"), value.alias(f"v{i}")]
+    return F.struct(*parts) if parts else F.struct(F.lit(0).alias("n0"), F.lit(0).alias("v0"))
+
+
+def _cuts(rows: DataFrame, order: list[Order], draw) -> tuple[DataFrame, int, int]:
+    """The ranges of every grain whose rows were drawn more than once: (_h,
+    fine, lo, hi), numbered from 0 and cut at the sampled positions, ``lo``
+    inclusive, ``hi`` exclusive, NULL for open ends; how many order items the
+    positions hold (the fewest that tell the sampled ones apart, so the other
+    columns are not read again); the most ranges of a grain (0: nothing to
+    cut).  The sample has about ``MARKS`` rows whatever the table's size."""
+    spark = rows.sparkSession
+    size = max(MARKS, MARKS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sample = draw(min(1.0, size / max(rows.count(), 1))).select("_h", _position(rows, order).alias("at"))
+    sample = stage(sample.coalesce(1), "numbering-sample")
+    met = sample.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("_h"))).where("n > 1").select("_h", "at")
+    found = [(r["_h"], *r["at"]) for r in met.collect()]
+    if not found:
+        return sample, 0, 0
+    names = sample.schema["at"].dataType.names
+    told = [len({at[:1 + 2 * k] for at in found}) for k in range(len(names) // 2 + 1)]
+    depth = max(1, told.index(told[-1]))
+    grain = Window.partitionBy("_h").orderBy("lo")
+    marks = met.select("_h", F.struct(*[F.col(f"at.{n}").alias(n) for n in names[:2 * depth]]).alias("lo")).distinct()
+    ranges = marks.withColumns({"fine": F.row_number().over(grain), "hi": F.lead("lo").over(grain)})
+    first = ranges.where("fine = 1").select("_h", F.lit(0).alias("fine"), F.lit(None).cast(
+        marks.schema["lo"].dataType).alias("lo"), F.col("lo").alias("hi"))
+    most = max(Counter(at[0] for at in found).values()) + 1
+    return stage(first.unionByName(ranges).coalesce(1), "numbering-cuts"), depth, most
+
+
+def _ranged(rows: DataFrame, cuts: DataFrame, most: int, at: Column) -> DataFrame:
+    """``rows`` with ``_b``, the range of its grain that holds ``at`` (-1 in a
+    grain without cuts).  The ranges form a tree of ``FAN`` children a node;
+    a row goes down by one join a level and meets ``FAN`` nodes in each.  No
+    table has more rows than the sample, hence the broadcasts."""
+    out, levels = rows.withColumns({"_at": at, "_b": F.lit(0)}), 1
+    while FAN ** levels < most:
+        levels += 1
+    for level in reversed(range(levels)):
+        nodes = cuts.groupBy(F.col("_h").alias("_nh"), F.floor(F.col("fine") / FAN ** level).cast("int").alias("_node")) \
+            .agg(F.min_by("lo", "fine").alias("_lo"), F.max_by("hi", "fine").alias("_hi")) \
+            .withColumn("_up", F.floor(F.col("_node") / FAN).cast("int"))
+        inside = (F.col("_lo").isNull() | (F.col("_lo") <= F.col("_at"))) & (F.col("_hi").isNull() | (F.col("_at") < F.col("_hi")))
+        out = out.join(F.broadcast(nodes), (F.col("_h") == F.col("_nh")) & (F.col("_b") == F.col("_up")) & inside, "left") \
+            .withColumn("_b", F.col("_node")).drop("_nh", "_node", "_up", "_lo", "_hi")
+    return out.withColumn("_b", F.coalesce("_b", F.lit(-1))).drop("_at")
 
 
 def row_in_grain(df: DataFrame, partition: list, order: list[Order], out: str = "_row_in_grain",
-                 plain: bool = False) -> DataFrame:
+                 plain: bool = False, draw=None) -> DataFrame:
     """Append ``out`` = row number (bigint) of each row inside its grain
     ``partition`` under ``order``; ``plain=True`` gives the single-window form
     (for comparison).  Window specs start with a 64-bit hash of their keys,
-    so Spark's prefix sort resolves comparisons on one long."""
+    so Spark's prefix sort resolves comparisons on one long.  The sample is
+    drawn when this function is called; ``draw(fraction)`` may give a random
+    part of the rows of ``df`` where that is cheaper than ``df.sample``."""
     gcols = [f"_g{i}" for i in range(len(partition))]
-    base = df.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
+    grained = lambda d: d.select("*", *[_expr(p).alias(g) for p, g in zip(partition, gcols)])
+    keyed = lambda d: grained(d).withColumn("_h", F.xxhash64(*gcols))
     by = [o.column() for o in order]
     if plain:
         w = Window.partitionBy(*gcols).orderBy(*by)
-        return base.withColumn(out, F.row_number().over(w).cast("bigint")).drop(*gcols)
-    rows = _bucketed(base, order).withColumn("_h", F.xxhash64(*gcols, "_b1", "_b2"))
-    keys = ["_h", *gcols, "_b1", "_b2"]
-    numbered = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
-    turn = [F.col("_b1").asc() if order[0].ascending else F.col("_b1").desc(),
-            F.col("_b2").asc() if len(order) < 2 or order[1].ascending else F.col("_b2").desc()]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*gcols).orderBy(*turn)) - F.col("_n")
+        return grained(df).withColumn(out, F.row_number().over(w).cast("bigint")).drop(*gcols)
+    rows = keyed(df)
+    cuts, depth, most = _cuts(rows, order, lambda part: keyed((draw or df.sample)(part)))
+    if not most:                       # no grain was met twice: none to cut
+        w = Window.partitionBy("_h", *gcols).orderBy(*by)
+        return rows.withColumn(out, F.row_number().over(w).cast("bigint")).drop("_h", *gcols)
+    keys, at = ["_h", *gcols, "_b"], _position(rows, order, depth)
+    numbered = _ranged(rows, cuts, most, at).withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    cut = rows.join(F.broadcast(cuts.select("_h").distinct()), "_h", "left_semi")
+    counts = _ranged(cut, cuts, most, at).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_h", *gcols).orderBy("_b")) - F.col("_n")
     offsets = counts.select(*keys, before.alias("_before"))
-    return numbered.join(offsets, keys).withColumn(out, F.col("_before") + F.col("_rn")) \
-        .drop(*keys, "_before", "_rn")
+    return numbered.join(offsets, keys, "left") \
+        .withColumn(out, F.coalesce("_before", F.lit(0)) + F.col("_rn")).drop(*keys, "_before", "_rn")

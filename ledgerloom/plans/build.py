@@ -141,9 +141,9 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
     # ---- wave 2: facts (from staging + stored dims)
     run_wave([
         write("fct_commissions", lambda: facts.fct_commissions(wh.stg_commissions)),
-        write("fct_valuations", lambda: facts.fct_valuations(wh.stg_valuations)),
+        write("fct_valuations", lambda: facts.fct_valuations(wh.stg_valuations, draw=wh.some_valuations)),
         write("fct_transactions", lambda: facts.fct_transactions(
-            wh.stg_risk_transactions, wh.stg_investment_transactions, t["dim_fund"])),
+            wh.stg_risk_transactions, wh.stg_investment_transactions, t["dim_fund"], draw=wh.some_transactions)),
     ], threads)
     for n in ("fct_commissions", "fct_valuations", "fct_transactions"):
         t[n] = store.current(n, rid)

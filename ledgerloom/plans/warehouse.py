@@ -123,7 +123,15 @@ class Warehouse:
 
     @cached_property
     def fct_valuations(self) -> DataFrame:
-        return facts.fct_valuations(self.stg_valuations, self.plain_numbering)
+        return facts.fct_valuations(self.stg_valuations, self.plain_numbering, self.some_valuations)
+
+    # Samples are drawn from the landing rows, before they are typed.
+    def some_valuations(self, part: float) -> DataFrame:
+        return staging.stage_valuations(self.landing["valuations"]().sample(part))
+
+    def some_transactions(self, part: float) -> tuple[DataFrame, DataFrame]:
+        return (staging.stage_risk_transactions(self.landing["risk_transactions"]().sample(part)),
+                staging.stage_investment_transactions(self.landing["investment_transactions"]().sample(part)))
 
     @cached_property
     def valuations_keyed(self) -> DataFrame:
@@ -133,7 +141,7 @@ class Warehouse:
     def transactions_numbered(self) -> DataFrame:
         """Both transaction universes with K5's row number in the grain."""
         return facts.transactions_numbered(self.stg_risk_transactions, self.stg_investment_transactions,
-                                           self.plain_numbering)
+                                           self.plain_numbering, self.some_transactions)
 
     @cached_property
     def transactions_keyed(self) -> DataFrame:
@@ -143,7 +151,7 @@ class Warehouse:
     @cached_property
     def fct_transactions(self) -> DataFrame:
         return facts.fct_transactions(self.stg_risk_transactions, self.stg_investment_transactions,
-                                      self.dim_fund, self.plain_numbering)
+                                      self.dim_fund, self.plain_numbering, self.some_transactions)
 
     @cached_property
     def fct_policies(self) -> DataFrame:

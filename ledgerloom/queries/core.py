@@ -59,10 +59,8 @@ _NUMBERED = "SELECT company, transaction_id, CAST(_row_in_grain AS BIGINT) AS _r
 
 
 def _numbered(spark, sf, plain):
-    w = wh(spark, sf)
-    rows = facts.transactions_numbered(w.stg_risk_transactions, w.stg_investment_transactions, plain)
-    return rows.select("company", "transaction_id", "_row_in_grain",
-                       F.col("transaction_id").isNotNull().alias("has_complete_grain"))
+    return wh(spark, sf, plain_numbering=plain).transactions_numbered.select(
+        "company", "transaction_id", "_row_in_grain", F.col("transaction_id").isNotNull().alias("has_complete_grain"))
 
 
 @register("k5_transaction_row_in_grain", _NUMBERED)

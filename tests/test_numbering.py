@@ -43,9 +43,33 @@ def test_one_grain_holds_nine_tenths_with_equal_leading_values(spark):
             assert _rows(got) == _rows(row_in_grain(df, ["k"], order, plain=True))
     assert dict(got.dtypes)["_row_in_grain"] == "bigint"
     # the hot grain is dealt over many window partitions
-    from ledgerloom.operators.numbering import _bucketed
-    largest = _bucketed(df.where("k = 'HOT'"), order).groupBy("_b1", "_b2").count().agg(F.max("count")).first()[0]
-    assert largest < 400          # rows with NULL in both columns stay together
+    from ledgerloom.operators import numbering
+    rows = df.where("k = 'HOT'").withColumn("_h", F.xxhash64("k"))
+    cuts, depth, most = numbering._cuts(rows, order, rows.sample)
+    ranged = numbering._ranged(rows, cuts, most, numbering._position(rows, order, depth))
+    largest = ranged.groupBy("_b").count().agg(F.max("count")).first()[0]
+    assert largest < 400                    # rows with NULL in both columns stay together
     words = [Order("id", True), Order("a")]
     assert _rows(row_in_grain(df, ["k"], words)) == _rows(row_in_grain(df, ["k"], words, plain=True))
     assert row_in_grain(df.limit(0), ["k"], order).collect() == []
+
+
+def test_keys_that_share_a_prefix_are_cut(spark):
+    """String keys that differ only behind a long common prefix."""
+    df = spark.range(6000).select(F.lit(1).alias("k"), F.format_string("POLICY-2020-%06d", F.col("id") * 7919 % 6000).alias("id"))
+    order = [Order("id")]
+    assert _rows(row_in_grain(df, ["k"], order)) == _rows(row_in_grain(df, ["k"], order, plain=True))
+    from ledgerloom.operators import numbering
+    rows = df.withColumn("_h", F.xxhash64("k"))
+    cuts, depth, most = numbering._cuts(rows, order, rows.sample)
+    ranged = numbering._ranged(rows, cuts, most, numbering._position(rows, order, depth))
+    assert ranged.groupBy("_b").count().agg(F.max("count")).first()[0] < 600
+
+
+def test_an_order_that_descends_on_a_string_is_not_cut_there(spark):
+    df = spark.range(900).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("a"), F.col("id").cast("string").alias("s"))
+    order = [Order("a", False), Order("s", False)]
+    assert _rows(row_in_grain(df, ["k"], order)) == _rows(row_in_grain(df, ["k"], order, plain=True))
+    # and a grain of which every row is met at most once is numbered without cuts
+    one = spark.range(50).select(F.col("id").alias("k"), F.col("id"))
+    assert {r["_row_in_grain"] for r in row_in_grain(one, ["k"], [Order("id")]).collect()} == {1}

@@ -1,4 +1,3 @@
 """Where the given tables lie."""
 
 SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
