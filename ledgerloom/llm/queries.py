@@ -121,3 +121,10 @@ def op3(spark: SparkSession, table: TableSource) -> DataFrame:
 def op5(spark: SparkSession, table: TableSource) -> DataFrame:
     from .html_crf import extract_pages
     return extract_pages(table("pages"))
+
+
+@query("op12_prefix_dp_bpe")
+def op12(spark: SparkSession, table: TableSource) -> DataFrame:
+    import public_tokenizers
+    from .word_bpe import encode_documents, encoding_digests
+    return encoding_digests(encode_documents(table("documents"), public_tokenizers.path("word_bpe_49k.json")))
