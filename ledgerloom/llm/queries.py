@@ -128,3 +128,9 @@ def op12(spark: SparkSession, table: TableSource) -> DataFrame:
     import public_tokenizers
     from .word_bpe import encode_documents, encoding_digests
     return encoding_digests(encode_documents(table("documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op13_conversation_prefix_trie")
+def op13(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .prefix_trie import prefix_trie, rebuild
+    return prefix_trie(*rebuild(table("conversations"))).drop("id", "parent")

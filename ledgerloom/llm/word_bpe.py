@@ -42,7 +42,7 @@ from .common import byte_slices, pick, prepare, texts_of
 #: Words remembered by a worker; beyond it the memory starts anew.
 MEMO = 400_000
 #: Stands for the end of a word inside the automaton (no symbol of the model).
-END = ""
+END = chr(0xE000)
 NEVER = 1 << 40
 # --- fixed values: the model's white space and its byte alphabet ------------
 SPACES = r"\t\n\x0b\x0c\r\x20\x85\xa0  -     　"
