@@ -134,3 +134,9 @@ def op12(spark: SparkSession, table: TableSource) -> DataFrame:
 def op13(spark: SparkSession, table: TableSource) -> DataFrame:
     from .prefix_trie import prefix_trie, rebuild
     return prefix_trie(*rebuild(table("conversations"))).drop("id", "parent")
+
+
+@query("op11_streamed_turn_repair")
+def op11(spark: SparkSession, table: TableSource) -> DataFrame:
+    from .turn_repair import damage, repair
+    return repair(damage(table("conversations")))
