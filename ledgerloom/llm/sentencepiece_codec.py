@@ -153,7 +153,11 @@ class Codec:
         for piece in self.ids:
             for c in piece:
                 number.setdefault(c, len(self.pieces) + len(number))
-        self.number, self.span = number, max(number.values(), default=0) + 2
+        self.span = max(number.values(), default=0) + 2
+        self.symbol_of = np.full(0x110000, UNSEEN, np.int32)
+        for c, i in number.items():
+            if len(c) == 1:
+                self.symbol_of[ord(c)] = i
         left, right, into = [], [], []
         for piece, i in self.ids.items():
             for cut in range(1, len(piece)):
@@ -185,21 +189,22 @@ class Codec:
             by_width.setdefault(8 if n <= 8 else 16 if n <= 16 else 32 if n <= 32 else 0, []).append(i)
         for i in by_width.pop(0, []):
             out[i] = np.array(self.merge_long(runs[i]), np.int32).tobytes()
-        number = self.number
         for width, rows in by_width.items():
             for start in range(0, len(rows), 20_000):
                 some = rows[start:start + 20_000]
+                codes = np.frombuffer("".join([runs[i] for i in some]).encode("utf-32-le"), np.uint32)
+                sizes = np.array([len(runs[i]) for i in some])
                 symbols = np.full((len(some), width + 1), END, np.int32)
-                for k, i in enumerate(some):
-                    symbols[k, :len(runs[i])] = [number.get(c, UNSEEN) for c in runs[i]]
+                symbols[np.arange(width + 1) < sizes[:, None]] = self.symbol_of[codes]
                 self._merge_rows(symbols)
-                flat, last = symbols.tolist(), len(self.pieces)
+                live = symbols != END
+                packed, offsets = symbols[live].tobytes(), [0, *np.cumsum(4 * live.sum(axis=1)).tolist()]
                 for k, i in enumerate(some):
-                    ids = flat[k]
-                    ids = ids[:ids.index(END)]
-                    if min(ids) < 0 or max(ids) >= last:      # characters that are no piece
-                        ids = self._with_bytes(runs[i], ids)
-                    out[i] = np.array(ids, np.int32).tobytes()
+                    out[i] = packed[offsets[k]:offsets[k + 1]]
+                # characters that are no piece
+                for k in np.flatnonzero(((symbols == UNSEEN) | (symbols >= len(self.pieces))).any(axis=1)).tolist():
+                    i = some[k]
+                    out[i] = np.array(self._with_bytes(runs[i], symbols[k][live[k]].tolist()), np.int32).tobytes()
         return out
 
     def _merge_rows(self, symbols: np.ndarray) -> None:
@@ -305,7 +310,7 @@ class Codec:
         A piece with the dummy leading space begins where the text begins."""
         ends = np.cumsum(self.lengths[ids])
         begins = ends - self.lengths[ids]
-        source = self.normalise(text)[1]
+        source = self.normalise(text)[1] if self.map.units else None
         if source is None:
             data = np.frombuffer(text.encode(), np.uint8)
             wide = np.where(data == 32, len(SPACE.encode()), 1)
@@ -363,7 +368,7 @@ def _encode_batches(model_file: str, with_spans: bool):
     def run(batches):
         codec = load_codec(model_file)
         for batch in batches:
-            for part in byte_slices(batch, "text", 1 << 20):
+            for part in byte_slices(batch, "text", 8 << 20):
                 texts = texts_of(part, "text")
                 ids = codec.encode_many(texts)
                 offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
