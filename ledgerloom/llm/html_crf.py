@@ -27,6 +27,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -45,6 +47,7 @@ VOID = {"hr", "br", "img", "input", "meta", "link", "area", "base", "col", "embe
 #: Elements whose whole content is no text of the page.
 RAW = "script|style|template|textarea|title"
 #: Open elements that a new element closes.
+SCOPES = ("ul", "ol", "dl", "table", "select", "div", "section", "article")
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 #: What container tags, roles, class and id words speak of (fixed lists).
@@ -61,9 +64,12 @@ SPEAKS = {
     "main": "article main content post entry story",
 }
 _GROUP = {w: g for g, words in SPEAKS.items() for w in words.split()}
+#: What stands behind a tag's name: a quote opens a value behind ``=`` only, so
+#: an apostrophe in an unquoted value ends nothing.  Nothing is tried twice.
+_INSIDE = r"(?>[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+"
 _TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*(?<!/)>(?:.*?</(?P=raw)\s*>|.*\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</[^>]*>"
+    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<raw>" + RAW + r")\b" + _INSIDE + r"(?<!/)>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>" + _INSIDE + r")>|<[!?][^>]*>|</[^>]*>"
     r"|<(?:/?[a-zA-Z]|!|\?)[^>]*\Z", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -81,10 +87,60 @@ def _speaks(tag: str, attrs: str) -> list[str]:
     return groups
 
 
-def blocks(html: str) -> list[tuple[str, list, float, bool]]:
-    """(text, open ancestors, share of linked characters, marked) of the leaf
-    blocks in page order; an ancestor is (tag, what it speaks of)."""
-    out, stack, parts = [], [], []
+class _Open:
+    """The open elements, with what a block is told about them: kept up to
+    date at every start and end, so a block costs the same at any depth."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, list[str]]] = []
+        self.places: dict[str, list[int]] = {}          # tag -> where it is open
+        self.about: Counter = Counter()                 # what is spoken of -> how often
+        self.speaking: list[list[str]] = []             # of the elements that speak of something
+        self.seen = None
+
+    def start(self, tag: str, attrs: str) -> None:
+        while self.stack and self.stack[-1][0] == "p":
+            self.cut(len(self.stack) - 1)
+        if tag in CLOSES:
+            scope = max((self.places[t][-1] for t in SCOPES if self.places.get(t)), default=-1)
+            inside = [p[i] for t in CLOSES[tag] if (p := self.places.get(t)) and (i := bisect_right(p, scope)) < len(p)]
+            if inside:
+                self.cut(min(inside))
+        groups = _speaks(tag, attrs)
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, groups))
+        self.about.update(groups)
+        if groups:
+            self.speaking.append(groups)
+        self.seen = None
+
+    def end(self, tag: str) -> None:
+        if self.places.get(tag):
+            self.cut(self.places[tag][-1])
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.stack) > place:
+            tag, groups = self.stack.pop()
+            self.places[tag].pop()
+            if groups:
+                self.about.subtract(groups)
+                self.speaking.pop()
+        self.seen = None
+
+    def context(self) -> tuple:
+        """(tags, what they speak of, that of the innermost, innermost tag)."""
+        if self.seen is None:
+            self.seen = (frozenset(t for t, p in self.places.items() if p), frozenset(g for g, n in self.about.items() if n > 0),
+                         self.speaking[-1] if self.speaking else (), self.stack[-1][0] if self.stack else "none")
+        return self.seen
+
+
+def blocks(html: str, marks: bool = True) -> list[tuple[str, tuple, float, bool]]:
+    """(text, context of the open elements, share of linked characters,
+    marked) of the leaf blocks in page order.  ``marks``: comments that
+    enclose main text are read (of labelled pages only)."""
+    out, tree, parts = [], _Open(), []
     linked = total = 0
     in_link = marked = False
     at = 0
@@ -94,7 +150,7 @@ def blocks(html: str) -> list[tuple[str, list, float, bool]]:
         if parts:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                out.append((text, list(stack), linked / max(total, 1), marked))
+                out.append((text, tree.context(), linked / max(total, 1), marked))
             parts.clear()
         linked = total = 0
         in_link = False
@@ -113,7 +169,7 @@ def blocks(html: str) -> list[tuple[str, list, float, bool]]:
         at = m.end()
         tag = m["tag"]
         if tag is None:
-            if m["comment"] in ("main", "/main"):
+            if marks and m["comment"] in ("main", "/main"):
                 close()
                 marked = m["comment"] == "main"
             continue
@@ -122,23 +178,12 @@ def blocks(html: str) -> list[tuple[str, list, float, bool]]:
             parts.append(" ")
         elif tag == "a":
             in_link = not m["end"]
-        elif tag in BLOCK or (tag in _GROUP and tag not in ("a",)):
+        elif tag in BLOCK or tag in _GROUP:
             close()
             if m["end"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                tree.end(tag)
             elif tag not in VOID and not m["attrs"].endswith("/"):
-                while stack and stack[-1][0] == "p":
-                    stack.pop()
-                shut = CLOSES.get(tag, ())
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in shut:
-                        del stack[k:]
-                    elif stack[k][0] in ("ul", "ol", "dl", "table", "select", "div", "section", "article"):
-                        break
-                stack.append((tag, _speaks(tag, m["attrs"])))
+                tree.start(tag, m["attrs"])
     if at < len(html):
         add(html[at:])
     close()
@@ -148,22 +193,18 @@ def blocks(html: str) -> list[tuple[str, list, float, bool]]:
 def block_features(page: list) -> list[list[str]]:
     """Feature names of every block of a page."""
     out = []
-    for i, (text, stack, links, _) in enumerate(page):
-        tags = {t for t, _ in stack}
+    for i, (text, (tags, groups, inner, last), links, _) in enumerate(page):
         names = {f"in:{t}" for t in tags if t not in ("html", "body")}
-        groups = [g for _, gs in stack for g in gs]
         names |= {f"about:{g}" for g in groups}
-        inner = next((gs for _, gs in reversed(stack) if gs), ())
         names |= {f"inner:{g}" for g in inner} or {"inner:none"}
-        aside = [g for g in groups if g != "main"]
-        names.add("aside:yes" if aside else "aside:no")
+        names.add("aside:yes" if groups - {"main"} else "aside:no")
         if "main" in groups:
-            names.add("main:last" if inner and "main" in inner and len(inner) == 1 else "main:outer")
+            names.add("main:last" if "main" in inner and len(inner) == 1 else "main:outer")
         words = text.count(" ") + 1
         names.add(f"words:{'1' if words < 3 else '3' if words < 6 else '6' if words < 16 else '16'}")
         names.add(f"links:{'none' if links == 0 else 'some' if links < 0.5 else 'most'}")
         names.add("stop" if text[-1] in ".!?…\"'»”:" else "open")
-        names.add(f"tag:{stack[-1][0] if stack else 'none'}")
+        names.add(f"tag:{last}")
         if "©" in text:
             names.add("sign")
         if i == 0:
@@ -336,7 +377,7 @@ def default_model() -> ChainCRF:
 
 
 def main_text(html: str, model: ChainCRF) -> str:
-    page = blocks(html)
+    page = blocks(html, marks=False)
     if not page:
         return ""
     labels = model.viterbi(block_features(page))

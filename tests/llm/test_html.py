@@ -43,6 +43,49 @@ def test_only_scripts_and_the_like_are_raw():
         assert "line 3." in main_text(opened, default_model()), tag
 
 
+def test_training_comments_mean_nothing_on_a_page():
+    page = "<article><p>foo one<!--main-->bar and more words.</p><!--/main--><p>The second paragraph goes on.</p></article>"
+    assert main_text(page, default_model()) == "foo onebar and more words.\nThe second paragraph goes on."
+
+
+def test_quotes_count_only_behind_an_equals_sign():
+    paras = ["First words of this article go here.", "Middle words of it go here.", "Say it's the last of them."]
+    for tag in ("<p title=it's>", "<p data-x=a'b class=it\"s>", "<p '>", "<p title = 'a > b' x=\"y>z\">"):
+        page = f"<article><p>{paras[0]}</p>{tag}{paras[1]}</p><p>{paras[2]}</p></article>"
+        assert main_text(page, default_model()) == "\n".join(paras), tag
+    # a quote that is never closed ends with its tag
+    assert main_text(f"<article><p>{paras[0]}</p><p title='open>{paras[1]}</p></article>", default_model()) == "\n".join(paras[:2])
+    assert main_text("<article><p>Words before it." + "<p a=\"b\"" * 5000, default_model()) == "Words before it."
+
+
+def test_deep_pages_take_linear_time():
+    import time
+    model, took = default_model(), []
+    for depth in (5_000, 50_000):
+        page = "".join(f"<div><blockquote>line {i} of text.<li>x" for i in range(depth))
+        start = time.process_time()
+        assert main_text("<article>" + page, model).count("\n") >= depth
+        took.append(time.process_time() - start)
+    assert took[1] < 40 * took[0]
+    assert len(blocks("<article>" + "<div>" * 100_000 + "end")) == 1
+
+
+def test_pages_written_by_hand():
+    """Real-world shapes, none from ``labelled_pages``."""
+    body = ["The council met on Tuesday to discuss the new bridge.", "Two members voted against the plan, citing its cost.",
+            "Work is due to start in spring and to last eight months."]
+    pages = {
+        "news": f"""<body><header class="site-header"><a href="/">Daily</a></header><nav class="main-nav"><ul><li><a href="/w">World</a>
+<li><a href="/s">Sport</a></ul></nav><main id="content"><article><h1>Bridge approved</h1><p>{body[0]}</p><p>{body[1]}</p><p>{body[2]}</p>
+</article></main><aside class="related"><h3>Related</h3><ul><li><a href="/x">Older story</a></ul></aside><footer>© Daily</footer></body>""",
+        "blog": f"""<div id="navbar"><a href="/">Home</a> <a href="/about">About</a></div><div class="post"><h1>Bridge approved</h1>
+<p>{body[0]}</p><div class="ad">Buy one, get one free.</div><p>{body[1]}</p><p>{body[2]}</p></div>
+<div id="comments"><div class="comment"><p>Great news for us all.</p></div></div><div class="footer">© me</div>""",
+    }
+    for name, page in pages.items():
+        assert main_text(page, default_model()) == "\n".join(["Bridge approved", *body]), name
+
+
 def test_cut_references_stay_as_they_are():
     assert main_text("<article><p>rock &amp roll &am", default_model()) == unescape("rock &amp roll &am")
 
