@@ -6,8 +6,8 @@ Check strategy: a version is opened per key; when any check column changes
 a new one opened.  Unchanged keys are untouched; keys absent from the new
 state stay open (hard deletes are not invalidated).
 
-Physically only the *open* versions are ever rewritten; closed versions are
-append-only (see the store layout in ``plans.build``).
+Closed versions are append-only; open versions are rewritten by the bucket
+(see the store layout in ``plans.build``).
 """
 
 from __future__ import annotations
@@ -50,29 +50,11 @@ def changed(check_cols=CHECK_COLUMNS, left: str = "o", right: str = "n") -> F.Co
                   [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in check_cols])
 
 
-def snapshot_step(snapshot: DataFrame, state: DataFrame, run_ts,
-                  check_cols=CHECK_COLUMNS, materialise=None) -> tuple[DataFrame, DataFrame]:
-    """One snapshot run.  Returns (closed_now, open_after):
-
-    * ``closed_now``: open versions whose key changed, with ``dbt_valid_to``
-      set to ``run_ts`` (to append to the closed partition);
-    * ``open_after``: the complete new set of open versions (unchanged,
-      untouched-missing and newly inserted).
-
-    Only the open versions of ``snapshot`` are read; they are joined to the
-    new state on the unique key (one shuffle of each side on the key).
-    ``materialise`` (e.g. ``plans.tables.stage``) writes the outcome once
-    when the two outputs are written by separate jobs."""
-    rows = _after_run(snapshot, state, run_ts, check_cols)
-    if materialise is not None:
-        rows = materialise(rows)
-    return rows.where("_closed").drop("_closed"), rows.where("not _closed").drop("_closed")
-
-
-def _after_run(snapshot: DataFrame, state: DataFrame, run_ts, check_cols) -> DataFrame:
-    """The versions that a run leaves behind, from one join: a changed open
-    version gives its closed form and a new version, another open version
-    stays, a new key gives a new version."""
+def after_run(snapshot: DataFrame, state: DataFrame, run_ts, check_cols=CHECK_COLUMNS) -> DataFrame:
+    """The versions that a run leaves behind, from one join (one exchange of
+    each side on the key) with the open versions of ``snapshot``: a changed
+    open version gives its closed form (``_closed``) and a new version, another
+    open version stays, a new key gives a new version."""
     columns = snapshot.columns
     o = snapshot.where(F.col("dbt_valid_to").isNull()).alias("o")
     j = o.join(state.alias("n"), F.col(f"o.{UNIQUE_KEY}") == F.col(f"n.{UNIQUE_KEY}"), "full_outer")
@@ -93,7 +75,7 @@ def snapshot_run(snapshot: DataFrame | None, state: DataFrame, run_ts) -> DataFr
     if snapshot is None:
         return first_snapshot(state, run_ts)
     closed_before = snapshot.where(F.col("dbt_valid_to").isNotNull())
-    return closed_before.unionByName(_after_run(snapshot, state, run_ts, CHECK_COLUMNS).drop("_closed"))
+    return closed_before.unionByName(after_run(snapshot, state, run_ts).drop("_closed"))
 
 
 HISTORY_COLUMNS = [

@@ -8,11 +8,13 @@ Store layout (parquet under one root, which on a cluster is shared storage):
   reader may be scanning, and a retried run overwrites only its own folder.
 * insert-only / append tables (hubs, links, satellites, quarantine):
   ``<root>/<table>/run=<run_id>/`` holding that run's delta; a reader takes
-  every run.
+  every run.  Hubs and links lie in hash buckets with a sketch of their keys,
+  satellites have their latest versions in buckets beside them
+  (``plans.buckets``): a run reads only the buckets its keys fall into.
 * the SCD-2 snapshot: ``<root>/snp_dim_policy/closed/run=<id>/`` (append-only
-  closed versions) and ``<root>/snp_dim_policy/open/run=<id>/`` (the whole
-  open set, rewritten per run); a reader takes all closed runs plus the
-  latest open run.
+  closed versions) and the open versions in hash buckets, of which a run
+  rewrites those that changed; a reader takes all closed runs plus the live
+  buckets.
 
 Every layer is read back from the store by the next one, so lineage is cut
 at each layer and a lost executor re-reads files instead of recomputing the
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from ..operators import dims, facts, marts, scd
 from ..operators import vault as V
 from ..operators.quality import DataTest, run_tests
+from .buckets import BucketState, KeySet, append_versions, bucket_of
 from .declared_tests import CORE, MARTS, VAULT, declared
 from .tables import stage
 from .warehouse import Warehouse
@@ -45,6 +48,7 @@ def run_id_of(run_ts: str) -> str:
 class TableStore:
     spark: SparkSession
     root: str
+    buckets: int = 16              # hash buckets of keyed tables; fixed for the life of a store
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -71,24 +75,39 @@ class TableStore:
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
     def _folders(self, name: str, runs: list[str]) -> list[str]:
-        return [f for f in (f"{self.path(name)}/run={r}" for r in runs) if self._exists(f)]
+        return [f for f in (f"{self.path(name)}/run={r}" for r in runs) if self.has_files(f)]
 
-    def current(self, name: str, run_id: str) -> DataFrame:
+    def has_files(self, path: str) -> bool:
+        """Does a folder hold data?  (A partitioned write of no rows holds none.)"""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return files.exists(target) and any(
+            "=" in name or name[0] not in "_." for name in (f.getPath().getName() for f in files.listStatus(target)))
+
+    @staticmethod
+    def _plain(rows: DataFrame, keep_bucket: bool) -> DataFrame:
+        return rows if keep_bucket or "_bucket" not in rows.columns else rows.drop("_bucket")
+
+    def current(self, name: str, run_id: str, keep_bucket: bool = False) -> DataFrame:
         """A run's own rows, published or not."""
-        return self.spark.read.parquet(f"{self.path(name)}/run={run_id}")
+        return self._plain(self.spark.read.parquet(f"{self.path(name)}/run={run_id}"), keep_bucket)
 
     def latest(self, name: str, before: str | None = None) -> DataFrame | None:
         """The rows of the latest published run (of those before ``before``)."""
         folders = self._folders(name, self.published(before))
         return self.spark.read.parquet(folders[-1]) if folders else None
 
-    def every_run(self, name: str, before: str | None = None, own: str | None = None) -> DataFrame | None:
+    def every_run(self, name: str, before: str | None = None, own: str | None = None,
+                  keep_bucket: bool = False) -> DataFrame | None:
         """The rows of all published runs (of those before ``before``), with
         run ``own``: the state an incremental run compares against, so a
         retried run never sees its own partial output."""
         runs = [r for r in self.published(before) if r != own] + ([own] if own else [])
         folders = self._folders(name, runs)
-        return self.spark.read.parquet(*folders) if folders else None
+        if not folders:
+            return None
+        rows = self.spark.read.option("basePath", self.path(name)).parquet(*folders).drop("run")
+        return self._plain(rows, keep_bucket)
 
 
 class BuildFailed(Exception):
@@ -152,26 +171,13 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
     # ---- wave 3: vault (each delta against runs before this one), snapshot, policy fact, marts
     tasks = [write("fct_policies", lambda: facts.fct_policies(
         t["dim_policy"], t["fct_commissions"], t["fct_valuations"], txns, wh.as_of, ts))]
-    for hub in V.HUBS.values():
-        tasks.append(write(hub.name, lambda hub=hub: V.insert_only_delta(
-            V.hub_candidates(txns, hub, ts), store.every_run(hub.name, rid), hub.hk)))
-    for link in V.LINKS.values():
-        tasks.append(write(link.name, lambda link=link: V.insert_only_delta(
-            V.link_candidates(txns, link, ts), store.every_run(link.name, rid), link.hk)))
+    for x in [*V.HUBS.values(), *V.LINKS.values()]:
+        candidates = V.hub_candidates if isinstance(x, V.Hub) else V.link_candidates
+        tasks.append(lambda x=x, candidates=candidates: KeySet(store, x.name, x.hk).append(candidates(txns, x, ts), rid))
     for name, cols in V.SATELLITES.items():
-        tasks.append(write(name, lambda name=name, cols=cols: V.satellite_delta(
-            V.satellite_source(txns, cols, ts), store.every_run(name, rid))))
-
-    closed_before = store.every_run("snp_dim_policy/closed", rid)
-    open_before = store.latest("snp_dim_policy/open", rid)
-    if open_before is None:
-        tasks.append(write("snp_dim_policy/open", lambda: scd.first_snapshot(t["dim_policy"], ts)))
-    else:
-        snapshot = open_before if closed_before is None else open_before.unionByName(closed_before)
-        closed_now, open_after = scd.snapshot_step(snapshot, t["dim_policy"], ts,
-                                                   materialise=lambda df: stage(df, "snapshot-join"))
-        tasks.append(write("snp_dim_policy/closed", lambda: closed_now))
-        tasks.append(write("snp_dim_policy/open", lambda: open_after))
+        tasks.append(lambda name=name, cols=cols: append_versions(
+            store, name, "transaction_hk", V.satellite_source(txns, cols, ts), rid))
+    tasks.append(lambda: take_snapshot(store, t["dim_policy"], ts, rid))
 
     tasks += [
         write("finance_advisor_commissions_monthly", lambda: marts.finance_advisor_commissions_monthly(
@@ -199,11 +205,31 @@ def build_warehouse(wh: Warehouse, store: TableStore, run_ts: str, threads: int
     return results
 
 
+SNAPSHOT = "snp_dim_policy"
+
+
+def take_snapshot(store: TableStore, state: DataFrame, run_ts, run_id: str) -> None:
+    """One snapshot run: closed versions are appended, open versions are
+    rewritten in the buckets where a version was closed or opened."""
+    open_table = BucketState(store, f"{SNAPSHOT}/open", scd.UNIQUE_KEY)
+    bucket = bucket_of(scd.UNIQUE_KEY, store.buckets)
+    before = open_table.read(run_id)
+    if before is None:
+        open_table.write(run_id, scd.first_snapshot(state, run_ts).withColumn("_bucket", bucket))
+        return
+    rows = stage(scd.after_run(before.drop("_bucket"), state, run_ts).withColumn("_bucket", bucket), "snapshot-join")
+    store.write_run(f"{SNAPSHOT}/closed", rows.where("_closed").drop("_closed", "_bucket"), run_id)
+    changed = rows.where(F.col("_closed") | (F.col("dbt_valid_from") == run_ts)).select("_bucket").distinct()
+    open_table.write(run_id, rows.where("not _closed").drop("_closed").join(
+        F.broadcast(changed), "_bucket", "left_semi"))      # a row a bucket
+
+
 def read_snapshot(store: TableStore) -> DataFrame | None:
-    open_v = store.latest("snp_dim_policy/open")
-    closed = store.every_run("snp_dim_policy/closed")
+    open_v = BucketState(store, f"{SNAPSHOT}/open", scd.UNIQUE_KEY).read()
+    closed = store.every_run(f"{SNAPSHOT}/closed")
     if open_v is None:
         return None
+    open_v = open_v.drop("_bucket")
     return open_v if closed is None else open_v.unionByName(closed)
 
 

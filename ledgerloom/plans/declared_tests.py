@@ -8,8 +8,10 @@ wants every value in column c of table t; ``with c`` wants the pair unique.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..operators.quality import DataTest
-from ..schemas import TENANTS
+from ..schemas import COMMISSION_CATEGORY, TENANTS
 
 VALUES = {
     "TENANT": tuple(TENANTS), "CATEGORY": ("INSURANCE", "INVESTMENT"), "UNIVERSE": ("RISK", "INVESTMENT"),
@@ -156,6 +158,20 @@ company: not_null, in TENANT
 policy_count: not_null
 """
 
+#: Declared on the raw landing rows, once per tenant (commissions: per dataset).
+LANDING = """
+raw_commissions
+commission_id: not_null?
+raw_risk_policies
+policynumber: not_null?
+raw_risk_transactions
+transaction_id: not_null?
+raw_investment_transactions
+transaction_id: not_null?
+raw_valuations
+policy_number: not_null?
+"""
+
 #: Declared once per tenant.
 STAGING = """
 stg_commissions
@@ -199,5 +215,20 @@ def declared(text: str, where: str | None = None, suffix: str = "") -> list[Data
 
 
 def staging_tests() -> list[DataTest]:
-    """The staging tests of every tenant."""
-    return [t for tenant in TENANTS for t in declared(STAGING, f"company = '{tenant}'", f"_{tenant.lower()}")]
+    """The staging tests of every tenant, and one that a single tenant has."""
+    own = DataTest("not_null", "stg_investment_transactions", ("transaction_date",), "warn", "company = 'MAIN_BOOK'",
+                   label="not_null_stg_investment_transactions_transaction_date_main_book")
+    return [t for tenant in TENANTS for t in declared(STAGING, f"company = '{tenant}'", f"_{tenant.lower()}")] + [own]
+
+
+def landing_tests() -> list[DataTest]:
+    """The tests of the landing rows: six a tenant."""
+    out = []
+    for tenant in TENANTS:
+        for t in declared(LANDING, f"company = '{tenant}'", f"_{tenant.lower()}"):
+            if t.table != "raw_commissions":
+                out.append(t)
+                continue
+            for dataset, category in COMMISSION_CATEGORY.items():
+                out.append(replace(t, where=f"{t.where} AND dataset = '{dataset}'", label=f"{t.name}_{category.lower()}"))
+    return out

@@ -5,6 +5,13 @@ and measures; a measure either has a default aggregation (sum / avg / ...)
 or is pre-computed per row and may not be re-aggregated.  Names and
 synonyms resolve case-insensitively.  A metric query compiles to one
 ``groupBy().agg()``; filters are column predicates.
+
+Measures that may not be summed have a rule of their own: ``Ratio`` divides
+two summed measures after they are summed, ``Latest`` is summed over rows of
+one time and taken at a group's last time (a balance adds up over funds, not
+over months).  A query with a ``Latest`` groups twice: first by the dimensions
+and the time, to partial sums, then by the dimensions, where sums are summed
+and balances are picked by ``max_by``; both steps combine map-side.
 """
 
 from __future__ import annotations
@@ -14,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.safe import safe_ratio
+
 
 @dataclass(frozen=True)
 class Field:
@@ -108,6 +117,33 @@ MODEL = [
         ]),
 ]
 
+@dataclass(frozen=True)
+class Ratio:
+    """The quotient of two summed measures."""
+
+    numerator: str
+    denominator: str
+
+
+@dataclass(frozen=True)
+class Latest:
+    """A measure summed at the last ``time`` of a group."""
+
+    measure: str
+    time: str
+
+
+#: Rules of measures that may not be summed over rows, by table and name.
+RULES = {
+    ("policy_inforce", "lapse_rate"): Ratio("lapsed_policy_count", "policy_count"),
+    ("policy_inforce", "active_rate"): Ratio("active_policy_count", "policy_count"),
+    ("aum_monthly", "closing_aum"): Latest("aum_amount", "year_month"),
+    ("aum_monthly", "aum_per_policy"): Ratio("aum_amount", "unique_policies"),
+    ("aum_monthly", "closing_policies"): Latest("unique_policies", "year_month"),
+}
+COUNTS = ("commission_count", "unique_policies", "unique_clients", "policy_count", "active_policy_count",
+          "lapsed_policy_count")
+
 AGGREGATIONS = {
     "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max,
     "count": F.count, "count_distinct": F.countDistinct,
@@ -134,23 +170,56 @@ class SemanticModel:
         for f in filters:
             df = df.where(f)
         dims = [lt.dimension(d).name for d in dimensions]
-        aggs = []
-        for m in measures:
-            mf = lt.measure(m)
-            if mf.default_aggregation is None:
-                raise ValueError(f"{mf.name} is pre-computed per row and cannot be aggregated")
-            agg = AGGREGATIONS[mf.default_aggregation](F.col(mf.name))
-            if mf.default_aggregation == "avg":
-                agg = F.round(agg.cast("double"), 6)
-            elif mf.name in ("commission_count", "unique_policies", "unique_clients", "policy_count",
-                             "active_policy_count", "lapsed_policy_count"):
-                agg = agg.cast("bigint")
-            else:
-                agg = agg.cast("decimal(38,2)")
-            aggs.append(agg.alias(mf.name))
-        out = df.groupBy(*dims).agg(*aggs)
+        rules = {m: RULES.get((lt.name, self._rule_name(lt, m))) for m in measures}
+        if any(isinstance(r, Latest) for r in rules.values()):
+            out = self._by_time(lt, df, dims, rules)
+        else:
+            out = df.groupBy(*dims).agg(*[self._measure(lt, m, rules[m]) for m in measures])
         if order_by:
             out = out.orderBy(*order_by)
         if limit is not None:
             out = out.limit(limit)
         return out
+
+    @staticmethod
+    def _rule_name(lt: LogicalTable, term: str) -> str:
+        if (lt.name, term) in RULES:
+            return term
+        return lt.measure(term).name
+
+    @staticmethod
+    def _typed(name: str, total: Column) -> Column:
+        return total.cast("bigint" if name in COUNTS else "decimal(38,2)")
+
+    def _measure(self, lt: LogicalTable, term: str, rule) -> Column:
+        if isinstance(rule, Ratio):
+            return F.round(safe_ratio(F.sum(rule.numerator), F.sum(rule.denominator)), 6).alias(self._rule_name(lt, term))
+        field = lt.measure(term)
+        if field.default_aggregation is None:
+            raise ValueError(f"{field.name} is pre-computed per row and cannot be aggregated")
+        agg = AGGREGATIONS[field.default_aggregation](F.col(field.name))
+        agg = F.round(agg.cast("double"), 6) if field.default_aggregation == "avg" else self._typed(field.name, agg)
+        return agg.alias(field.name)
+
+    def _by_time(self, lt: LogicalTable, df: DataFrame, dims: list[str], rules: dict) -> DataFrame:
+        """A query with a balance in it: partial sums by time, then picked
+        or summed.  Only sums, ratios of sums and balances can be mixed."""
+        times = {r.time for r in rules.values() if isinstance(r, Latest)}
+        if len(times) > 1:
+            raise ValueError(f"balances over different times: {sorted(times)}")
+        time, parts, out = times.pop(), set(), []
+        for term, rule in rules.items():
+            name = self._rule_name(lt, term)
+            if isinstance(rule, Latest):
+                parts.add(rule.measure)
+                out.append(self._typed(rule.measure, F.max_by(rule.measure, "_time")).alias(name))
+            elif isinstance(rule, Ratio):
+                parts |= {rule.numerator, rule.denominator}
+                out.append(F.round(safe_ratio(F.sum(rule.numerator), F.sum(rule.denominator)), 6).alias(name))
+            elif lt.measure(term).default_aggregation == "sum":
+                parts.add(name)
+                out.append(self._typed(name, F.sum(name)).alias(name))
+            else:
+                raise ValueError(f"{name} cannot be put beside a balance")
+        by_time = df.groupBy(*dims, F.col(time).alias("_time")).agg(*[F.sum(m).alias(m) for m in sorted(parts)])
+        return by_time.groupBy(*dims).agg(*out)

@@ -99,7 +99,7 @@ SELECT 'PIPE_MAIN_BOOK_RISK_BENEFITS_TRANSACTIONS' AS pipe_name, '{BAD_FILE}' AS
 FROM events WHERE event_id % 97 = 0""")
 def s5(spark, sf):
     base = _batch_landing(spark, sf, ["risk_transactions"], bad_lines=True)
-    q = spark.read.parquet(f"{base}/quarantine")
+    q = L.read_quarantine(spark, f"{base}/raw", f"{base}/quarantine")
     return q.select("pipe_name", L.logical_file_name(F.col("file_name")).alias("file_name"), "rejected_record")
 
 
@@ -113,10 +113,26 @@ def s5_identical(spark, sf):
     base = _fresh(spark, "landing")
     for load in ("batch-0001", "batch-0002"):
         L.ingest_batch(spark, drop, f"{base}/raw", f"{base}/quarantine", RUN_TS, load, ["risk_transactions"])
-    q = spark.read.parquet(f"{base}/quarantine")
+    q = L.read_quarantine(spark, f"{base}/raw", f"{base}/quarantine")
     return q.groupBy("rejected_record").agg(F.count(F.lit(1)).cast("int").alias("copies"))
 
 
+@register("s6_load_history", """
+SELECT company, dataset, CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(bad) AS BIGINT) AS error_count,
+  CASE WHEN sum(bad) > 0 THEN true ELSE false END AS any_partly_loaded
+FROM (SELECT company, CASE WHEN company = 'MAIN_BOOK' THEN 'risk_benefits_transactions' ELSE 'ins_transactions' END AS dataset,
+        1 AS n, 0 AS bad FROM fx_risk_transactions
+      UNION ALL SELECT 'MAIN_BOOK', 'risk_benefits_transactions', 1, 1 FROM events WHERE event_id % 97 = 0)
+GROUP BY company, dataset""")
+def s6_history(spark, sf):
+    """The load manifest: rows and rejected rows of every loaded file, summed by feed."""
+    base = _batch_landing(spark, sf, ["risk_transactions"], bad_lines=True)
+    files = L.load_history(spark, f"{base}/raw")
+    return files.groupBy("company", "dataset").agg(
+        F.sum("row_count").alias("row_count"), F.sum("error_count").alias("error_count"),
+        F.bool_or(F.col("status") != "LOADED").alias("any_partly_loaded"))
+
+
 @register("s1_upper_case_header", _LAND.format(fx="fx_commissions"))
 def s1_upper(spark, sf):
     """Header lines are skipped by position, whatever their case."""
@@ -193,6 +209,21 @@ def s7(spark, sf):
     return ops.replicate_policies(TableSource(spark, sf))
 
 
+@register("s7_ops_claims_replicated", """
+SELECT o_orderkey + 1 AS claim_id, 'CLM-' || lpad(CAST(o_orderkey + 1 AS VARCHAR), 9, '0') AS claim_reference,
+  o_custkey + 1 AS policy_id,
+  ['DEATH', 'DISABILITY', 'CHRONIC', 'ACCIDENT', 'SURRENDER'][CAST(o_orderkey % 5 + 1 AS INTEGER)] AS claim_type,
+  CASE WHEN o_orderkey % 10 = 1 THEN 'PAID'
+       ELSE ['LODGED', 'ASSESSING', 'APPROVED', 'REJECTED'][CAST(o_orderkey % 4 + 1 AS INTEGER)] END AS claim_status,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS claim_amount,
+  CASE WHEN o_orderkey % 10 = 1 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS paid_amount,
+  CASE WHEN o_orderkey % 10 = 1 THEN TIMESTAMP '2024-02-01 10:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at,
+  false AS is_deleted
+FROM orders WHERE o_orderkey % 25 <> 2""")
+def s7_claims(spark, sf):
+    return ops.replicate_claims(TableSource(spark, sf))
+
+
 @register("s9_table_store_roundtrip", "SELECT * FROM mart_finance")
 def s9(spark, sf):
     """Sink: the mart written as a run of the versioned table store, twice

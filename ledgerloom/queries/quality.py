@@ -10,7 +10,7 @@ from ..oracle.cte import cte
 from ..operators import quarantine as Q
 from ..operators import vault as V
 from ..operators.quality import DataTest, run_tests, suite_sql
-from ..plans.declared_tests import CORE, HISTORY, MARTS, VAULT, declared, staging_tests
+from ..plans.declared_tests import CORE, HISTORY, MARTS, VAULT, declared, landing_tests, staging_tests
 from ..schemas import TENANTS
 from ..sources import fixtures
 from ..sources.tables import TableSource
@@ -96,6 +96,10 @@ def _history_tables(spark, sf):
 _suite("x_declared_staging", staging_tests(), lambda spark, sf: {
     n: getattr(wh(spark, sf), n) for n in ("stg_commissions", "stg_risk_policies", "stg_risk_transactions",
                                            "stg_investment_transactions", "stg_valuations")})
+for _shape in ("commissions", "risk_policies", "risk_transactions", "investment_transactions", "valuations"):
+    cte(f"raw_{_shape}", f"SELECT * FROM fx_{_shape}")
+_suite("x_declared_landing", landing_tests(), lambda spark, sf: {
+    f"raw_{shape}": rows() for shape, rows in wh(spark, sf).landing.items()})
 _suite("x_declared_core", declared(CORE), lambda spark, sf: {
     n: getattr(wh(spark, sf), n) for n in (
         "dim_advisor", "dim_date", "dim_product", "dim_fund", "dim_policy", "dim_client", "fct_commissions",
@@ -117,7 +121,10 @@ cte("ops_claims", """
 SELECT o_orderkey + 1 AS claim_id, 'CLM-' || lpad(CAST(o_orderkey + 1 AS VARCHAR), 9, '0') AS claim_reference,
   o_custkey + 1 + (CASE WHEN o_orderkey % 97 = 0 THEN 1000000000 ELSE 0 END) AS policy_id,
   CASE o_orderkey % 5 WHEN 0 THEN 'DEATH' WHEN 1 THEN 'DISABILITY' WHEN 2 THEN 'CHRONIC' WHEN 3 THEN 'ACCIDENT'
-       ELSE 'SURRENDER' END AS claim_type
+       ELSE 'SURRENDER' END AS claim_type,
+  CASE o_orderkey % 6 WHEN 0 THEN 'LODGED' WHEN 1 THEN 'ASSESSING' WHEN 2 THEN 'APPROVED' WHEN 3 THEN 'REJECTED'
+       WHEN 4 THEN 'PAID' WHEN 5 THEN CASE WHEN o_orderkey % 5 > 0 THEN 'REOPENED' END END AS claim_status,
+  CAST(o_orderdate AS TIMESTAMP) AS lodged_at
 FROM orders""")
 
 OPS_SUITE = [
@@ -127,6 +134,10 @@ OPS_SUITE = [
     DataTest("unique", "ops_claims", ("claim_reference",)),
     DataTest("accepted_values", "ops_claims", ("claim_type",),
              values=("DEATH", "DISABILITY", "CHRONIC", "ACCIDENT", "SURRENDER")),
+    DataTest("accepted_values", "ops_claims", ("claim_status",),
+             values=("LODGED", "ASSESSING", "APPROVED", "REJECTED", "PAID")),
+    *[DataTest("not_null", "ops_claims", (c,)) for c in (
+        "claim_id", "claim_reference", "policy_id", "claim_type", "claim_status", "lodged_at")],
     DataTest("relationships", "ops_claims", ("policy_id",), to="ops_policies", field="policy_id"),
 ]
 
@@ -148,7 +159,11 @@ def ops_tables(spark, sf):
         F.concat(F.lit("CLM-"), F.lpad((ok + 1).cast("string"), 9, "0")).alias("claim_reference"),
         (F.col("o_custkey") + 1 + F.when(ok % 97 == 0, F.lit(1000000000)).otherwise(F.lit(0))).alias("policy_id"),
         F.when(m5 == 0, "DEATH").when(m5 == 1, "DISABILITY").when(m5 == 2, "CHRONIC")
-         .when(m5 == 3, "ACCIDENT").otherwise("SURRENDER").alias("claim_type"))
+         .when(m5 == 3, "ACCIDENT").otherwise("SURRENDER").alias("claim_type"),
+        # a status no check allows and, where the key is also a multiple of 5, none at all
+        F.when(ok % 6 == 0, "LODGED").when(ok % 6 == 1, "ASSESSING").when(ok % 6 == 2, "APPROVED")
+         .when(ok % 6 == 3, "REJECTED").when(ok % 6 == 4, "PAID").when(m5 > 0, "REOPENED").alias("claim_status"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("lodged_at"))
     return {"ops_policies": policies, "ops_claims": claims}
 
 

@@ -201,6 +201,60 @@ def b13_fixed(spark, sf):
             .groupBy("company", "fund_type").agg(F.countDistinct("client_sk").alias("unique_clients")))
 
 
+_VALUED = """
+FROM fct_valuations v JOIN dim_date d ON v.date_sk = d.date_sk JOIN dim_fund f ON v.fund_sk = f.fund_sk
+WHERE v.market_value_amount IS NOT NULL"""
+
+
+def _client_sets(w):
+    """Clients per company, fund type, fund and month as bitmaps."""
+    from ..operators.distincts import distinct_sets
+    days = F.broadcast(w.dim_date.select("date_sk", F.trunc("date_day", "month").alias("year_month")))   # a row a day
+    v = w.valuations_keyed.where(F.col("market_value_amount").isNotNull()).join(days, "date_sk")
+    v = v.join(w.dim_fund.select("fund_sk", "fund_type"), "fund_sk")
+    return distinct_sets(v, "client_sk", ["company", "fund_type", "fund_sk", "year_month"])
+
+
+@register("b13_unique_clients_merged", f"""
+SELECT v.company, f.fund_type, count(DISTINCT v.client_sk) AS unique_clients {_VALUED}
+GROUP BY v.company, f.fund_type HAVING count(DISTINCT v.client_sk) > 0""")
+def b13_merged(spark, sf):
+    """Distinct clients per tenant and fund type, from the mart's bitmaps per fund and month."""
+    from ..operators.distincts import distinct_counts
+    return distinct_counts(_client_sets(wh(spark, sf)), ["company", "fund_type"], "unique_clients")
+
+
+@register("m2_unique_clients_yearly", f"""
+SELECT v.company, v.fund_sk, d.year, count(DISTINCT v.client_sk) AS unique_clients {_VALUED}
+GROUP BY v.company, v.fund_sk, d.year HAVING count(DISTINCT v.client_sk) > 0""")
+def m2_yearly(spark, sf):
+    """Distinct clients per fund and year: the same bitmaps, merged over months."""
+    from ..operators.distincts import distinct_counts
+    sets = _client_sets(wh(spark, sf)).withColumn("year", F.year("year_month"))
+    return distinct_counts(sets, ["company", "fund_sk", "year"], "unique_clients")
+
+
+@register("b13_semantic_closing_aum", """
+SELECT company, fund_type, CAST(sum(aum_amount) FILTER (WHERE year_month = top) AS DECIMAL(38,2)) AS closing_aum,
+  CAST(sum(unique_policies) FILTER (WHERE year_month = top) AS BIGINT) AS closing_policies,
+  round(CASE WHEN sum(unique_policies) <> 0 THEN CAST(sum(aum_amount) AS DOUBLE) / sum(unique_policies) END, 6) AS aum_per_policy
+FROM (SELECT *, max(year_month) OVER (PARTITION BY company, fund_type) AS top FROM mart_aum) GROUP BY company, fund_type""")
+def b13_closing(spark, sf):
+    """Balances of each group's last month beside a ratio of sums."""
+    return semantic(wh(spark, sf)).query("portfolio", ["closing_aum", "closing_policies", "aum_per_policy"],
+                                         ["tenant", "product structure"])
+
+
+@register("b13_semantic_rates", """
+SELECT company, round(sum(lapsed_policy_count) * 1.0 / nullif(sum(policy_count), 0), 6) AS lapse_rate,
+  round(sum(active_policy_count) * 1.0 / nullif(sum(policy_count), 0), 6) AS active_rate,
+  CAST(sum(policy_count) AS BIGINT) AS policy_count
+FROM mart_risk GROUP BY company""")
+def b13_rates(spark, sf):
+    """Rates as ratios of sums (B3 through the semantic layer)."""
+    return semantic(wh(spark, sf)).query("policy book", ["attrition rate", "active_rate", "book size"], ["tenant"])
+
+
 @register("b14_total_net_commission", """
 SELECT company, year, CAST(sum(commission_net_total) AS DECIMAL(38,2)) AS total_net_commission
 FROM mart_finance GROUP BY company, year""")

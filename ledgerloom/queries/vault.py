@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..catalog import register
+from ..catalog import REGISTRY, register
 from ..functions.keys import hashdiff, surrogate_key
 from ..oracle import vault_sql as VS
 from ..oracle.warehouse_sql import hashdiff as sql_hashdiff
@@ -173,3 +173,43 @@ def k4(spark, sf):
     return rows.select(surrogate_key("company", "transaction_id").alias("transaction_hk"),
                        hashdiff(*V.SAT_DETAILS_COLUMNS).alias("details_hashdiff"),
                        hashdiff(*V.SAT_AMOUNTS_COLUMNS).alias("amounts_hashdiff"))
+
+
+# ------------------------------------------------------------------ stored runs
+def _two_runs(spark, sf, write):
+    """A store after both runs, each published, the second one retried."""
+    import uuid
+
+    from ..plans.build import TableStore, run_id_of
+    from ..session import shared_path
+    store = TableStore(spark, shared_path(spark, "stage", f"vault-{uuid.uuid4().hex}"))
+    for run, ts in ((1, RUN1), (2, RUN2), (2, RUN2)):
+        write(store, _wh(spark, sf, run), run_id_of(ts))
+        store.publish(run_id_of(ts))
+    return store
+
+
+def _stored_keys(x, candidates):
+    from ..plans.buckets import KeySet
+    return lambda spark, sf: _two_runs(spark, sf, lambda store, w, rid: KeySet(store, x.name, x.hk).append(
+        candidates(w.transactions_keyed, x, w.run_ts), rid)).every_run(x.name)
+
+
+def _stored_versions(name, cols):
+    from ..plans.buckets import append_versions
+    return lambda spark, sf: _two_runs(spark, sf, lambda store, w, rid: append_versions(
+        store, name, "transaction_hk", V.satellite_source(w.transactions_keyed, cols, w.run_ts), rid)).every_run(name)
+
+
+@register("h1_snp_dim_policy_stored_run2", "SELECT * FROM snp_run2")
+def h1_stored(spark, sf):
+    """H1 through the store: open versions rewritten by the bucket."""
+    from ..plans.build import read_snapshot, take_snapshot
+    return read_snapshot(_two_runs(spark, sf, lambda store, w, rid: take_snapshot(store, w.dim_policy, w.run_ts, rid)))
+
+
+for _i, _x in enumerate([*V.HUBS.values(), *V.LINKS.values()], start=1):
+    register(f"v{_i}_{_x.name}_stored_run2", REGISTRY[f"v{_i}_{_x.name}_run2"].body)(
+        _stored_keys(_x, V.hub_candidates if isinstance(_x, V.Hub) else V.link_candidates))
+for _i, (_name, _cols) in enumerate(V.SATELLITES.items(), start=8):
+    register(f"v{_i}_{_name}_stored_run2", REGISTRY[f"v{_i}_{_name}_run2"].body)(_stored_versions(_name, _cols))

@@ -4,8 +4,9 @@ One scan reads every CSV file of a drop folder positionally into
 ``_c0 .. _c{N-1}`` (N = widest feed) plus ``_corrupt_record``; each row is
 routed to its feed by a regex over its file name (S3), rejected rows are
 split off (S5), and the good rows are projected to the feed's column names
-with the load stamp (S2) and appended to ``<root>/<shape>/company=/dataset=``
-(S6).  A single scan avoids reading the drop once per feed; short rows are
+with the load stamp (S2) and appended to
+``<root>/<shape>/load_id=/company=/dataset=`` (S6).  A load is seen once its
+entry is in the manifest.  A single scan avoids reading the drop once per feed; short rows are
 padded and long rows truncated to the feed's width, as the reference's
 ``error_on_column_count_mismatch = false`` does.
 
@@ -21,7 +22,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..plans.tables import remove
 from ..schemas import FEEDS, Feed
@@ -200,38 +200,74 @@ def write_landing(df: DataFrame, root: str, shape: str, load_id: str) -> None:
      .parquet(f"{root.rstrip('/')}/{shape}/load_id={load_id}"))
 
 
+#: Folder of the load manifest below a landing root.
+LOADS = "_loads"
+
+
+def committed_loads(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the loads that are complete: a load's entry in the manifest is
+    its last write, and Spark marks a finished write with ``_SUCCESS``."""
+    return sorted(name.split("=", 1)[1] for name in folder_names(spark, f"{root.rstrip('/')}/{LOADS}")
+                  if "_SUCCESS" in folder_names(spark, f"{root.rstrip('/')}/{LOADS}/{name}"))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (none if it is not there)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(target)] if files.exists(target) else []
+
+
+def _committed_folders(spark: SparkSession, base: str, root: str, skip: str | None = None) -> list[str]:
+    folders = [f"{base.rstrip('/')}/load_id={i}" for i in committed_loads(spark, root) if i != skip]
+    return [f for f in folders if any(not n.startswith("_") for n in folder_names(spark, f))]
+
+
 def read_landing(spark: SparkSession, root: str, shape: str) -> DataFrame:
-    """All loads of one shape (landing form, ``load_id`` dropped)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{shape}").drop("load_id")
+    """All committed loads of one shape (landing form, ``load_id`` dropped)."""
+    base = f"{root.rstrip('/')}/{shape}"
+    folders = _committed_folders(spark, base, root)
+    if not folders:
+        names = max((f.columns for f in FEEDS if f.shape == shape), key=len)
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in [*names, "company", "dataset"])
+                                     + ", _loaded_at timestamp_ntz")
+    return spark.read.option("basePath", base).parquet(*folders).drop("load_id")
 
 
-SHAPES = ["commissions", "valuations", "investment_transactions", "risk_transactions", "risk_policies"]
+def read_quarantine(spark: SparkSession, root: str, quarantine_path: str, skip: str | None = None) -> DataFrame | None:
+    """Rejected records of all committed loads (but ``skip``); None if there are none."""
+    folders = _committed_folders(spark, quarantine_path, root, skip)
+    return spark.read.option("basePath", quarantine_path).parquet(*folders).drop("load_id") if folders else None
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A parquet table, or None when it has not been written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def load_history(spark: SparkSession, root: str) -> DataFrame | None:
+    """One row for every file of every committed load: load_id, file_name,
+    company, dataset, row_count, error_count, status, last_load_time."""
+    base = f"{root.rstrip('/')}/{LOADS}"
+    folders = [f"{base}/load_id={i}" for i in committed_loads(spark, root)]
+    return spark.read.option("basePath", base).parquet(*folders) if folders else None
 
 
-def ensure_quarantine_table(spark: SparkSession, quarantine_path: str) -> None:
-    """Create the quarantine table (no rows) if it does not exist yet, so
-    capture always has a target to anti-join against."""
-    if read_table(spark, quarantine_path) is None:
-        from ..operators.quarantine import QUARANTINE_COLUMNS
-        schema = ", ".join(f"{c} {t}" for c, t in QUARANTINE_COLUMNS)
-        spark.createDataFrame([], schema).write.mode("append").parquet(quarantine_path)
+def _files_of(staged: DataFrame, run_ts) -> DataFrame:
+    rejected = F.count_if(is_rejected())
+    files = staged.groupBy(F.col("_path").alias("file_name"), "company", "dataset").agg(
+        F.count(F.lit(1)).alias("row_count"), rejected.alias("error_count"))
+    status = F.when(F.col("error_count") == 0, "LOADED").when(F.col("error_count") < F.col("row_count"), "PARTIALLY_LOADED") \
+        .otherwise("LOAD_FAILED")
+    return files.select("*", status.alias("status"), F.lit(run_ts).cast("timestamp_ntz").alias("last_load_time"))
+
+
+SHAPES = ["commissions", "valuations", "investment_transactions", "risk_transactions", "risk_policies"]
 
 
 def land(routed: DataFrame, landing_root: str, quarantine_path: str, run_ts, load_id: str, shapes=SHAPES) -> None:
     """Land one routed scan: it is written once to the shared folder, every
     shape is written under ``landing_root`` from there, rejected records are
-    captured into the quarantine table (Q1 MERGE semantics), and the written
-    scan is removed."""
+    captured (Q1 MERGE semantics against the other committed loads) under
+    ``<quarantine_path>/load_id=<id>``, and the written scan is removed.  The
+    load's files with their counts go into the manifest last, and readers open
+    committed loads only: a load that dies half-way shows nothing, and its
+    retry overwrites what it left."""
     from ..operators.quarantine import capture
 
     spark = routed.sparkSession
@@ -242,9 +278,10 @@ def land(routed: DataFrame, landing_root: str, quarantine_path: str, run_ts, loa
         good, _ = split(staged)
         for shape in shapes:
             write_landing(to_landing(good, shape, run_ts), landing_root, shape, load_id)
-        existing = read_table(spark, quarantine_path)
+        existing = read_quarantine(spark, landing_root, quarantine_path, skip=load_id)
         new = capture(rejected_errors(staged), existing, F.lit(run_ts).cast("timestamp_ntz"))
-        new.write.mode("append").parquet(quarantine_path)
+        new.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/load_id={load_id}")
+        _files_of(staged, run_ts).write.mode("overwrite").parquet(f"{landing_root.rstrip('/')}/{LOADS}/load_id={load_id}")
     finally:
         remove(spark, folder)
 
@@ -252,7 +289,6 @@ def land(routed: DataFrame, landing_root: str, quarantine_path: str, run_ts, loa
 def ingest_batch(spark: SparkSession, drop: str, landing_root: str, quarantine_path: str, run_ts,
                  load_id: str, shapes=SHAPES, multi_line: bool = False) -> None:
     """Load one drop folder: every shape landed, rejected rows quarantined."""
-    ensure_quarantine_table(spark, quarantine_path)
     land(read_routed(spark, drop, multi_line), landing_root, quarantine_path, run_ts, load_id, shapes)
 
 

@@ -1,5 +1,5 @@
-"""Operational source tables (S7): replication of ``policies_master`` by
-high-water mark with soft deletes.
+"""Operational source tables (S7): replication of ``policies_master`` and
+``claims`` by high-water mark with soft deletes.
 
 Replication (S7): a full refresh, then increments of rows whose
 ``updated_at`` is not below the target's high-water mark (rows sharing the
@@ -20,6 +20,8 @@ from .tables import TableSource
 
 # --- fixed values: enumerations of the operational schema ------------------
 PRODUCT_CODES = ["LIFE_001", "LIFE_002", "DIS_001", "CHR_001", "ACC_001", "INV_001"]
+CLAIM_TYPES = ["DEATH", "DISABILITY", "CHRONIC", "ACCIDENT", "SURRENDER"]
+CLAIM_STATUSES = ["LODGED", "ASSESSING", "APPROVED", "REJECTED", "PAID"]
 
 FULL_REFRESH_TS = "2024-01-01 00:00:00"
 
@@ -90,12 +92,46 @@ def ops_policies(tables: TableSource, version: int = 0) -> DataFrame:
                         .otherwise(F.lit("2024-02-01 10:00:00").cast("timestamp_ntz"))))
 
 
+def ops_claims(tables: TableSource, version: int = 0) -> DataFrame:
+    """``claims`` derived from ``orders``.  Version 1 is the source after a
+    day of changes: ``o_orderkey % 10 = 1`` are paid, ``o_orderkey % 25 = 2``
+    are soft-deleted."""
+    k, base_ts = F.col("o_orderkey"), F.lit(FULL_REFRESH_TS).cast("timestamp_ntz")
+    df = tables("orders").select(
+        (k + 1).alias("claim_id"),
+        F.concat(F.lit("CLM-"), F.lpad((k + 1).cast("string"), 9, "0")).alias("claim_reference"),
+        (F.col("o_custkey") + 1).alias("policy_id"),
+        F.element_at(F.array(*[F.lit(t) for t in CLAIM_TYPES]), (k % 5 + 1).cast("int")).alias("claim_type"),
+        F.element_at(F.array(*[F.lit(t) for t in CLAIM_STATUSES[:4]]), (k % 4 + 1).cast("int")).alias("claim_status"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("claim_amount"),
+        F.lit(None).cast("decimal(18,2)").alias("paid_amount"),
+        base_ts.alias("updated_at"), F.lit(False).alias("is_deleted"))
+    if version == 0:
+        return df
+    k1 = F.col("claim_id") - 1
+    paid, delete = (k1 % 10 == 1), (k1 % 25 == 2)
+    return df.where(paid | delete).withColumns({
+        "claim_status": F.when(paid, F.lit("PAID")).otherwise(F.col("claim_status")),
+        "paid_amount": F.when(paid, F.col("claim_amount")),
+        "is_deleted": delete,
+        "updated_at": F.lit("2024-02-01 10:00:00").cast("timestamp_ntz")})
+
+
+def replicate_claims(tables: TableSource) -> DataFrame:
+    """As ``replicate_policies``, for the claims."""
+    return _replicated(lambda version: ops_claims(tables, version), "claim_id")
+
+
 def replicate_policies(tables: TableSource) -> DataFrame:
     """Full refresh, then one incremental sync above the high-water mark;
     returns the current (not deleted) view."""
-    replica = stage(upsert_latest(None, ops_policies(tables, 0), "policy_id"), "ops-policies")
+    return _replicated(lambda version: ops_policies(tables, version), "policy_id")
+
+
+def _replicated(source, pk: str) -> DataFrame:
+    replica = stage(upsert_latest(None, source(0), pk), f"ops-{pk}")
     mark = high_water_mark(replica)
-    increment = ops_policies(tables, 1)
+    increment = source(1)
     if mark is not None:
         increment = increment.where(F.col("updated_at") >= F.lit(mark).cast("timestamp_ntz"))
-    return current_view(upsert_latest(replica, increment, "policy_id"))
+    return current_view(upsert_latest(replica, increment, pk))

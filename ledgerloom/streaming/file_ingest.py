@@ -6,8 +6,10 @@ pipe: the checkpoint is the load history, so a file is loaded exactly once
 Each micro-batch is routed, split and written exactly like a batch load
 (``sources.landing``); the landing write goes to ``load_id=<query id>-<batch
 id>`` with overwrite (the query id lives as long as its checkpoint, so streams
-that share a landing root, or a new checkpoint, never overwrite each other), and quarantine capture anti-joins on the MERGE key, so a
-re-executed batch after a failure does not duplicate anything.
+that share a landing root, or a new checkpoint, never overwrite each other),
+quarantine capture anti-joins on the MERGE key, and the batch is seen once its
+manifest entry is written, so a batch that dies half-way shows nothing and its
+re-execution duplicates nothing.
 """
 
 from __future__ import annotations
@@ -53,7 +55,6 @@ def start_file_ingest(spark: SparkSession, drop: str, landing_root: str, quarant
     """Start the ingest stream.  ``available_now`` processes everything that
     is there and stops (the scheduled-run form); otherwise it polls every
     ``processing_time``."""
-    L.ensure_quarantine_table(spark, quarantine_path)
     writer = (raw_stream(spark, drop, max_files_per_trigger, multi_line).writeStream
               .foreachBatch(make_batch_writer(landing_root, quarantine_path, checkpoint, run_ts))
               .option("checkpointLocation", checkpoint))

@@ -71,6 +71,33 @@ def test_batch_ingest_quarantine_is_idempotent(spark, tmp_path):
     assert L.read_landing(spark, root, "risk_transactions").count() == 2   # l1 (overwritten) + l2
 
 
+def test_a_load_that_dies_half_way_shows_nothing(spark, tmp_path, monkeypatch):
+    drop, root, qpath = str(tmp_path / "drop"), str(tmp_path / "raw"), str(tmp_path / "q")
+    _write(f"{drop}/fsp-horizon_ins_transactions.csv", [HEADER, 'T1,"bad', "T2,P2"])
+    _write(f"{drop}/fsp-main_book_ins_commissions_1.csv", ["commission_id,policy_number", "C1,P1"])
+    writes, real = [], L.write_landing
+
+    def third_fails(*args):
+        writes.append(args[2])
+        if len(writes) == 3:
+            raise OSError("lost")
+        real(*args)
+    monkeypatch.setattr(L, "write_landing", third_fails)
+    try:
+        L.ingest_batch(spark, drop, root, qpath, "2024-06-30 00:00:00", "l1")
+    except OSError:
+        pass
+    assert len(writes) == 3 and L.committed_loads(spark, root) == []
+    assert all(L.read_landing(spark, root, shape).count() == 0 for shape in L.SHAPES)
+    assert L.read_quarantine(spark, root, qpath) is None and L.load_history(spark, root) is None
+    L.ingest_batch(spark, drop, root, qpath, "2024-06-30 00:00:00", "l1")      # the retry
+    assert L.read_landing(spark, root, "commissions").count() == 1
+    assert L.read_landing(spark, root, "risk_transactions").count() == 1
+    assert L.read_quarantine(spark, root, qpath).count() == 1
+    state = {r.dataset: (r.row_count, r.error_count, r.status) for r in L.load_history(spark, root).collect()}
+    assert state == {"ins_transactions": (2, 1, "PARTIALLY_LOADED"), "ins_commissions": (1, 0, "LOADED")}
+
+
 def test_stream_loads_each_file_once(spark, tmp_path):
     drop, base = str(tmp_path / "drop"), str(tmp_path / "out")
     _write(f"{drop}/fsp-main_book_ins_commissions_1.csv",

@@ -84,3 +84,32 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() > 0 and "commission_net_total" in df.columns
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_balances_and_ratios_of_the_semantic_layer(spark):
+    rows = [("t", "ETF", "f1", "2024-01-01", 10, 1), ("t", "ETF", "f1", "2024-02-01", 20, 2), ("t", "ETF", "f2", "2024-02-01", 5, 1),
+            ("t", None, "f3", "2024-01-01", 7, 0), ("u", "ETF", "f4", "2024-03-01", None, None)]
+    base = spark.createDataFrame(rows, "company string, fund_type string, fund_name string, year_month string, "
+                                       "aum_amount int, unique_policies int")
+    model = SemanticModel({"aum_monthly": base})
+    got = {(r.company, r.fund_type): (r.closing_aum, r.aum_amount, r.aum_per_policy) for r in model.query(
+        "portfolio", ["closing_aum", "AUM", "aum_per_policy"], ["tenant", "product structure"]).collect()}
+    assert got == {("t", "ETF"): (25, 35, 8.75), ("t", None): (7, 7, None), ("u", "ETF"): (None, None, None)}
+    total = model.query("portfolio", ["closing_aum"]).first()[0]
+    assert total is None                    # the last month's only row has no value
+    for bad in (["closing_aum", "aum_mom_change"], ["aum_mom_pct_change"]):
+        with pytest.raises(ValueError):
+            model.query("portfolio", bad, ["tenant"])
+
+
+def test_distinct_sets_roll_up(spark):
+    from pyspark.sql import functions as F
+    from ledgerloom.operators.distincts import distinct_counts, distinct_sets
+    rows = spark.range(70_000).select((F.col("id") % 3).alias("a"), (F.col("id") % 7).alias("b"), F.when(
+        F.col("id") % 11 > 0, (F.col("id") % 40_000).cast("string")).alias("client"))
+    rows = rows.unionByName(rows.limit(5).select(F.lit(9).alias("a"), F.lit(9).alias("b"), F.lit(None).cast("string").alias("client")))
+    for parts in (1, 64):                   # one part: its clients fill more than one block
+        sets = distinct_sets(rows, "client", ["a", "b"], parts)
+        for dims in (["a", "b"], ["a"], ["b"], []):
+            want = rows.groupBy(*dims).agg(F.count_distinct("client").alias("n")).where("n > 0")
+            assert sorted(map(str, distinct_counts(sets, dims, "n").collect())) == sorted(map(str, want.collect()))
