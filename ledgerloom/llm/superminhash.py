@@ -117,7 +117,7 @@ def set_digests(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _sign(words: int):
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, "text", 2 << 20):
+            for part in byte_slices(batch, "text", 1 << 20):
                 flat, at = shingle_sets(*utf8_buffer(part, "text"), words)
                 keys = band_keys(signatures(flat, at)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
@@ -132,7 +132,7 @@ def _check_class(words: int):
     """Keep the texts whose set is the class's (ids may repeat)."""
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, "text", 4 << 20):
+            for part in byte_slices(batch, "text", 1 << 20):
                 same = set_digests(*shingle_sets(*utf8_buffer(part, "text"), words)) == np.asarray(part.column("cls"))
                 yield part.select(["cls", "text"]).filter(pa.array(same))
     return run
@@ -142,7 +142,7 @@ def _verify(words: int, percent: int):
     """Whether the pairs (a, head) are linked, on their full sets."""
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, "text_a", 2 << 20):
+            for part in byte_slices(batch, "text_a", 1 << 20):
                 fa, ia = shingle_sets(*utf8_buffer(part, "text_a"), words)
                 heads = part.column("head").to_pylist()
                 first: dict[int, int] = {}
@@ -168,7 +168,7 @@ def _verify(words: int, percent: int):
 def _shingles_of(words: int):
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, "text", 2 << 20):
+            for part in byte_slices(batch, "text", 1 << 20):
                 flat, at = shingle_sets(*utf8_buffer(part, "text"), words)
                 owner = np.repeat(np.asarray(part.column("cls")), np.diff(at))
                 for k in range(0, len(flat), 100_000):
