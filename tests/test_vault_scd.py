@@ -65,7 +65,9 @@ def test_snapshot_three_runs(spark):
     s3 = scd.snapshot_run(s2, changed.dim_policy, ts(RUN3)).checkpoint(eager=True)
     n_changed = s2.where(F.col("dbt_valid_to").isNotNull()).count()
     assert n_changed > 0
-    assert s2.count() == s1.count() + n_changed
+    # the second run also brings new keys, which open a version each
+    n_new = changed.dim_policy.join(s1, "policy_sk", "left_anti").count()
+    assert n_new > 0 and s2.count() == s1.count() + n_changed + n_new
     assert s3.count() == s2.count()                      # unchanged rerun: untouched
     open_per_key = s3.where(F.col("dbt_valid_to").isNull()).groupBy("policy_sk").count()
     assert open_per_key.where("count != 1").count() == 0  # exactly one open version per key
