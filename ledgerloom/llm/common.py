@@ -20,12 +20,18 @@ __all__ = ["byte_slices", "pick", "stage", "prepare", "texts_of", "utf8_buffer",
 
 
 _shipped: set[str] = set()
+#: Rows and bytes of an Arrow batch sent to a Python worker; both sides of the
+#: socket hold a batch, so this bounds an executor's memory outside the heap.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def prepare(spark) -> None:
     """Session settings every operator here relies on, and the package's own
     code for the Python workers, shipped once per application."""
     ensure_checkpoint_dir(spark)
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]

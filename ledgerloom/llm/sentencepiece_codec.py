@@ -21,6 +21,7 @@ table gives an empty result; other columns stay out of the plan.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
 from functools import lru_cache
@@ -34,7 +35,7 @@ from .common import byte_slices, pick, prepare, texts_of
 
 SPACE = "▁"
 #: Pre-tokens remembered by a worker; beyond it the memory starts anew.
-MEMO = 400_000
+MEMO = 200_000
 #: Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Ranks and symbols that stand for nothing to merge.
@@ -113,6 +114,7 @@ class Codec:
                 lengths.append(len(p.piece.encode()))
         self.surface = surface
         self.lengths = np.array(lengths, np.int64)      # in normalised bytes
+        self.names = list(map(str, range(len(surface))))
         self._pair_table()
         self.memo: dict[str, bytes] = {}
 
@@ -364,26 +366,55 @@ def load_codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
+def _encoded(codec: Codec, batches, limit: int = 1 << 20):
+    """(doc_ids, texts, ids of each text) of every run of rows."""
+    for batch in batches:
+        for part in byte_slices(batch, "text", limit):
+            texts = texts_of(part, "text")
+            yield part.column("doc_id"), texts, codec.encode_many(texts)
+
+
 def _encode_batches(model_file: str, with_spans: bool):
     def run(batches):
         codec = load_codec(model_file)
-        for batch in batches:
-            for part in byte_slices(batch, "text", 1 << 20):
-                texts = texts_of(part, "text")
-                ids = codec.encode_many(texts)
-                offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                columns = [part.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))]
-                names = ["doc_id", "ids"]
-                if with_spans:
-                    spans = [codec.spans(t, i) for t, i in zip(texts, ids)]
-                    both = np.concatenate(spans) if spans else np.zeros((0, 2), np.int64)
-                    for k, name in enumerate(("begins", "ends")):
-                        columns.append(pa.ListArray.from_arrays(
-                            offsets, pa.array(both[:, k].astype(np.int32), pa.int32())))
-                        names.append(name)
-                columns.append(pa.array([codec.decode(i.tolist()) for i in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, [*names, "decoded"])
+        for doc_ids, texts, ids in _encoded(codec, batches):
+            offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            columns = [doc_ids, pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))]
+            names = ["doc_id", "ids"]
+            if with_spans:
+                spans = [codec.spans(t, i) for t, i in zip(texts, ids)]
+                both = np.concatenate(spans) if spans else np.zeros((0, 2), np.int64)
+                for k, name in enumerate(("begins", "ends")):
+                    columns.append(pa.ListArray.from_arrays(
+                        offsets, pa.array(both[:, k].astype(np.int32), pa.int32())))
+                    names.append(name)
+            columns.append(pa.array([codec.decode(i.tolist()) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "decoded"])
+    return run
+
+
+def _hex(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _digest_batches(model_file: str):
+    def run(batches):
+        codec = load_codec(model_file)
+        for doc_ids, texts, ids in _encoded(codec, batches):
+            rows = []
+            for text, found in zip(texts, ids):
+                numbers = found.tolist()
+                # a piece ends where the next one begins
+                spans = codec.spans(text, found)
+                bounds = list(map(str, [*spans[:1, 0].tolist(), *spans[:, 1].tolist()]))
+                rows.append((len(numbers), _hex(",".join(map(codec.names.__getitem__, numbers))),
+                             _hex(codec.decode(numbers)),
+                             _hex(",".join(bounds[:-1]) + ";" + ",".join(bounds[1:]))))
+            n, *digests = zip(*rows) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids, pa.array(n, pa.int64()), *[pa.array(d, pa.string()) for d in digests]],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
     return run
 
 
@@ -397,14 +428,12 @@ def encode_documents(docs: DataFrame, model_file: str, spans: bool = True,
         _encode_batches(model_file, spans), f"doc_id long, ids array<int>, {extra}decoded string")
 
 
-def encoding_digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas) and
-    decoded_sha256 of an encoded table; with spans also spans_sha256 (the
-    pieces' first bytes joined by commas, a semicolon, their end bytes)."""
-    listed = lambda c: F.concat_ws(",", F.col(c).cast("array<string>"))
-    spans = [F.sha2(F.concat_ws(";", listed("begins"), listed("ends")), 256).alias("spans_sha256")] \
-        if "begins" in encoded.columns else []
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed("ids"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), *spans)
+def encoding_digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas),
+    decoded_sha256 and spans_sha256 (the pieces' first bytes joined by commas,
+    a semicolon, their end bytes) of every row's encoding.  The digests are
+    taken where the ids are made, so no list of ids crosses to the JVM."""
+    prepare(docs.sparkSession)
+    return pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
+        _digest_batches(model_file),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_sha256 string")

@@ -100,7 +100,7 @@ def test_tables(spark, library):
         assert (r.n_bytes, r.n_tokens) == (len(text[r.doc_id].encode()), len(library.encode(text[r.doc_id])))
         assert r.over_limit == (r.n_tokens > 4096)
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
-    encoded = encoding_digests(encode_documents(table(spark), MODEL)).collect()
+    encoded = encoding_digests(table(spark), MODEL).collect()
     assert len(encoded) == len(rows())
     for r in encoded:
         ids = library.encode(text[r.doc_id])
