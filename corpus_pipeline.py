@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import prepare, stage
 from ledgerloom.llm.decontaminate import drop_contaminated
 from ledgerloom.llm.quality_cnn import fit, keep_good
-from ledgerloom.llm.sentencepiece_codec import encode_documents, encoding_digests
+from ledgerloom.llm.sentencepiece_codec import encoding_digests
 from ledgerloom.llm.superminhash import one_of_each
 from ledgerloom.llm.surrogates import replace_personal_data
 
@@ -50,7 +50,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids, the decoded texts and the byte spans."""
     prepare(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return encoding_digests(encode_documents(docs, model))
+    return encoding_digests(docs, model)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
