@@ -1,8 +1,11 @@
 """Surrogates for personal data: keyed, type-consistent, distinct, coreferent.
 
 Entities (e-mail, phone, IPv4, card, IBAN, social security number, cloud key,
-secret, person name behind a title) are found by patterns and normalised, so
-all spellings of one entity share one surrogate in the whole corpus.  The
+secret, person name behind a title or beginning with a known given name) are
+found by patterns and normalised, so all spellings of one entity share one
+surrogate in the whole corpus.  A name's gender is settled for a whole text
+from all its mentions, so a person met as "Dr" and as "Mr" keeps one
+surrogate; where both genders share a name it is drawn without gender.  The
 surrogate is drawn by a keyed hash of (kind, normal form, attempt): digits
 become digits, letters letters of the same case and script, separators,
 lengths, prefixes and check digits stay as the format wants, names keep gender
@@ -18,6 +21,9 @@ this ends however many distinct entities there are.  Only the entities on a late
 texts: they are joined by the text's digest, broadcast if their measured
 size is below ``BROADCAST_BYTES`` and by shuffle beyond it.
 
+The key is the caller's, else that of the session setting ``KEY_SETTING``,
+else a random one that lasts as long as the application.
+
 Defined results: null text stays null; texts without entities are unchanged;
 all other columns are kept as they are; repeated rows are treated alike; an
 empty table gives an empty result.
@@ -27,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 import unicodedata
 
 import pyarrow as pa
@@ -36,6 +43,8 @@ from pyspark.sql import functions as F
 from .common import byte_slices, prepare, stage
 
 BROADCAST_BYTES = 4 << 20
+KEY_SETTING = "spark.ledgerloom.surrogateKey"
+_drawn_keys: dict[str, bytes] = {}
 #: Titles by gender (fixed values).
 TITLES = {
     "m": ["Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Signor", "господин", "г-н", "κύριος"],
@@ -45,6 +54,28 @@ TITLES = {
 }
 #: Han titles follow the name.
 HAN_TITLES = {"先生": "m", "女士": "f", "小姐": "f"}
+#: Given names that begin a person's name without a title (fixed values).
+GIVEN = {
+    "m": ["Adam", "Ahmed", "Alexander", "Andreas", "Andrew", "Anthony", "Antonio", "Benjamin", "Brian", "Carlos",
+          "Charles", "Christopher", "Daniel", "David", "Dmitri", "Edward", "Eric", "Fernando", "Francesco", "George",
+          "Giovanni", "Hans", "Henry", "Ivan", "James", "Jan", "Jean", "John", "Jonathan", "Jorge", "Joseph", "Juan",
+          "Kenneth", "Kevin", "Klaus", "Lars", "Luis", "Marco", "Matthew", "Michael", "Miguel", "Mohammed", "Nicholas",
+          "Patrick", "Paul", "Pedro", "Peter", "Pierre", "Piotr", "Richard", "Robert", "Ronald", "Sergei", "Stefan",
+          "Stephen", "Steven", "Thomas", "Timothy", "Vladimir", "William", "Wolfgang"],
+    "f": ["Agnieszka", "Alice", "Amanda", "Andrea", "Angela", "Anna", "Barbara", "Carmen", "Carolyn", "Catherine",
+          "Christine", "Deborah", "Donna", "Dorothy", "Elena", "Elizabeth", "Emily", "Emma", "Fatima", "Hannah", "Helen",
+          "Ingrid", "Isabel", "Jennifer", "Jessica", "Julia", "Karen", "Katarzyna", "Kimberly", "Laura", "Linda", "Lisa",
+          "Lucia", "Margaret", "Maria", "Marie", "Mary", "Michelle", "Monika", "Nancy", "Natalia", "Nicole", "Olga",
+          "Patricia", "Rachel", "Rebecca", "Ruth", "Sandra", "Sarah", "Sofia", "Sophie", "Stephanie", "Susan", "Svetlana",
+          "Teresa", "Ursula", "Valentina", "Yolanda"],
+}
+#: Given names that are words as well: alone at a sentence's start they are
+#: taken for the word (fixed values).
+WORDS_TOO = {"angel", "april", "art", "august", "bill", "bob", "chance", "chase", "dawn", "drew", "earnest", "faith",
+             "frank", "grace", "grant", "guy", "hope", "jack", "joy", "june", "mark", "may", "max", "miles", "pat",
+             "pearl", "penny", "ray", "rich", "rob", "rose", "ruby", "sue", "summer", "violet", "will"}
+_GIVEN = {n: g for g, names in GIVEN.items() for n in names}
+_FIRST = "|".join(sorted(_GIVEN, key=len, reverse=True))
 _GENDER = {t.lower(): g for g, titles in TITLES.items() for t in titles}
 _TITLE = "|".join(sorted((re.escape(t) for ts in TITLES.values() for t in ts), key=len, reverse=True))
 _NAME = r"[^\W\d_][^\W\d_'’-]*(?:[-'’][^\W\d_]+)*"
@@ -56,14 +87,16 @@ PATTERN = re.compile("|".join([
     r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))",
+    r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+    r"|(?<![\w.,+-])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![\w-]|[.,]\d))",
     r"(?P<card>(?<![\w-])[3-6](?:[ -]?\d){12,18}(?!\w))",
     rf"\b(?P<title>{_TITLE})\b\.? (?P<name>{_NAME}(?: {_NAME}){{0,2}})",
+    rf"\b(?P<person>(?:{_FIRST})(?: [A-Z]\.)? {_NAME})",
     r"(?P<han>[一-鿿]{1,3})(?P<hantitle>先生|女士|小姐)",
 ]))
 #: Texts that match none of this hold no entity (linear-time prefilter).
 PREFILTER = (r"[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)|先生|女士|小姐|"
-             rf"(?:^|[^\pL])(?:{_TITLE})[. ]")
+             rf"(?:^|[^\pL])(?:(?:{_TITLE})[. ]|(?:{_FIRST}) )")
 
 
 def _digits(text: str) -> str:
@@ -88,20 +121,40 @@ def script_of(word: str) -> str:
     return next((s for s in ("CYRILLIC", "GREEK", "CJK") if name.startswith(s)), "LATIN")
 
 
+def _begins_sentence(text: str, at: int) -> bool:
+    before = text[max(0, at - 4):at].rstrip(" \t\"'“”‘’(")
+    return not before or before[-1] in ".!?…\n\r"
+
+
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
-    """(begin, end, kind, normal form) of every mention, in order.  A name
-    found behind a title is also found where it stands alone."""
-    found, names = [], {}
-    for m in PATTERN.finditer(text):
+    """(begin, end, kind, normal form) of every mention, in order, none
+    overlapping.  The words of a name are also found where they stand alone;
+    at a sentence's start a word is left that the text also has in lower case,
+    or a given name out of ``WORDS_TOO``."""
+    found, people, given = [], [], set()
+
+    def person(begin: int, end: int, gender: str) -> None:
+        words = [w for w in re.finditer(r"[^ ]+", text[begin:end]) if not w[0].endswith(".")]
+        upper = next((k for k, w in enumerate(words) if not w[0][0].isupper()), len(words))
+        words = words[:upper]
+        if words and gender == "n":
+            gender = _GIVEN.get(words[0][0], "n")
+        people.extend((begin + w.start(), begin + w.end(), w[0], gender) for w in words)
+        given.update(w[0] for w in words[:-1])
+
+    at, size = 0, len(text)
+    while at < size and (m := PATTERN.search(text, at)):
+        at = m.end()
         kind = m.lastgroup
         if kind == "name":
-            gender, at = _GENDER[m["title"].lower()], m.start("name")
-            for word in m["name"].split(" "):
-                if not word[0].isupper():
-                    break
-                names[word] = f"{gender}:{word.casefold()}"
-                found.append((at, at + len(word), "name", names[word]))
-                at += len(word) + 1
+            person(*m.span("name"), _GENDER[m["title"].lower()])
+            continue
+        if kind == "person":
+            words = m["person"].split(" ")
+            if words[-1][0].isupper():
+                person(*m.span("person"), _GIVEN[words[0]])
+            else:                      # the next word may begin a name of its own
+                at = m.start() + len(words[0])
             continue
         if kind == "hantitle":
             word = m["han"]
@@ -130,14 +183,30 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
         else:
             normal = value
         found.append((*m.span(kind), kind, normal))
-    if names:
-        taken = {i for a, b, _, _ in found for i in range(a, b)}
-        alone = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
+    if people:
+        genders: dict[str, set[str]] = {}
+        for _, _, word, gender in people:
+            genders.setdefault(word.casefold(), set()).add(gender)
+        normal_of = {}
+        for _, _, word, _ in people:
+            sure = genders[word.casefold()] - {"n"}
+            normal_of[word] = f"{sure.copy().pop() if len(sure) == 1 else 'n'}:{word.casefold()}"
+        found += [(begin, end, "name", normal_of[word]) for begin, end, word, _ in people]
+        taken = {i for begin, end, _, _ in found for i in range(begin, end)}
+        words = set(re.findall(r"[^\W\d_]+", text))
+        alone = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(normal_of, key=len, reverse=True))) + r")(?!\w)")
         for m in alone.finditer(text):
-            if m.start() not in taken:
-                found.append((m.start(), m.end(), "name", names[m[0]]))
+            low = m[0].lower()
+            word = low in words or (m[0] in given and low in WORDS_TOO)
+            if m.start() not in taken and not (word and _begins_sentence(text, m.start())):
+                found.append((m.start(), m.end(), "name", normal_of[m[0]]))
         found.sort()
-    return found
+    out, at = [], 0
+    for mention in found:
+        if mention[0] >= at:
+            out.append(mention)
+            at = mention[1]
+    return out
 
 
 class Draws:
@@ -212,7 +281,9 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int) -> str:
     if kind == "phone":
         lead, rest = normal.split(":")
         out = "".join(draws.of(_DIGITS) for _ in rest + more)
-        if len(rest) == 10:            # area code and exchange never begin with 0 or 1
+        if rest[:1] == "0":            # a trunk prefix stays
+            out = "0" + draws.of("123456789") + out[2:]
+        elif len(rest) == 10:          # area code and exchange never begin with 0 or 1
             fixed = rest[3:6] if rest[3:6] == "555" else draws.of("23456789") + out[4:6]
             out = draws.of("23456789") + out[1:3] + fixed + out[6:]
         return f"{lead}:{out}"
@@ -257,8 +328,6 @@ def replace_entities(text: str, key: bytes, attempts: dict[str, int]) -> tuple[s
     found = find_entities(text)
     parts, at = [], 0
     for begin, end, kind, normal in found:
-        if begin < at:
-            continue
         new = surrogate(key, kind, normal, attempts.get(f"{kind}\0{normal}", 0))
         parts += [text[at:begin], written(kind, text[begin:end], new)]
         at = end
@@ -330,11 +399,20 @@ def _apply(key: bytes, names: list[str], text: str):
     return run
 
 
-def replace_personal_data(docs: DataFrame, key: bytes = b"ledgerloom", text: str = "text") -> DataFrame:
+def session_key(spark) -> bytes:
+    """The session setting's key, else a random one for this application."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else _drawn_keys.setdefault(
+        spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def replace_personal_data(docs: DataFrame, key: bytes | None = None, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in its text column, and one more column,
     ``n_entities`` (mentions replaced; it takes the place of a column of that
-    name)."""
+    name).  The same key gives the same surrogates; without one it is
+    ``session_key``."""
     prepare(docs.sparkSession)
+    key = hashlib.sha256(key or session_key(docs.sparkSession)).digest()
     names = [c for c in docs.columns if c != "n_entities"]
     body = F.col(f"`{text}`")
     found = stage(docs.select(body.alias("text"), F.md5(body).alias("digest")).mapInArrow(

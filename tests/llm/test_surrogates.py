@@ -1,7 +1,7 @@
 import re
 
 from corpus_helpers import empty, rows, table
-from ledgerloom.llm.surrogates import (_iban_valid, _luhn, assign, find_entities, replace_entities,
+from ledgerloom.llm.surrogates import (KEY_SETTING, _iban_valid, _luhn, assign, find_entities, replace_entities,
                                        replace_personal_data, script_of, surrogate, written)
 from pyspark.sql import functions as F
 
@@ -109,3 +109,36 @@ def test_no_kind_keeps_a_fixed_space():
         assert sizes == sorted(sizes) and sizes[0] < sizes[1] < sizes[3], kind
     assert written("ssn", "078-05-1120", "91234567890") == "912-34-567890"
     assert _iban_valid(surrogate(KEY, "iban", "DE89370400440532013000", 16))
+
+
+def test_one_person_under_several_titles():
+    new, count = replace_entities("Dr. Smith met. Mr. Smith and Smith left.", KEY, {})
+    first, second, third = re.fullmatch(r"Dr\. (\w+) met\. Mr\. (\w+) and (\w+) left\.", new).groups()
+    assert first == second == third != "Smith" and count == 3
+    new, _ = replace_entities("Mr Jones and Mrs Jones.", KEY, {})
+    assert len(set(re.findall(r"Mr (\w+) and Mrs (\w+)", new)[0])) == 1
+
+
+def test_words_that_are_names_too():
+    new, count = replace_entities("Mr. Will Brown came. Will you go? The brown dog. Brown bread. He saw Brown.", KEY, {})
+    assert " came. Will you go? The brown dog. Brown bread. He saw " in new and not new.endswith("Brown.") and count == 3
+
+
+def test_names_without_titles_and_local_phones():
+    new, count = replace_entities("John Smith wrote to Anna Kowalska at 020 7946 0958; Smith waits.", KEY, {})
+    assert count == 6 and re.search(r" at 0\d\d \d{4} \d{4}; (\w+) waits", new)[1] in new.split(" wrote")[0]
+    assert not any(w in new for w in ("John", "Smith", "Anna", "Kowalska", "7946"))
+    for text in ("John went home.", "Anna and Maria", "in 020 days"):
+        assert replace_entities(text, KEY, {}) == (text, 0)
+    assert "Anna" not in replace_entities("John met. John Anna Kowalska", KEY, {})[0]
+
+
+def test_keys(spark):
+    docs = spark.createDataFrame([(1, "Mr Smith, a@b.org")], "doc_id long, text string")
+    drawn = {k: replace_personal_data(docs, k).first().text for k in (None, b"a", b"b")}
+    assert len(set(drawn.values())) == 3 and drawn[None] == replace_personal_data(docs).first().text
+    spark.conf.set(KEY_SETTING, "a")
+    try:
+        assert replace_personal_data(docs).first().text == drawn[b"a"]
+    finally:
+        spark.conf.unset(KEY_SETTING)
