@@ -284,14 +284,17 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
         .unionByName(kept.where("root is null").select("doc_id", "text_key", worded))
     keep = stage(keep.distinct().select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key"),
                                         "_keep_worded"), "keep")
-    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_keep_id")) \
-        & F.xxhash64(F.col(f"`{text}`")).eqNullSafe(F.col("_keep_key"))
+
+    def kept_of(some: DataFrame) -> DataFrame:
+        # columns named by their table: docs may have columns of the same names
+        return docs.join(some, docs[f"`{doc_id}`"].cast("long").eqNullSafe(some["_keep_id"])
+                         & F.xxhash64(docs[f"`{text}`"]).eqNullSafe(some["_keep_key"]), "left_semi")
     repeated = groups.where("root is not null").groupBy("doc_id", "text_key").count().where("count > 1")
     if repeated.isEmpty():
-        return docs.join(keep, same, "left_semi")
+        return kept_of(keep)
     # only rows of a group are repeats of each other
-    return docs.join(keep.where("_keep_worded"), same, "left_semi").dropDuplicates([doc_id, text]).unionByName(
-        docs.join(keep.where("not _keep_worded"), same, "left_semi"))
+    return kept_of(keep.where("_keep_worded")).dropDuplicates([doc_id, text]).unionByName(
+        kept_of(keep.where("not _keep_worded")))
 
 
 def _texts(rows: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:

@@ -127,3 +127,12 @@ def test_components_of_long_paths_and_stars(spark):
     got = {r.vertex: r.root for r in components(frame).collect()}
     assert got == {**{i: 0 for i in range(1, 201)}, **{1000 + i: 1000 for i in range(1, 300)}, 5001: 5000}
     assert components(frame.limit(0)).collect() == []
+
+
+def test_one_of_each_beside_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "a b c d e f g"), (3, "")],
+                                 "doc_id long, text string").selectExpr(
+        "*", "1 AS _keep_id", "2 AS _keep_key", "true AS _keep_worded")
+    got = one_of_each(docs)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 3]
+    assert sorted(r.doc_id for r in one_of_each(docs.where("doc_id > 1")).collect()) == [2, 3]
