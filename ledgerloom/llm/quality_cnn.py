@@ -9,8 +9,10 @@ features are every channel's maximum and mean over its chunks; a logistic
 layer turns them into one probability.
 
 Training is bounded: ``sample_rows`` labelled rows of each class, chosen by a
-hash of the id, give ``SAMPLE_CHUNKS`` evenly spread chunks each; only these go
-to the driver, where the small network is fitted.  The output is shifted to
+hash of the id (of an id's several texts the one with the smallest digest),
+give at most ``chunks`` evenly spread chunks each; only these go to the driver,
+where the small network is fitted, so ``2 * sample_rows * chunks`` chunks of
+512 bytes bound it.  The output is shifted to
 the labels' true class ratio, counted over all labels.  Scoring reads every
 byte of every row.  Inputs of a score are the text's bytes, nothing else.
 
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, pick, prepare, utf8_buffer
 
 DEPTH, FILTERS, WIDTH, STEP = 8, 32, 8, 4
-SEGMENT, LAGS, SAMPLE_CHUNKS = 128, 24, 6
+SEGMENT, LAGS = 128, 24
 CHUNK = 4 * SEGMENT
 #: Scale of the repeat channel, near that of the filters' responses.
 REPEAT_SCALE = 6.0
@@ -123,10 +125,10 @@ def probabilities(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndar
     return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
-def sample_chunks(raw: np.ndarray) -> np.ndarray:
-    """SAMPLE_CHUNKS evenly spread chunks of one document (short documents:
+def sample_chunks(raw: np.ndarray, chunks: int) -> np.ndarray:
+    """At most ``chunks`` evenly spread chunks of one document (short documents:
     what there is, zero-padded)."""
-    count = min(SAMPLE_CHUNKS, max(1, -(-len(raw) // CHUNK)))
+    count = min(chunks, max(1, -(-len(raw) // CHUNK)))
     at = np.linspace(0, max(0, len(raw) - CHUNK), count).astype(np.int64)
     out = np.zeros((count, CHUNK), np.uint8)
     for k, a in enumerate(at):
@@ -197,18 +199,21 @@ def train(samples: list[tuple[bytes, int]], prior: float, seed: int = 7, epochs:
     return Model(embed, filters, bias, dense, float(offset[0] + np.log(prior / (1 - prior))))
 
 
-def _sample(batches):
-    for batch in batches:
-        for part in byte_slices(batch, "text"):
-            raw, at = utf8_buffer(part, "text")
-            yield pa.RecordBatch.from_arrays([
-                pa.array([sample_chunks(raw[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
-                part.column("label")], ["chunks", "label"])
+def _sample(chunks: int):
+    def run(batches):
+        for batch in batches:
+            for part in byte_slices(batch, "text"):
+                raw, at = utf8_buffer(part, "text")
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([sample_chunks(raw[a:b], chunks).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+                    part.column("label")], ["chunks", "label"])
+    return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1500, doc_id: str = "doc_id", text: str = "text",
-        label: str = "quality") -> Model:
-    """The network fitted to at most ``sample_rows`` labelled rows a class."""
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1500, chunks: int = 6,
+        doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
+    """The network fitted to at most ``sample_rows`` labelled rows a class, of
+    each at most ``chunks`` chunks spread over the whole text."""
     known = pick(labels, doc_id=doc_id, label=label).where(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(
         F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").select("doc_id", "label")
@@ -221,9 +226,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1500, doc_id: str
         some = known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(sample_rows)
         ids = some if ids is None else ids.unionByName(some)
     # 2 * sample_rows ids: bounded, so they may be broadcast and their chunks collected
-    rows = pick(docs, doc_id=doc_id, text=text).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    cut = rows.select("text", "label").mapInArrow(_sample, "chunks binary, label int")
+    rows = pick(docs, doc_id=doc_id, text=text).join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(
+        F.min_by("text", F.struct(F.md5("text"), F.xxhash64("text"))).alias("text"), F.first("label").alias("label"))
+    cut = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(
+        _sample(chunks), "chunks binary, label int")
     got = sorted((bytes(r["chunks"]), r["label"]) for r in cut.collect())
     if len({y for _, y in got}) < 2:
         return Model(*[np.zeros(0)] * 4, 0.0, constant=ratio[1] / total)

@@ -56,3 +56,36 @@ def test_filter_keeps_columns(spark):
     kept = q.keep_good(table(spark), q.Model(*[np.zeros(0)] * 4, 0.0, constant=0.5))
     assert kept.columns == table(spark).columns and kept.count() == len(rows())
     assert q.keep_good(table(spark), q.Model(*[np.zeros(0)] * 4, 0.0, constant=0.1)).count() == 0
+
+
+def test_features_against_a_plain_forward_pass():
+    model, rng = _model(), np.random.default_rng(1)
+    for text in (b"", b"hi", b"word " * 300, bytes(rng.integers(1, 256, 2000, dtype=np.uint8))):
+        raw = np.frombuffer(text, np.uint8)
+        n_segments = -(-(len(raw) + 32) // q.SEGMENT)
+        data = np.zeros(n_segments * q.SEGMENT, np.uint8)
+        data[:len(raw)] = raw
+        flags = q.repeats(np.append(data, np.zeros(q.WIDTH, np.uint8)))
+        chunks = []
+        for first in range(0, max(1, n_segments - 1), 3):
+            begin, end = first * q.SEGMENT, min((first + 4) * q.SEGMENT, len(data))
+            tops = np.full(q.FILTERS, -np.inf)
+            for at in range(begin, end, q.STEP):
+                if at + q.WIDTH <= len(data):
+                    tops = np.maximum(tops, model.embed[data[at:at + q.WIDTH]].reshape(-1) @ model.filters)
+            share = q.REPEAT_SCALE * flags[begin:end].sum() / min(max(len(raw) - begin, 1), q.CHUNK)
+            chunks.append([*np.maximum(tops + model.bias, 0), share])
+        want = np.concatenate([np.max(chunks, axis=0), np.mean(chunks, axis=0)])
+        got = q.features(model, raw, np.array([0, len(raw)]))[0]
+        assert np.allclose(got, want, atol=1e-3), text[:10]
+
+
+def test_an_id_with_two_texts_trains_alike(spark):
+    docs = [(i, ("good clean words " if i % 2 else "### $$$ bad ") * (i % 5 + 1)) for i in range(1, 60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+    twice = docs + [(i, "another text") for i, _ in docs]
+    models = []
+    for rows_ in (twice, twice[::-1]):
+        frame = spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)
+        models.append(q.fit(frame, labels))
+    assert np.array_equal(models[0].filters, models[1].filters) and np.array_equal(models[0].dense, models[1].dense)
