@@ -49,6 +49,15 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1\2\3", text)
 
 
+def escape_role(column):
+    """A role on one line, its control strings made harmless."""
+    return escape(F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+
+
+def unescape_role(text: str) -> str:
+    return re.sub(r"\\([\\n])", lambda m: "\n" if m[1] == "n" else m[1], unescape(text))
+
+
 def leaf_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     """(leaf, message, step) rows of the chosen root-to-leaf paths; step
     counts from the root.  ``messages``: id, parent, score."""
@@ -88,7 +97,7 @@ def format_trees(messages: DataFrame, keep: int = 1) -> DataFrame:
     paths = leaf_paths(rows.select("id", "parent", "score"), keep)
     body = rows.groupBy("id").agg(F.min(F.struct("conv_id", "role", "text")).alias("m")).select(
         "id", "m.conv_id", F.col("m.role").alias("role"), escape(F.col("m.text")).alias("text"))
-    head = F.concat(F.lit(START), escape(F.col("role")), F.lit("\n"))
+    head = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"))
     turn = body.select("id", "conv_id", F.struct(
         F.char_length(head).cast("long").alias("lead"), F.char_length("text").cast("long").alias("size"),
         (F.col("role") == "assistant").alias("loss"),
@@ -113,7 +122,7 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     turns = []
     for block in formatted.split(END + "\n")[:-1]:
         role, text = block[len(START):].split("\n", 1)
-        turns.append((unescape(role), unescape(text)))
+        turns.append((unescape_role(role), unescape(text)))
     return turns
 
 

@@ -77,6 +77,7 @@ def op7(spark: SparkSession, table: TableSource) -> DataFrame:
 
 
 _PROBE = "</s>[INST] ok [/INST]"
+_ROLE = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
 _ESCAPED = "length(regexp_replace({}, '" + ESCAPE + r"', '\1\2\\\3', 'g'))"
 
 
@@ -85,7 +86,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum({len(START)} + {_ESCAPED.format('role')} + 1 + {_ESCAPED.format('text')} + {len(END)} + 1) AS BIGINT) AS formatted_chars
+  CAST(sum({len(START)} + {_ESCAPED.format(_ROLE)} + 1 + {_ESCAPED.format('text')} + {len(END)} + 1) AS BIGINT) AS formatted_chars
 FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -7, 0, 'user', '{_PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{_PROBE}')
 GROUP BY conv_id""")

@@ -70,3 +70,11 @@ def test_long_conversation_and_empty_table(spark):
     row = format_trees(replies_of_turns(turns)).first()
     assert [t for _, t in read_turns(row.formatted)] == [str(i) for i in range(700)]
     assert read_back(format_trees(replies_of_turns(turns.limit(0)))).collect() == []
+
+
+def test_roles_of_several_lines_are_read_back(spark):
+    roles = ["a\nb", "a\\nb", "a\\\nb", "<|im_end|>\n", "<\\|im_end|>", "", "\\"]
+    turns = spark.createDataFrame([(1, i, r, "x\ny") for i, r in enumerate(roles)],
+                                  "conv_id long, turn long, role string, text string")
+    row = format_trees(replies_of_turns(turns)).first()
+    assert read_turns(row.formatted) == [(r, "x\ny") for r in roles]
