@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values: the snapshot's check columns ----------------------------
@@ -108,10 +108,41 @@ def policy_as_of(history: DataFrame, ts) -> DataFrame:
 def point_in_time_join(facts: DataFrame, history: DataFrame, ts_col: str,
                        key: str = "policy_sk") -> DataFrame:
     """D8 as a join: each fact row gets the policy version valid at its own
-    timestamp.  Equi-join on the key (versions per key are few) plus the
-    range predicate; no cross product."""
-    h = history.select(F.col(key).alias("pit_key"),
-                       *[F.col(c).alias(f"pit_{c}") for c in history.columns if c != key])
-    t = F.col(ts_col).cast("timestamp_ntz")
-    cond = ((F.col(key) == F.col("pit_key")) & (F.col("pit_valid_from") <= t) & (t < F.col("pit_valid_to")))
-    return facts.join(h, cond, "left").drop("pit_key")
+    timestamp (``pit_*`` columns, null if there is none).
+
+    An as-of join without a range join: versions and facts of a key and month
+    are sorted together and every fact takes the last version before it, so a
+    key with many versions is not expanded.  A month also starts with the
+    version that the months before it left behind (a running last over one
+    row a key and month), so a hot key is spread over its months.  Facts
+    without key or time never meet a version and are not shuffled.  The
+    versions of a key do not overlap; empty ones (``valid_from`` not before
+    ``valid_to``) are left out."""
+    carried = [c for c in history.columns if c != key]
+    month = F.trunc(F.col("at").cast("date"), "month").alias("month")
+    v = (history.where(F.col(key).isNotNull() & (F.col("valid_from") < F.col("valid_to")))
+         .select(F.col(key).alias("k"), F.col("valid_from").cast("timestamp_ntz").alias("at"),
+                 F.struct(*[F.col(f"`{c}`") for c in carried]).alias("v")).select("*", month))
+    f = facts.select(F.col(key).alias("k"), F.col(ts_col).cast("timestamp_ntz").alias("at"),
+                     F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("f")).select("*", month)
+    placed = F.col("k").isNotNull() & F.col("at").isNotNull()
+    nothing = F.lit(None).cast(v.schema["v"].dataType)
+    ends = v.groupBy("k", "month").agg(F.max_by("v", F.struct("at", "v.valid_to")).alias("v"))
+    months = f.where(placed).select("k", "month").distinct().select("*", nothing.alias("v"))
+    before = Window.partitionBy("k").orderBy("month").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # the range frame takes a month's own end in: the step back is a lag over months
+    steps = ends.unionByName(months).groupBy("k", "month").agg(F.first("v", ignorenulls=True).alias("v"))
+    left = steps.withColumn("v", F.last("v", ignorenulls=True).over(before)).withColumn(
+        "v", F.lag("v").over(Window.partitionBy("k").orderBy("month")))
+    none = F.lit(None).cast(f.schema["f"].dataType).alias("f")
+    rows = (f.where(placed).select("k", "month", "at", F.lit(2).alias("kind"), "f", nothing.alias("v"))
+            .unionByName(v.select("k", "month", "at", F.lit(1).alias("kind"), none, "v"))
+            .unionByName(left.where("v is not null").select(
+                "k", "month", F.col("month").cast("timestamp_ntz").alias("at"), F.lit(0).alias("kind"), none, "v")))
+    so_far = Window.partitionBy("k", "month").orderBy("at", "kind", "v.valid_to").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    met = rows.withColumn("v", F.last("v", ignorenulls=True).over(so_far)).where("f is not null").select(
+        "f", F.when(F.col("at") < F.col("v.valid_to"), F.col("v")).alias("v"))
+    met = met.unionByName(f.where(~placed).select("f", nothing.alias("v")))
+    return met.select(*[F.col("f").getField(c).alias(c) for c in facts.columns],
+                      *[F.col("v").getField(c).alias(f"pit_{c}") for c in carried])

@@ -379,6 +379,21 @@ def g3_priv(spark, sf):
     return G.masked_view(wh(spark, sf).dim_client, role="FR_ENGINEER")
 
 
+@register("g3_masked_lineage", """
+SELECT company, count(*) AS clients, count(birth_date) AS with_birth_date,
+  CAST(date_trunc('year', min(birth_date)) AS DATE) AS eldest, CAST(NULL AS INTEGER) AS latest_birth_year,
+  '***MASKED***' AS first_surname
+FROM dim_client GROUP BY company""")
+def g3_lineage(spark, sf):
+    """A view over the clients whose derived columns are masked without being
+    listed: its columns have names that no column policy knows."""
+    view = wh(spark, sf).dim_client.groupBy("company").agg(
+        F.count(F.lit(1)).alias("clients"), F.count("birth_date").alias("with_birth_date"),
+        F.min("birth_date").alias("eldest"), F.max(F.year("birth_date")).alias("latest_birth_year"),
+        F.min("client_surname").alias("first_surname"))
+    return G.masked_lineage(view, role="FR_ANALYST")
+
+
 @register("g4_tenant_row_filter", """
 SELECT * FROM mart_finance WHERE company IN ('MAIN_BOOK', 'HORIZON_ASSURANCE')""")
 def g4(spark, sf):

@@ -113,3 +113,25 @@ def test_distinct_sets_roll_up(spark):
         for dims in (["a", "b"], ["a"], ["b"], []):
             want = rows.groupBy(*dims).agg(F.count_distinct("client").alias("n")).where("n > 0")
             assert sorted(map(str, distinct_counts(sets, dims, "n").collect())) == sorted(map(str, want.collect()))
+
+
+def test_masks_follow_the_lineage(spark, wh):
+    clients = wh.dim_client
+    view = clients.select(
+        "client_sk", F.col("birth_date").alias("born"), F.year("birth_date").alias("birth_year"),
+        F.date_add("birth_date", 1).alias("day_after"), F.concat("client_first_name", F.lit("!")).alias("greeting"))
+    assert G.derived_columns(view, G.DIM_CLIENT_POLICY) == ["born", "birth_year", "day_after", "greeting"]
+    row = G.masked_lineage(view, "FR_ANALYST").where("born is not null").first()
+    assert row.birth_year is None and row.greeting == "***MASKED***" and (row.born.month, row.day_after.day) == (1, 1)
+    assert G.masked_lineage(view, "ACCOUNTADMIN") is view
+    totals = view.groupBy("client_sk").agg(F.max("birth_year").alias("top"), F.count("born").alias("n"))
+    joined = totals.unionByName(clients.selectExpr("client_sk", "0 AS top", "1L AS n")).join(
+        wh.valuations_keyed.select("client_sk", "fund_sk"), "client_sk")
+    assert G.derived_columns(joined, G.DIM_CLIENT_POLICY) == ["top"]
+    clients.createOrReplaceTempView("lineage_clients")
+    said = spark.sql("""select fund_type, (select min(birth_date) from lineage_clients) as eldest, w, n
+        from (select fund_type, row_number() over (order by fund_sk) as w, 1 as n from f)""".replace("from f)", "from values ('a', 1) t(fund_type, fund_sk))"))
+    assert G.derived_columns(said, G.DIM_CLIENT_POLICY) == ["eldest"]
+    exploded = view.select("client_sk", F.explode(F.split("greeting", "")).alias("letter"))
+    assert G.derived_columns(exploded, G.DIM_CLIENT_POLICY) == ["letter"]
+    spark.catalog.dropTempView("lineage_clients")

@@ -89,3 +89,27 @@ def test_point_in_time_join_picks_the_version_valid_then(spark):
         "fact string, policy_sk string, ts string")
     out = {r.fact: r.pit_policy_status for r in scd.point_in_time_join(facts, history, "ts").collect()}
     assert out == {"f1": "A", "f2": "B", "f3": None, "f4": None}   # every fact row kept once
+
+
+def test_point_in_time_join_equals_the_range_join_on_a_hot_key(spark):
+    # one key with many versions (gaps and an empty one among them), facts before, between and behind them
+    history = spark.range(20_000).selectExpr(
+        "if(id < 19000, 'hot', concat('k', id % 50)) AS policy_sk", "concat('s', id) AS policy_status",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id * 90) AS valid_from",
+        "timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id * 90 + if(id % 7 = 0, 0, 60)) AS valid_to")
+    history = history.where("policy_sk = 'hot'").unionByName(spark.range(50).selectExpr(
+        "concat('k', id) AS policy_sk", "'one' AS policy_status", "timestamp_ntz'2020-03-01 00:00:00' AS valid_from",
+        "timestamp_ntz'9999-12-31 00:00:00' AS valid_to"))
+    facts = spark.range(6_000).selectExpr(
+        "id", "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN concat('k', id % 60) END AS policy_sk",
+        "if(id % 11 = 0, NULL, timestamp_ntz'2019-12-25 00:00:00' + make_interval(0, 0, 0, 0, 0, id * 400)) AS valid_from")
+    got = scd.point_in_time_join(facts, history, "valid_from")
+    assert got.columns == ["id", "policy_sk", "valid_from", "pit_policy_status", "pit_valid_from", "pit_valid_to"]
+    h = history.alias("h")
+    want = facts.alias("f").join(h, F.expr(
+        "f.policy_sk = h.policy_sk AND h.valid_from <= f.valid_from AND f.valid_from < h.valid_to"), "left").select(
+        "f.*", *[F.col(f"h.{c}").alias(f"pit_{c}") for c in ("policy_status", "valid_from", "valid_to")])
+    key = lambda rows: sorted(map(str, rows.collect()))
+    assert key(got) == key(want) and got.where("pit_policy_status is not null").count() > 1000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
