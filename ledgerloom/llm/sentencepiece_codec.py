@@ -35,7 +35,7 @@ from .common import byte_slices, pick, prepare, texts_of
 
 SPACE = "▁"
 #: Pre-tokens remembered by a worker; beyond it the memory starts anew.
-MEMO = 200_000
+MEMO = 400_000
 #: Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Ranks and symbols that stand for nothing to merge.
@@ -366,7 +366,7 @@ def load_codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
-def _encoded(codec: Codec, batches, limit: int = 1 << 20):
+def _encoded(codec: Codec, batches, limit: int = 2 << 20):
     """(doc_ids, texts, ids of each text) of every run of rows."""
     for batch in batches:
         for part in byte_slices(batch, "text", limit):
@@ -407,7 +407,9 @@ def _digest_batches(model_file: str):
                 numbers = found.tolist()
                 # a piece ends where the next one begins
                 spans = codec.spans(text, found)
-                bounds = list(map(str, [*spans[:1, 0].tolist(), *spans[:, 1].tolist()]))
+                places = [*spans[:1, 0].tolist(), *spans[:, 1].tolist()]
+                short = not places or places[-1] < len(codec.names)
+                bounds = list(map(codec.names.__getitem__ if short else str, places))
                 rows.append((len(numbers), _hex(",".join(map(codec.names.__getitem__, numbers))),
                              _hex(codec.decode(numbers)),
                              _hex(",".join(bounds[:-1]) + ";" + ",".join(bounds[1:]))))
