@@ -73,3 +73,31 @@ def test_an_order_that_descends_on_a_string_is_not_cut_there(spark):
     # and a grain of which every row is met at most once is numbered without cuts
     one = spark.range(50).select(F.col("id").alias("k"), F.col("id"))
     assert {r["_row_in_grain"] for r in row_in_grain(one, ["k"], [Order("id")]).collect()} == {1}
+
+
+def test_no_single_task_draws_the_sample(spark, monkeypatch):
+    """The sample ends in one partition, the rows it is drawn from do not."""
+    from ledgerloom.operators import numbering
+    staged, write = [], numbering.stage
+    monkeypatch.setattr(numbering, "stage", lambda df, name: staged.append((name, df)) or write(df, name))
+    df = spark.range(0, 4000, 1, 8).select((F.col("id") % 2).alias("k"), "id")
+    row_in_grain(df, ["k"], [Order("id")])
+    plan = dict(staged)["numbering-sample"]._jdf.queryExecution().executedPlan().toString()
+    assert "Sample" in plan and "Coalesce" not in plan
+
+
+def test_a_suite_builds_only_the_tables_it_names():
+    from ledgerloom.operators.quality import DataTest
+    from ledgerloom.queries.quality import core_tables
+
+    class Built:
+        def __init__(self):
+            self.names = []
+
+        def __getattr__(self, name):
+            self.names.append(name)
+            return name
+    w = Built()
+    tests = [DataTest("unique", "dim_client", ("client_sk",)),
+             DataTest("relationships", "fct_valuations", ("fund_sk",), to="dim_fund", field="fund_sk")]
+    assert set(core_tables(w, tests)) == set(w.names) == {"dim_client", "fct_valuations", "dim_fund"}
