@@ -79,3 +79,32 @@ def test_alert_stops_at_first_hit(spark):
     from ledgerloom.operators import quarantine as Q
     q = spark.createDataFrame([("p", None)], "pipe_name string, captured_at timestamp_ntz")
     assert "Limit" in plan(Q.alert(q, "2024-01-01 00:00:00"))
+
+
+def test_the_line_feeds_share_one_stored_join(spark, tmp_path):
+    from ledgerloom.sources import fixtures
+    from ledgerloom.sources.tables import TableSource
+    t = TableSource(spark, SF_SMALL + "/")
+    plans = [fixtures.stored_landing(t, shape, v).select("policy_number")._jdf.queryExecution().executedPlan().toString()
+             for shape in fixtures.LINE_SHAPES for v in (0, 1)]
+    assert not any("Join" in p for p in plans) and len({f for f in fixtures.stored_landing(t, "valuations").inputFiles()}
+                                                       ^ set(fixtures.stored_landing(t, "investment_transactions", 1).inputFiles())) == 0
+    for shape in fixtures.LINE_SHAPES:                 # the same rows as the join itself gives
+        for v in (0, 1):
+            rows, want = fixtures.stored_landing(t, shape, v), fixtures.SHAPE_BUILDERS[shape](t, v)
+            assert rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+
+
+def test_a_table_of_column_checks_only_is_not_written(spark, monkeypatch):
+    from ledgerloom.operators import quality
+    from ledgerloom.operators.quality import DataTest
+    monkeypatch.setattr(quality, "stage", lambda *a: pytest.fail("a table was written"))
+    t = {"t": spark.range(10).selectExpr("id a", "if(id < 3, null, id % 2) b"), "p": spark.range(1).selectExpr("id b")}
+    got = quality.run_tests(t, [DataTest("not_null", "t", (x,), label=f"n_{x}") for x in "ab"])
+    assert {r.test_name: r.failures for r in got.collect()} == {"n_a": 0, "n_b": 3}
+    # orphans are counted by the row, though they meet their parents once a value
+    for parent, failures in (({"p": t["p"]}, 4), ({"p": spark.range(2).selectExpr("id b")}, 0)):
+        got = quality.run_tests(t | parent, [DataTest("relationships", "t", ("b",), to="p", field="b")], materialise=False)
+        assert got.first().failures == failures
+    plan_ = plan(quality.run_tests(t, [DataTest("relationships", "t", ("b",), to="p", field="b")], materialise=False))
+    assert "LeftAnti" in plan_ and "HashAggregate" in plan_.split("LeftAnti")[0]
