@@ -94,3 +94,34 @@ def test_unchanged_buckets_keep_their_files(spark, tmp_path):
         seen.append(files())
     changed = [[b for b in after if after[b] != before.get(b)] for before, after in zip(seen, seen[1:])]
     assert len(changed[0]) == 1 and len(changed[1]) <= 2 and len(seen[-1]) == 8
+
+
+def test_a_run_exchanges_packed_digests_and_no_whole_bucket(spark, tmp_path, monkeypatch):
+    """No whole candidate, version or bucket is staged or exchanged."""
+    from ledgerloom.plans import buckets
+    staged, writes = [], []
+    stage, write = buckets.stage, buckets.write
+    monkeypatch.setattr(buckets, "stage", lambda df, name: staged.append(df.columns) or stage(df, name))
+    monkeypatch.setattr(buckets, "write", lambda df, *a: writes.append(df._jdf.queryExecution().executedPlan().toString())
+                        or write(df, *a))
+    store = TableStore(spark, str(tmp_path / "s"), buckets=4)
+    hub = KeySet(store, "hub", "hk")
+    for i, run in enumerate(RUNS[:2]):
+        hub.append(keys(spark, 0, 1_000 + i), run)
+        versions = keys(spark, 0, 1_000).select("hk", ts(run).alias("load_dts"), "v", F.md5(F.when(
+            F.col("v") == 7, F.lit(run)).otherwise(F.col("v").cast("string"))).alias("hashdiff"))
+        append_versions(store, "sat", "hk", versions, run)
+        store.publish(run)
+    assert [r.v for r in store.current("hub", RUNS[1]).collect()] == [1_000]
+    assert [r.v for r in store.current("sat", RUNS[1]).collect()] == [7]
+    assert BucketState(store, "sat/current", "hk").read().count() == 1_000
+    assert staged and all(set(c) <= {"_k0", "_k1"} for c in staged)
+    assert writes and not any("REPARTITION_BY_COL" in p for p in writes)
+
+
+def test_packed_keys_meet_only_their_equals(spark):
+    from ledgerloom.plans.buckets import packed
+    digest = "6162636465666768696a6b6c6d6e6f70"
+    texts = [digest, digest.upper(), "abcdefghijklmnop", "", "k1", None, digest[:-1], digest + "0"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(packed("t").alias("p")).collect()
+    assert len({bytes(r.p) for r in rows}) == len(texts) and len(rows[0].p) == 16
