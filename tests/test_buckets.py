@@ -125,3 +125,14 @@ def test_packed_keys_meet_only_their_equals(spark):
     texts = [digest, digest.upper(), "abcdefghijklmnop", "", "k1", None, digest[:-1], digest + "0"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(packed("t").alias("p")).collect()
     assert len({bytes(r.p) for r in rows}) == len(texts) and len(rows[0].p) == 16
+
+
+def test_the_probe_hashes_no_key_for_null_checks(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"), buckets=4)
+    hub = KeySet(store, "hub", "hk")
+    hub.append(keys(spark, 0, 100), RUNS[0])
+    store.publish(RUNS[0])
+    rows = spark.range(50).selectExpr("cast(id % 9 as string) n").distinct().select(F.md5("n").alias("hk")).withColumn(
+        "_bucket", bucket_of("hk", 4))
+    plan = hub._maybe_stored(rows, store.latest("hub/sketch", RUNS[1]))._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("md5" in line for line in plan.splitlines() if "Filter" in line and "getbit" not in line)
