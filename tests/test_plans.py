@@ -108,3 +108,33 @@ def test_a_table_of_column_checks_only_is_not_written(spark, monkeypatch):
         assert got.first().failures == failures
     plan_ = plan(quality.run_tests(t, [DataTest("relationships", "t", ("b",), to="p", field="b")], materialise=False))
     assert "LeftAnti" in plan_ and "HashAggregate" in plan_.split("LeftAnti")[0]
+
+
+def test_a_suite_reads_every_table_once_and_writes_none(spark, tmp_path, monkeypatch):
+    """All kinds of tests from one scan give what each test gives by itself."""
+    from ledgerloom.operators import quality
+    from ledgerloom.operators.quality import DataTest
+    digest = "0123456789abcdef" * 2
+    texts = [None, "", digest, digest, digest.upper(), digest.upper(), digest + "\n", "fifteen letters", "sixteen letters.",
+             "sixteen letters.", "\x01", "\x00", "é", "é", digest[:15], digest[:16]]
+    rows = [(s, i // 2, i % 3, f"2024-01-01 00:00:00.00000{i % 2}") for i, s in enumerate(texts)]
+    spark.createDataFrame(rows, "s string, i bigint, j int, ts string").selectExpr(
+        "s", "if(i = 3, null, i) i", "j", "cast(ts as timestamp_ntz) ts", "i / 2 x").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([(s, i) for i, s in enumerate(texts[:7] + [None])], "s string, i bigint") \
+        .write.parquet(str(tmp_path / "p"))
+    t = {n: spark.read.parquet(str(tmp_path / n)) for n in "tp"}
+    tests = [DataTest("not_null", "t", ("s",)), DataTest("not_null", "t", ("i",), where="j > 0", label="some"),
+             DataTest("accepted_values", "t", ("j",), "warn", values=("0", "1")), DataTest("unique", "t", ("s",)),
+             DataTest("unique", "t", ("i",), where="j > 0"), DataTest("unique", "t", ("ts",)), DataTest("unique", "p", ("i",)),
+             *[DataTest("unique_combination_of_columns", "t", c) for c in (("s", "i"), ("i", "ts"), ("i",))],
+             *[DataTest("relationships", "t", (c,), to="p", field=c) for c in "si"],
+             DataTest("relationships", "t", ("s",), to="p", field="s", where="i is null", label="rs")]
+    want = {tuple(r) for r in quality.run_tests(t, tests, materialise=False).collect()}
+    written, write = [], quality.stage
+    monkeypatch.setattr(quality, "stage", lambda df, name, **o: written.append((name, df)) or write(df, name, **o))
+    got = quality.run_tests(t, tests)
+    assert {tuple(r) for r in got.collect()} == want and len(want) == len(tests)
+    assert [n for n, _ in written] == ["test-results"] and plan(written[0][1]).count("- Scan parquet") == 2
+    # a column of fractions is compared as it is
+    own = [DataTest("unique", "t", ("x",)), DataTest("relationships", "t", ("j",), to="p", field="i")]
+    assert {tuple(r) for r in quality.run_tests(t, own).collect()} == {tuple(r) for r in quality.run_tests(t, own, False).collect()}
