@@ -101,3 +101,22 @@ def test_a_suite_builds_only_the_tables_it_names():
     tests = [DataTest("unique", "dim_client", ("client_sk",)),
              DataTest("relationships", "fct_valuations", ("fund_sk",), to="dim_fund", field="fund_sk")]
     assert set(core_tables(w, tests)) == set(w.names) == {"dim_client", "fct_valuations", "dim_fund"}
+
+
+def test_rows_alone_in_their_grain_are_not_exchanged(spark, monkeypatch):
+    from ledgerloom.operators import numbering
+    taken, cuts = [], numbering._cuts
+    monkeypatch.setattr(numbering, "_cuts", lambda rows, *a: taken.append(rows.count()) or cuts(rows, *a))
+    df = spark.range(3000).select(F.when(F.col("id") < 2700, F.concat(F.lit("k"), F.col("id").cast("string")))
+                                  .when(F.col("id") % 3 > 0, F.lit("HOT")).alias("k"),
+                                  (F.col("id") * 7919 % 1000).alias("a"), F.col("id"))
+    order = [Order("a", False), Order("id")]
+    want = _rows(row_in_grain(df, ["k"], order, plain=True))
+    assert _rows(row_in_grain(df, ["k"], order)) == want and 300 <= taken[-1] < 900
+    assert row_in_grain(df, ["k"], order).columns == ["k", "a", "id", "_row_in_grain"]
+    monkeypatch.setattr(numbering, "WORDS", 0)          # the grains do not fit the bitmap
+    assert _rows(row_in_grain(df, ["k"], order)) == want and taken[-1] == 3000
+    # every grain twice, and most bits taken
+    monkeypatch.setattr(numbering, "WORDS", 3)
+    twice = df.where("id < 40").union(df.where("id < 2700"))
+    assert _rows(row_in_grain(twice, ["k"], order)) == _rows(row_in_grain(twice, ["k"], order, plain=True))
