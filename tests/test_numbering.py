@@ -120,3 +120,24 @@ def test_rows_alone_in_their_grain_are_not_exchanged(spark, monkeypatch):
     monkeypatch.setattr(numbering, "WORDS", 3)
     twice = df.where("id < 40").union(df.where("id < 2700"))
     assert _rows(row_in_grain(twice, ["k"], order)) == _rows(row_in_grain(twice, ["k"], order, plain=True))
+
+
+def test_both_universes_are_read_by_tasks_of_their_own(spark, monkeypatch):
+    """The tables that the transactions' numbering writes are made of rows that
+    an exchange brings: no task reads both universes whole."""
+    from ledgerloom.operators import facts, numbering
+
+    def universe(n):
+        own = {"company": F.lit("A"), "transaction_id": F.when(F.col("id") % 3 > 0, F.col("id").cast("string")),
+               "amount": F.col("id") % 7, "narrative": F.col("id").cast("string")}
+        return spark.range(0, n, 1, 4).select(*[own.get(c, F.lit(None).cast("string")).alias(c) for c in facts.TXN_COLUMNS])
+    risk, investment = universe(900), universe(600)
+    staged, write = [], numbering.stage
+    monkeypatch.setattr(numbering, "stage", lambda df, name: staged.append((name, df)) or write(df, name))
+    got = facts.transactions_numbered(risk, investment, draw=lambda part: (risk.sample(part), investment.sample(part)))
+    assert _rows(got) == _rows(facts.transactions_numbered(risk, investment, plain_numbering=True))
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in staged}
+    reading = {name: plan for name, plan in plans.items() if "Range (" in plan}
+    assert {"numbering-sample", "numbering-shared"} <= set(reading)
+    for plan in reading.values():
+        assert "Coalesce" not in plan and 0 <= plan.find("Exchange") < plan.index("Union")
