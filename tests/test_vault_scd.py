@@ -43,6 +43,27 @@ def test_satellite_guard_compares_to_latest_only(spark):
     assert s3.count() == 4          # A -> B -> A appends twice
 
 
+def test_satellite_guard_exchanges_source_and_history_once_and_digests_packed(spark):
+    rows = spark.range(3_000).selectExpr("'C' AS company", "concat('t', id % 2000) AS transaction_id", "id % 7 AS status")
+    first = V.satellite_source(rows, ["status"], ts(RUN1)).checkpoint(eager=True)
+    odd = F.when(F.col("transaction_id").like("%3"), 9).otherwise(F.col("status"))
+    second = V.satellite_source(rows.withColumn("status", odd), ["status"], ts(RUN2))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        delta = V.satellite_delta(second, first)
+        plan = delta._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, delta.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2
+    latest = {}
+    for r in first.collect():
+        latest[r.transaction_hk] = max(latest.get(r.transaction_hk, ""), r.hashdiff)
+    want = [r for r in second.collect() if latest.get(r.transaction_hk) != r.hashdiff]
+    assert got == sorted(map(str, want)) and 0 < len(want) < 3_000
+
+
 def test_repeated_ids_reappend_unless_collapsed(spark):
     w = Warehouse.from_fixtures(spark, SF_SMALL)
     cols = V.SAT_AMOUNTS_COLUMNS
