@@ -136,3 +136,48 @@ def test_the_probe_hashes_no_key_for_null_checks(spark, tmp_path):
         "_bucket", bucket_of("hk", 4))
     plan = hub._maybe_stored(rows, store.latest("hub/sketch", RUNS[1]))._jdf.queryExecution().optimizedPlan().toString()
     assert not any("md5" in line for line in plan.splitlines() if "Filter" in line and "getbit" not in line)
+
+
+def test_marks_leave_out_no_digest_and_few_others(spark, tmp_path):
+    from ledgerloom.plans.buckets import Marks
+    digest = lambda low, high: spark.range(low, high).select(F.col("id"), F.unhex(F.md5(F.col("id").cast("string"))).alias("_k0"))
+    digest(0, 30_000).select("_k0").write.parquet(str(tmp_path / "k"))
+    marks = Marks(spark.read.parquet(str(tmp_path / "k")))
+    assert marks.blocks > 1
+    assert marks.marked(digest(0, 30_000)).count() == 30_000
+    others = digest(30_000, 130_000)
+    wrong = marks.marked(others).count()
+    assert wrong < 2_000 and marks.marked(others, False).count() == 100_000 - wrong
+    digest(0, 0).select("_k0").write.parquet(str(tmp_path / "none"))
+    assert Marks(spark.read.parquet(str(tmp_path / "none"))).marked(others).count() == 0
+
+
+def test_many_changed_versions_are_found_without_an_exchange_of_the_rows(spark, tmp_path, monkeypatch):
+    """More changes than go to every task, and bitmaps so full that they mark
+    most rows: the same rows, and the payload is exchanged only if marked."""
+    from ledgerloom.plans import buckets
+    plans, write = [], buckets.write
+
+    def run_twice(root):
+        store = TableStore(spark, str(tmp_path / root), buckets=4)
+        hub = KeySet(store, "hub", "hk")
+        for i, run in enumerate(RUNS[:2]):
+            rows = keys(spark, 0, 6_000 + 500 * i).select("hk", ts(run).alias("load_dts"), "v", F.md5(F.when(
+                F.col("v") % 5 == 0, F.lit(run)).otherwise(F.col("v").cast("string"))).alias("hashdiff"))
+            append_versions(store, "sat", "hk", rows, run)
+            hub.append(keys(spark, 0, 6_000 + 500 * i), run)
+            store.publish(run)
+        state = BucketState(store, "sat/current", "hk").read().select("hk", "hashdiff", F.col("load_dts").cast("string"))
+        return [sorted(r.v for r in store.current(t, RUNS[1]).collect()) for t in ("sat", "hub")] + [sorted(map(tuple, state.collect()))]
+    few_changes = run_twice("a")
+    assert few_changes[0] == [v for v in range(6_500) if v >= 6_000 or v % 5 == 0] and few_changes[1] == list(range(6_000, 6_500))
+    assert len(few_changes[2]) == 6_500
+    monkeypatch.setattr(buckets, "FEW", 1_000)
+    monkeypatch.setattr(buckets, "write", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+                        or write(df, *a))
+    assert run_twice("b") == few_changes
+    history = [p for p in plans if "v#" in p and "_words" in p]
+    assert history and all("strategy=broadcast" in p for p in history)
+    monkeypatch.setattr(buckets, "FEW", 0)
+    monkeypatch.setattr(buckets, "BITS_A_DIGEST", 1)
+    assert run_twice("c") == few_changes
