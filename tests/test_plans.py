@@ -138,3 +138,34 @@ def test_a_suite_reads_every_table_once_and_writes_none(spark, tmp_path, monkeyp
     # a column of fractions is compared as it is
     own = [DataTest("unique", "t", ("x",)), DataTest("relationships", "t", ("j",), to="p", field="i")]
     assert {tuple(r) for r in quality.run_tests(t, own).collect()} == {tuple(r) for r in quality.run_tests(t, own, False).collect()}
+
+
+def test_a_parent_is_marked_once_for_all_its_tests_and_a_row_once_for_all_its_checks(spark):
+    from ledgerloom.operators import quality
+    from ledgerloom.operators.quality import DataTest
+    parent = spark.range(10).selectExpr("md5(cast(id as string)) AS k")
+    child = spark.range(30).selectExpr("md5(cast(id % 12 as string)) AS k", "md5(cast(id % 3 as string)) AS j",
+                                       "cast(null as string) AS a", "if(id < 4, null, 'x') AS b")
+    tests = [DataTest("unique", "p", ("k",)), DataTest("not_null", "p", ("k",)),
+             *[DataTest("relationships", "t", (c,), to="p", field="k") for c in "kj"],
+             DataTest("relationships", "t", ("k",), to="p", field="k", where="b is null", label="few"),
+             DataTest("unique", "p", ("k",), where="k > '5'", label="own"),
+             *[DataTest("not_null", "t", (c,)) for c in "kab"], DataTest("accepted_values", "t", ("b",), values=("y",), label="v")]
+    tables = {"p": parent, "t": child}
+    places, families = quality._places(tests)
+    marks = {n: quality._marks(tables, n, tests, places, families) for n in tables}
+    assert marks["p"].where("slot = 0").groupBy("family").count().where("count = 10").count() == 1
+    assert marks["p"].count() == 10 + parent.where("k > '5'").count()
+    assert marks["t"].count() == 30 + 30 + 4 + 30
+    got = {r.test_name: r.failures for r in quality.run_tests(tables, tests).collect()}
+    assert got == {"unique_p_k": 0, "not_null_p_k": 0, "relationships_t_k": 4, "relationships_t_j": 0, "few": 0, "own": 0,
+                   "not_null_t_k": 0, "not_null_t_a": 30, "not_null_t_b": 4, "v": 26}
+
+
+def test_more_checks_than_a_mask_holds(spark):
+    from ledgerloom.operators import quality
+    from ledgerloom.operators.quality import DataTest
+    rows = spark.range(7).selectExpr("id", *[f"if(id = {i % 7}, null, id) AS c{i}" for i in range(130)])
+    tests = [DataTest("unique", "t", ("id",))] + [DataTest("not_null", "t", (f"c{i}",)) for i in range(130)]
+    got = quality.run_tests({"t": rows}, tests).collect()
+    assert len(got) == 131 and all(r.failures == int(r.test_name != "unique_t_id") for r in got)
