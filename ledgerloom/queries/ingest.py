@@ -36,7 +36,7 @@ def _drop(spark, sf, shapes, bad_lines: bool = False, copies: int = 1) -> str:
               "investment_transactions": lambda: fixtures.investment_transactions(t)}
     drop = _fresh(spark, "drop")
     for shape in shapes:
-        L.write_drop(makers[shape](), shape, drop)
+        L.write_drop(makers[shape](), shape, drop, compression="gzip")
     if bad_lines:
         e = t("events").where(F.col("event_id") % 97 == 0)
         line = F.concat(F.lit("RT"), fixtures.pad(F.col("event_id"), 9), F.lit(',"'), F.col("event_type"))

@@ -121,3 +121,28 @@ def test_quarantine_merge_key_is_null_safe(spark):
     first = Q.capture(e, None, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).checkpoint(eager=True)
     again = Q.capture(e, first, F.lit("2024-01-01 00:05:00").cast("timestamp_ntz"))
     assert first.count() == 1 and again.count() == 0
+
+
+def test_a_compressed_drop_lands_the_same_rows(spark, tmp_path):
+    import glob
+    from ledgerloom.queries.ingest import _drop
+    from ledgerloom.schemas import FEEDS
+    names = max((f.columns for f in FEEDS if f.shape == "risk_transactions"), key=len)
+    rows = spark.range(500).select(
+        F.when(F.col("id") % 2 == 0, "INDIGO_INSURANCE").otherwise("HORIZON_ASSURANCE").alias("company"),
+        F.lit("ins_transactions").alias("dataset"),
+        *[F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit('a "b", '), F.col("id").cast("string"))).alias(c) for c in names])
+    landed = {}
+    for kind in ("none", "gzip"):
+        drop, root = str(tmp_path / kind / "drop"), str(tmp_path / kind / "raw")
+        L.write_drop(rows, "risk_transactions", drop, compression=kind)
+        _write(f"{drop}/_f=fsp-horizon_ins_transactions.csv/part-bad.csv", [HEADER, 'T1,"bad'])
+        L.ingest_batch(spark, drop, root, str(tmp_path / kind / "q"), "2024-06-30 00:00:00", "b1", ["risk_transactions"])
+        landed[kind] = sorted(map(str, L.read_landing(spark, root, "risk_transactions").collect()))
+        assert [r.row_number for r in L.read_quarantine(spark, root, str(tmp_path / kind / "q")).collect()] == [2]
+    assert len(landed["none"]) == 500 and landed["gzip"] == landed["none"]
+    size = lambda kind: sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/{kind}/drop/*/part-0*"))
+    assert size("gzip") < size("none") / 2
+    assert spark.range(1).select(L.logical_file_name(F.lit("/d/fsp-x.csv.gz"))).first()[0] == "fsp-x.csv"
+    files = glob.glob(f"{_drop(spark, '/root/testdata/sf0.001', ['valuations']).removeprefix('file:')}/*/part-*")
+    assert files and all(f.endswith(".csv.gz") for f in files)
