@@ -141,3 +141,23 @@ def test_both_universes_are_read_by_tasks_of_their_own(spark, monkeypatch):
     assert {"numbering-sample", "numbering-shared"} <= set(reading)
     for plan in reading.values():
         assert "Coalesce" not in plan and 0 <= plan.find("Exchange") < plan.index("Union")
+
+
+def test_rows_alone_in_their_grain_are_not_grouped_for_the_last_row(spark):
+    """A satellite's row per key: only the rows that share a grain are exchanged."""
+    from ledgerloom.operators import vault as V
+    from ledgerloom.operators.numbering import Order, row_in_grain
+    rows = spark.range(4_000).selectExpr(
+        "if(id % 50 = 0, null, 'C') AS company", "if(id < 3900, concat('t', id), if(id % 2 = 0, '_NULL_', 't7')) AS transaction_id",
+        "if(id % 9 = 0, null, id) AS v")
+    rows = rows.unionByName(rows.limit(3).selectExpr("company", "null AS transaction_id", "v"))
+    numbered = row_in_grain(rows, [F.col("company"), F.coalesce(F.col("transaction_id"), F.lit("_NULL_"))], [Order("v")], alone_as="_alone")
+    alone = numbered.where("_alone")
+    assert 3_000 < alone.count() <= 3_900 and alone.where("_row_in_grain != 1").count() == 0
+    assert alone.groupBy("company", "transaction_id").count().where("count > 1").count() == 0
+    stamp = F.lit("2024-06-30 00:00:00").cast("timestamp_ntz")
+    got = V.satellite_source(numbered, ["v"], stamp, collapse=True)
+    want = V.satellite_source(numbered.drop("_alone"), ["v"], stamp, collapse=True)
+    assert _rows(got) == _rows(want) and got.columns == want.columns
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("max_by") >= 1
