@@ -161,3 +161,13 @@ def test_rows_alone_in_their_grain_are_not_grouped_for_the_last_row(spark):
     assert _rows(got) == _rows(want) and got.columns == want.columns
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and plan.count("max_by") >= 1
+
+
+def test_the_sample_takes_the_number_of_rows_from_the_counted_grains(spark, monkeypatch):
+    from ledgerloom.operators import numbering
+    sizes, cuts = [], numbering._cuts
+    monkeypatch.setattr(numbering, "_cuts", lambda rows, order, draw, size=None: sizes.append(size) or cuts(rows, order, draw, size))
+    rows = spark.range(1_000).selectExpr("if(id < 600, -1, id) AS g", "id AS v")
+    got = numbering.row_in_grain(rows, ["g"], [numbering.Order("v")])
+    assert sizes == [600]
+    assert {(r.g, r.v, r._row_in_grain) for r in got.collect()} == {(-1, v, v + 1) if v < 600 else (v, v, 1) for v in range(1_000)}
